@@ -14,6 +14,9 @@ WS = r"[\x20\x09-\x0D]+"
 #: Wide rows cross to Python in batches of this many.
 ARROW_ROWS = 256
 
+#: At most so many ids or keys are broadcast to thin out a larger table; beyond, a shuffled semi-join does it.
+BROADCAST_IDS = 1_000_000
+
 _own_root: list[str] = []
 
 
@@ -93,8 +96,8 @@ def leader_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     left, links, slots, tried = cut(buckets.select("key", "id"), "buckets"), None, 1, None
     while True:
         slot = F.pmod(F.xxhash64("id", F.lit(slots)), F.lit(slots))
-        sizes = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        left = cut(left.join(sizes, "key"), "left")
+        shared = cut(left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
+        left = cut(left.join(F.broadcast(shared) if shared.count() <= BROADCAST_IDS else shared, "key", "left_semi"), "left")
         if is_empty(left):
             return links if links is not None else left.select(F.col("id").alias("a"), F.col("id").alias("b"))
         lead = left.groupBy("key", slot.alias("slot")).agg(F.min("id").alias("lead")).drop("slot")
@@ -111,9 +114,6 @@ def leader_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
         slots = min(256, slots * 16)
 
 
-#: At most so many ids are broadcast to thin out a table of texts; beyond, a shuffled semi-join does it.
-BROADCAST_IDS = 1_000_000
-
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is in ``ids`` (one distinct column ``doc_id``, already written)."""

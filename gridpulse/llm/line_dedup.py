@@ -2,13 +2,14 @@
 
 A line is a piece of text between line feeds, trimmed of white space; blank
 lines are left alone. Equal lines (128-bit hash) are one before any comparison.
-Signatures take character shingles: every five characters of a short line, and
-for a long one the eight characters from each word start (or from each character
+Signatures take character shingles: every seven characters of a short line, and
+for a long one the twelve characters from each word start (or from each character
 of scripts without blanks), a choice made by content, so that equal passages
 choose alike. A line of 100 to 124 characters has both, so two lines of which
-one is four fifths as long as the other always share a kind. Minima under 60
-XOR masks come from one hash aggregate; twelve bands of five form buckets, a
-pair at similarity 0.8 meets with probability 0.99. ``leader_links`` compares within
+one is four fifths as long as the other always share a kind. Minima under 48
+XOR masks come from one hash aggregate; bands of them form buckets. Shingles this
+long are rare in unrelated lines, which keeps chance meetings few as lines grow
+in number. ``leader_links`` compares within
 buckets by the exact Jaccard similarity of the sets of five-character shingles
 of the lower-cased lines, ``components`` is a distributed union-find, and one
 line of each component stays: the first by ``doc_id`` and line number.
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, leader_links, only, texts
 
-SIMILARITY, BANDS, ROWS = 0.8, 12, 5
+SIMILARITY = 0.8
+#: Bands and rows for short and for long lines, over the same minima.
+BANDS, MINIMA = ((9, 5), (12, 4)), 48
 SHORT, LONG = 125, 100
 EVERY = r"(?s)(?=(.{5}))"
-STARTS = r"(?s)(?=((?:(?<!\S)\S|[⺀-￿]).{0,7}))"
+SEVEN = r"(?s)(?=(.{7}))"
+STARTS = r"(?s)(?=((?:(?<!\S)\S|[⺀-￿]).{0,11}))"
 
 
 def masks(n: int) -> list[int]:
@@ -44,21 +48,22 @@ def lines(docs: DataFrame) -> DataFrame:
     return line.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
 
 
-def dense(line: Column) -> Column:
-    """The five-character shingles; a shorter line is its own."""
+def dense(line: Column, size: int = 5, pattern: str = EVERY) -> Column:
+    """The character shingles of a size; a shorter line is its own."""
     low = F.lower(line)
-    return F.when(F.length(low) < 5, F.array(low)).otherwise(F.regexp_extract_all(low, F.lit(EVERY), F.lit(1)))
+    return F.when(F.length(low) < size, F.array(low)).otherwise(F.regexp_extract_all(low, F.lit(pattern), F.lit(1)))
 
 
 def buckets(found: DataFrame) -> DataFrame:
     """``key, id`` of the bands of distinct lines ``h1, h2, id, line``."""
     n = F.length("line")
     low = F.lower("line")
-    kinds = F.array_compact(F.array(F.when(n < SHORT, F.struct(F.lit(0).alias("kind"), dense(F.col("line")).alias("s"))), F.when(n >= LONG, F.struct(F.lit(1).alias("kind"), F.regexp_extract_all(low, F.lit(STARTS), F.lit(1)).alias("s")))))
+    kinds = F.array_compact(F.array(F.when(n < SHORT, F.struct(F.lit(0).alias("kind"), dense(F.col("line"), 7, SEVEN).alias("s"))), F.when(n >= LONG, F.struct(F.lit(1).alias("kind"), F.regexp_extract_all(low, F.lit(STARTS), F.lit(1)).alias("s")))))
     one = found.select("h1", "h2", F.col("id.doc_id").alias("d"), F.col("id.line_no").alias("l"), F.explode(kinds).alias("k"))
     one = one.select("h1", "h2", "d", "l", "k.kind", F.explode("k.s").alias("s")).withColumn("x", F.xxhash64("s"))
-    least = one.groupBy("h1", "h2", "d", "l", "kind").agg(*(F.min(F.col("x").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(BANDS * ROWS))))
-    keys = F.array(*(F.xxhash64("kind", F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
+    least = one.groupBy("h1", "h2", "d", "l", "kind").agg(*(F.min(F.col("x").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(MINIMA))))
+    short, long = (F.array(*(F.xxhash64("kind", F.lit(b), *(f"m{b * rows + r}" for r in range(rows))) for b in range(bands))) for bands, rows in BANDS)
+    keys = F.when(F.col("kind") == 0, short).otherwise(long)
     return least.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("id"), F.explode(keys).alias("key"))
 
 

@@ -1,11 +1,223 @@
-"""The registered queries with their SQL."""
+"""The registered queries of the signal engine, each with SQL for the same rows.
+
+Driver tables stand in for signals: ``events`` are samples of one signal per
+user (gaps of a day, at least five samples), ``embeddings`` are windows of 64
+samples at 0.2 ms, one signal per label, and ``lineitem`` gives daily metrics.
+Floats are rounded on both sides.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gridpulse.functions import signal as S
+from gridpulse.operators import events as E
+from gridpulse.operators import reports as R
+from gridpulse.operators import windows as W
+from gridpulse.sources import lake
+
+GAP_S, MIN_LEN, SEGMENTS, THRESHOLD, PEAK, SIMILAR = 86_400, 5, 5, 55.0, 60.0, 0.3
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def samples(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").where("value is not null and ts is not null")
+    return e.select(F.concat(F.lit("u"), F.col("user_id")).alias("sig_key"), "ts", F.col("event_id").alias("tie"), F.col("value").alias("signal"))
+
+
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    return W.gap_windows(samples(spark, d), GAP_S, MIN_LEN, split_by_date=False)
+
+
+def vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Fixed windows: ``sig_key, win_idx, start_ts, signal, seconds``; every fourth in a row breaks chains."""
+    v = table(spark, d, "embeddings").select(F.concat(F.lit("l"), F.col("label")).alias("sig_key"), F.col("vec_id").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("signal"))
+    v = v.withColumn("win_idx", (F.row_number().over(Window.partitionBy("sig_key").orderBy("vec_id")) - 1).cast("long"))
+    v = v.withColumn("seconds", F.transform(F.sequence(F.lit(0), F.size("signal") - 1), lambda i: i * 0.0002))
+    return v.withColumn("regular", F.col("win_idx") % 4 != 3).withColumn("start_ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("win_idx") * 40).cast("timestamp_ntz"))
+
+
+def gap_windows(spark, d):
+    return event_windows(spark, d).select("sig_key", "win_idx", "start_ts", "end_ts", "n")
+
+
+def window_centre_pad(spark, d):
+    w = W.centre_pad(event_windows(spark, d))
+    return w.select("sig_key", "win_idx", F.size("signal").cast("long").alias("padded"), F.round(F.aggregate("signal", F.lit(0.0), lambda a, x: a + F.abs(x)), 4).alias("total"))
+
+
+def segment_range_anomaly(spark, d):
+    w = W.segment_range(W.centre_pad(event_windows(spark, d)), SEGMENTS, THRESHOLD)
+    return w.select("sig_key", "win_idx", F.round("mean_range", 4).alias("mean_range"), "is_anomaly")
+
+
+def peak_threshold(spark, d):
+    return W.two_sided(W.centre_pad(event_windows(spark, d)), PEAK).select("sig_key", "win_idx", "has_peak")
+
+
+def anomalous_windows(spark, d):
+    w = W.two_sided(W.segment_range(W.centre_pad(event_windows(spark, d)), SEGMENTS, THRESHOLD), 0.0)
+    return w.where("is_anomaly and has_peak").select("sig_key", "win_idx", "start_ts", "end_ts", "n", F.round("mean_range", 4).alias("mean_range"))
+
+
+def window_energy(spark, d):
+    return W.energy(W.centre_pad(event_windows(spark, d))).select("sig_key", "win_idx", F.round("energy", 3).alias("energy"))
+
+
+def peak_count_2means(spark, d):
+    w = W.centre_pad(event_windows(spark, d)).withColumn("n_peaks", S.peaks_udf(1, 20.0)("signal"))
+    return w.select("sig_key", "win_idx", "n_peaks", F.when(F.col("n_peaks") > 0, F.concat(F.lit("pic_"), "n_peaks")).otherwise("").alias("label"))
+
+
+def dft_dominant(spark, d):
+    return vectors(spark, d).select("vec_id", F.get(S.spectrum_udf(1)("signal", "seconds"), F.lit(0)).alias("dom_freq"))
+
+
+def dft_top4(spark, d):
+    return vectors(spark, d).select("vec_id", F.posexplode(S.spectrum_udf(4)("signal", "seconds")).alias("rank", "freq"))
+
+
+def lowpass(spark, d):
+    y = vectors(spark, d).select("vec_id", S.low_pass_udf(800.0)("signal", "seconds").alias("y"))
+    return y.select("vec_id", F.posexplode("y").alias("i", "v")).select("vec_id", "i", F.round("v", 5).alias("v"))
+
+
+def neighbours(spark, d) -> DataFrame:
+    w = Window.partitionBy("sig_key").orderBy("win_idx")
+    return vectors(spark, d).withColumn("prev", F.lag("signal").over(w)).where("prev is not null")
+
+
+def ncc_bounded(spark, d):
+    return neighbours(spark, d).select("vec_id", F.round(S.ncc_udf(False, 10)("prev", "signal"), 5).alias("ncc"))
+
+
+def ncc_full(spark, d):
+    return neighbours(spark, d).select("vec_id", F.round(S.ncc_udf(True)("prev", "signal"), 5).alias("ncc"))
+
+
+def chained(spark, d) -> DataFrame:
+    return E.chain(vectors(spark, d), SIMILAR)
+
+
+def event_chain(spark, d):
+    return chained(spark, d).select("sig_key", "win_idx", "event_idx")
+
+
+def event_reference(spark, d):
+    return E.references(chained(spark, d)).select("sig_key", "event_idx", F.col("win_idx").alias("ref_idx"))
+
+
+def event_metrics(spark, d):
+    c = chained(spark, d)
+    return E.metrics(c, E.references(c)).select("sig_key", "event_idx", "win_idx", "ref_idx", F.round("ncc_vs_ref", 5).alias("ncc_vs_ref"))
+
+
+def type_pairs(spark, d):
+    v = vectors(spark, d).where("win_idx < 12").withColumn("event_idx", F.col("win_idx"))
+    return E.type_pairs(v).select("sig_key", "i", "j", F.round("ncc", 5).alias("ncc"))
+
+
+def type_linkage(spark, d):
+    return E.cluster_types(E.references(chained(spark, d)), SIMILAR)
+
+
+def profile_rollup(spark, d):
+    c = chained(spark, d)
+    refs = E.references(c)
+    types = refs.select("sig_key", "event_idx", (F.col("event_idx") % 3).alias("type_id"))
+    p = E.profile(E.metrics(c, refs), types)
+    return p.select("sig_key", "event_idx", "type_id", "ref_timestamp", "window_count", "ref_win_idx", F.round("mean_ncc", 4).alias("mean_ncc"), "duration_s")
+
+
+def type_summary(spark, d):
+    e = table(spark, d, "events")
+    return R.type_summary(e.select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), F.col("event_type").alias("cid"), F.col("event_id"), "ts", F.col("value").alias("freq")))
+
+
+def overlap_histogram(spark, d):
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), "ts")
+    return R.histogram(e, 360)
+
+
+def burst_stats(spark, d):
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), "ts")
+    return R.burst_stats(R.histogram(e, 360))
+
+
+def shared_types(spark, d):
+    v = vectors(spark, d).where("win_idx < 3").select("sig_key", F.col("win_idx").alias("cid"), F.col("signal").alias("window"))
+    return E.shared_types(v, SIMILAR).select("sig_key_a", "cid_a", "sig_key_b", "cid_b", F.round("ncc", 5).alias("ncc"))
+
+
+def registry_match(spark, d):
+    v = vectors(spark, d)
+    known = v.where("vec_id < 8").select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"))
+    return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
+
+
+def gantt_bars(spark, d):
+    w = event_windows(spark, d).select("sig_key", F.col("win_idx").alias("event_id"), "start_ts", "end_ts")
+    return R.gantt(w)
+
+
+def color_map(spark, d):
+    e = table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("a"), F.col("event_type").alias("b"))
+    return R.color_map(e)
+
+
+def unpivot_channels(spark, d):
+    wide = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("v1"), F.col("l_extendedprice").cast("double").alias("v2"), F.col("l_discount").cast("double").alias("v3"))
+    return lake.unpivot(wide).select("l_orderkey", "l_linenumber", "voie", "signal")
+
+
+def ingest_dedup(spark, d):
+    """Every third sample is in the lake; all arrive again with other values. Times are cut to minutes."""
+    e = samples(spark, d).withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz")).withColumnRenamed("sig_key", "boitier")
+    old, new = e.where("tie % 3 = 0"), e.withColumn("signal", F.col("signal") + 1000)
+    out = lake.merge(new, old, ["boitier"])
+    return out.select("boitier", "ts", "tie", F.round("signal", 4).alias("signal"))
+
+
+def trms_metrics(spark, d):
+    x = F.col("l_extendedprice").cast("double")
+    day = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("day"), "l_returnflag")
+    out = day.agg(F.min(x).alias("low"), F.max(x).alias("high"), F.round(F.avg(x), 4).alias("moy"), F.round(F.sqrt(F.avg(x * x)), 4).alias("efficace"))
+    return out.withColumn("flagged", F.abs(F.col("high") - F.col("low")) > 50_000)
+
+
+def date_union(spark, d):
+    """Dates of each signal, over all its jobs, sorted and once each."""
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 100).alias("sig_key"), F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    return e.groupBy("sig_key").agg(F.array_join(F.sort_array(F.collect_set("date")), ",").alias("dates"))
+
+
+def path_metadata(spark, d):
+    e = table(spark, d, "events").where("ts is not null")
+    p = e.select("event_id", F.concat(F.lit("/in/boitier_"), F.col("user_id"), F.when(F.col("event_id") % 2 == 0, "/TRMS/").otherwise("/osc/"), F.date_format("ts", "yyyy-MM-dd"), F.lit("_x.txt")).alias("path"))
+    return lake.with_path(p).select("event_id", "boitier", F.date_format("date", "yyyy-MM-dd").alias("date"), "kind")
+
+
+def severity(spark, d):
+    w = W.segment_range(W.centre_pad(event_windows(spark, d)), SEGMENTS, THRESHOLD).where("is_anomaly")
+    return R.severity(w.select("sig_key", "win_idx", "n", F.round("mean_range", 4).alias("mean_range")))
+
+
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
+
 
 def queries():
-    return {}
+    return {f.__name__: f for f in QUERIES}
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomalous_windows(spark, sf_dir)
+
 
+def oracle_sql() -> dict[str, str]:
+    from gridpulse.plans.oracles import SQL
 
-def oracle_sql():
-    return {}
+    return dict(SQL)

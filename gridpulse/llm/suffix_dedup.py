@@ -1,6 +1,6 @@
 """Repeated byte strings by a depth-limited most-significant-digit sort of suffixes.
 
-Suffixes are sorted only through ``length`` bytes, in three digits, and only
+Suffixes are sorted only through ``length`` bytes, in four digits, and only
 groups with more than one member go on to the next digit:
 
 1. the pivot: of all ``PIVOT``-byte strings in the first ``length`` bytes of a
@@ -8,7 +8,11 @@ groups with more than one member go on to the next digit:
    Equal prefixes have equal pivots, so this digit never parts equal suffixes.
    Neighbouring suffixes share their pivot; such a run is one row.
 2. the whole run of neighbouring suffixes: equal runs are equal suffix by suffix.
-3. for what differs there, the hash of the ``length`` bytes at each suffix.
+3. the flank: half of what a string holds besides its pivot lies on the left or
+   on the right of it, so equal strings agree on one of the two flanks. Runs
+   whose flanks nobody shares end here; of the others only the side that is
+   shared goes on.
+4. for what is left, the hash of the ``length`` bytes at each suffix.
 
 The equal groups left are exactly the repeated windows (64-bit hashes within a
 pivot group). Groups are counted, never gathered, so a string that a third of
@@ -67,25 +71,31 @@ def runs(text: np.ndarray, length: int, pivot: int) -> tuple[np.ndarray, ...]:
 
 
 def find_runs(length: int, pivot: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("digit1", pa.int64()), ("digit2", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("digit1", pa.int64()), ("digit2", pa.int64()), ("low", pa.int32()), ("left", pa.int64()), ("right", pa.int64())])
+    flank = (length - pivot) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, (buf, off) = batch.column(0), K.buffers(batch.column(1))
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            out: list[list[np.ndarray]] = [[] for _ in range(8)]
             for i in np.flatnonzero(np.diff(off) >= length):
                 first, n, low, sums = runs(buf[off[i] : off[i + 1]], length, pivot)
                 shape = ((low - first).astype(np.uint64) << U(32)) | n.astype(np.uint64)
-                for x, y in zip(out, (np.full(len(first), i), first, n, K.spans(sums, low, low + pivot), K.mix(K.spans(sums, first, first + n + length - 1) ^ K.mix(shape)))):
+                end = low + pivot
+                sides = np.where(low - first >= flank, low - flank, -1), np.where(first + n - 1 + length - end >= flank, end, -1)
+                # A flank that the run's strings do not hold in full is 0.
+                left, right = (np.where(x < 0, U(0), K.spans(sums, np.maximum(x, 0), np.maximum(x, 0) + flank)) for x in sides)
+                whole = K.mix(K.spans(sums, first, first + n + length - 1) ^ K.mix(shape))
+                for x, y in zip(out, (np.full(len(first), i), first, n, K.spans(sums, low, end), whole, low, left, right)):
                     x.append(y)
             if out[0]:
-                row, first, n, d1, d2 = map(np.concatenate, out)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(K.signed(d1)), pa.array(K.signed(d2))], schema=schema)
+                row, first, n, d1, d2, low, left, right = map(np.concatenate, out)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(K.signed(d1)), pa.array(K.signed(d2)), pa.array(low.astype(np.int32)), pa.array(K.signed(left)), pa.array(K.signed(right))], schema=schema)
 
     return run
 
 
-def third_digit(length: int):
+def last_digit(length: int):
     """One row per run: the hashes of its suffixes' first ``length`` bytes, from the text."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("digit1", pa.int64()), ("digits", pa.list_(pa.int64()))])
 
@@ -136,20 +146,28 @@ def repeated(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT) -> DataF
     """``doc_id, start, n``: runs of suffixes whose first ``length`` bytes start elsewhere too."""
     narrow_batches(docs.sparkSession)
     body = texts(docs)
-    found = cut(body.mapInArrow(find_runs(length, pivot), "doc_id long, start int, n int, digit1 long, digit2 long"), "runs")
+    found = cut(body.mapInArrow(find_runs(length, pivot), "doc_id long, start int, n int, digit1 long, digit2 long, low int, left long, right long"), "runs")
     second = found.groupBy("digit1", "digit2").agg(F.count("*").alias("same"), F.min(F.struct("doc_id", "start")).alias("first"))
     first = second.groupBy("digit1").agg(F.sum("same").alias("all"), F.count("*").alias("kinds")).where("all > 1")
     groups = cut(second.join(first, "digit1"), "groups")
     whole = found.join(groups.where("same > 1").select("digit1", "digit2"), ["digit1", "digit2"]).select("doc_id", "start", "n")
-    # One run of each kind stands for all equal ones; where kinds differ, their suffixes are told apart by the third digit.
+    # One run of each kind stands for all equal ones; where kinds differ, their flanks and then their suffixes are told apart.
     mixed = groups.where("kinds > 1")
     open_runs = found.join(mixed.select("digit1", "digit2", "same", "first"), ["digit1", "digit2"]).where(F.col("first") == F.struct("doc_id", "start"))
-    open_runs = cut(open_runs.select("doc_id", "start", "n", "digit1", "same"), "open")
+    open_runs = cut(open_runs.select("doc_id", "start", "n", "digit1", "low", "left", "right"), "open")
+    for side in ("left", "right"):
+        shared = open_runs.where(f"{side} <> 0").groupBy("digit1", side).agg(F.count("*").alias("c")).where("c > 1").select("digit1", side, F.lit(True).alias(f"on_{side}"))
+        open_runs = open_runs.join(shared, ["digit1", side], "left")
+    middle = F.col("low") - (length - pivot) // 2
+    begin = F.when(F.col("on_left"), F.col("start")).otherwise(F.greatest(F.col("start"), middle))
+    stop = F.when(F.col("on_right"), F.col("start") + F.col("n")).otherwise(F.least(F.col("start") + F.col("n"), middle + 1))
+    open_runs = open_runs.where("on_left or on_right").select("doc_id", begin.alias("start"), (stop - begin).alias("n"), "digit1").where("n > 0")
+    open_runs = cut(open_runs, "shared-flanks")
     ids = cut(open_runs.select("doc_id").distinct(), "ids")
     listed = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digit1")).alias("parts"))
-    digits = only(body, ids).join(listed, "doc_id").select("doc_id", "text", "parts").mapInArrow(third_digit(length), "doc_id long, start int, digit1 long, digits array<long>")
-    digits = cut(digits, "digits").select("doc_id", "start", F.posexplode("digits").alias("i", "digit3"), "digit1")
-    digits = digits.withColumn("key", F.xxhash64("digit1", "digit3"))
+    digits = only(body, ids).join(listed, "doc_id").select("doc_id", "text", "parts").mapInArrow(last_digit(length), "doc_id long, start int, digit1 long, digits array<long>")
+    digits = cut(digits, "digits").select("doc_id", "start", F.posexplode("digits").alias("i", "digit4"), "digit1")
+    digits = digits.withColumn("key", F.xxhash64("digit1", "digit4"))
     again = digits.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     single = digits.join(again, "key").select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
     return whole.union(single)

@@ -26,8 +26,8 @@ def gap_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, spli
 def centre_pad(windows: DataFrame) -> DataFrame:
     """Subtract the mean, then fill with zeros to the signal's longest window; times go on at the first step."""
     mean = F.aggregate("signal", F.lit(0.0), lambda a, x: a + x) / F.size("signal")
-    w = windows.withColumn("__m", mean).withColumn("__n", F.max(F.size("signal")).over(Window.partitionBy("sig_key")))
-    more = F.col("__n") - F.size("signal")
+    w = windows.withColumn("__m", mean).withColumn("__n", F.max(F.size("signal")).over(Window.partitionBy("sig_key")) - F.size("signal"))
+    more = F.col("__n")
     step = F.coalesce(F.get("seconds", F.lit(1)) - F.get("seconds", F.lit(0)), F.lit(0.0))
     last = F.element_at("seconds", -1)
     tail = F.when(more > 0, F.transform(F.sequence(F.lit(1), more), lambda k: last + k * step)).otherwise(F.array().cast("array<double>"))

@@ -34,6 +34,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Chunks that a worker remembers; the older half goes when it is full.
 REMEMBERED = 200_000
+#: Totals nearer than this are compared by the rules for equal scores.
+TIE = 1e-6
 MARK = "▁"
 Path_ = tuple[float, tuple[int, ...]]
 
@@ -55,8 +57,9 @@ class Pieces:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and MARK not in name[1:]:
                 node = self.trie
                 for c in name:
-                    node = node.setdefault(c, {})
-                node[""] = (i, sp.get_score(i))
+                    last = node.setdefault(c, [{}, None])
+                    node = last[0]
+                last[1] = (sp.get_score(i), (i,))
                 low = min(low, sp.get_score(i))
                 if len(name) > 1:
                     inner.update(name[1:] if name[0] == MARK else name)
@@ -67,27 +70,39 @@ class Pieces:
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
-    def arcs(self, chunk: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each end: start, score and pieces of the arcs that end there. A character without a piece is its bytes."""
-        out: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(chunk) + 1)]
-        for i in range(len(chunk)):
-            node, j, own = self.trie, i, False
-            while j < len(chunk) and (node := node.get(chunk[j])) is not None:
-                j += 1
-                if (hit := node.get("")) is not None:
-                    out[j].append((i, hit[1], (hit[0],)))
+    def lattice(self, chunk: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
+        """For each end: start, score and pieces of the arcs that end there, and the best score up to it.
+
+        A character without a piece is its bytes. Arcs lead onward, so a place's
+        score is final when arcs from it are drawn.
+        """
+        size = len(chunk)
+        out: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+        forward = [0.0] + [float("-inf")] * size
+        for i in range(size):
+            here, node, own = forward[i], self.trie, False
+            for j in range(i + 1, size + 1):
+                if (step := node.get(chunk[j - 1])) is None:
+                    break
+                node, hit = step
+                if hit is not None:
+                    s, p = hit
+                    out[j].append((i, s, p))
+                    if here + s > forward[j]:
+                        forward[j] = here + s
                     own = own or j == i + 1
             if not own:
                 raw = tuple(self.bytes[b] for b in chunk[i].encode())
                 out[i + 1].append((i, self.byte_score * len(raw), raw))
-        return out
+                forward[i + 1] = max(forward[i + 1], here + self.byte_score * len(raw))
+        return out, forward
+
+    def arcs(self, chunk: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
+        return self.lattice(chunk)[0]
 
     def best(self, chunk: str, n: int) -> list[Path_]:
         """The n best segmentations with scores, best first."""
-        arcs = self.arcs(chunk)
-        forward = [0.0] + [0.0] * len(chunk)
-        for j in range(1, len(chunk) + 1):
-            forward[j] = max(forward[i] + s for i, s, _ in arcs[j])
+        arcs, forward = self.lattice(chunk)
         # A state: less its exact score, pieces so far, order of preference, place, score behind it, pieces behind it.
         heap: list[tuple] = [(-forward[-1], 0, (), len(chunk), 0.0, ())]
         found: list[Path_] = []
@@ -100,12 +115,37 @@ class Pieces:
                 heapq.heappush(heap, (-(forward[i] + s + back), count + len(p), (i - j, *order), i, s + back, p + pieces))
         return found
 
+    def first(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
+        """The search up to its first result, and what the second will lose.
+
+        The states it opens along the best segmentation carry exact totals, so the
+        least loss among those left open is the second's. Ties are left to ``best``.
+        """
+        arcs, forward = self.lattice(chunk)
+        j, back, loss = len(chunk), 0.0, float("inf")
+        used: list[tuple[int, ...]] = []
+        while j:
+            least = rest = float("inf")
+            for arc in arcs[j]:
+                short = forward[j] - (forward[arc[0]] + arc[1])
+                if short < least:
+                    least, rest, via = short, least, arc
+                elif short < rest:
+                    rest = short
+            loss = min(loss, rest)
+            j, s, p = via
+            back += s
+            used.append(p)
+        if loss < TIE:
+            two = self.best(chunk, 2)
+            return *two[0], two[0][0] - two[1][0]
+        return back, tuple(x for p in reversed(used) for x in p), loss
+
     def recall(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
         """Best score, its pieces, and what the second best loses."""
         if (hit := self.new.get(chunk)) is None:
             if (hit := self.old.get(chunk)) is None:
-                two = self.best(chunk, 2)
-                hit = (*two[0], two[0][0] - two[1][0] if len(two) > 1 else float("inf"))
+                hit = self.first(chunk)
             if len(self.new) >= REMEMBERED // 2:
                 self.old, self.new = self.new, {}
             if len(chunk) <= 64:
@@ -116,7 +156,7 @@ class Pieces:
         out: list[str] = []
         for part in text.split(" "):
             part = MARK + part
-            if all(c in self.inner for c in part[1:]) or len(part) == 1:
+            if self.inner.issuperset(part[1:]):
                 out.append(part)
                 continue
             at = 0

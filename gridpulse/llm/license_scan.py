@@ -74,10 +74,10 @@ def minima(h: Column, bands: int) -> Column:
 
 
 def holding(h: str, size: int, keys: list[int]) -> Column:
-    """Windows ``at, g`` of the class that hold a shingle of the keys."""
+    """Windows ``s, at, g`` of the class that hold a shingle of the keys."""
     step, width = max(1, size // 2), max(1, 3 * size // 2)
     starts = F.sequence(F.lit(0), F.greatest(F.size(h) - 1, F.lit(0)), F.lit(step))
-    every = F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(h, i + 1, width).alias("g")))
+    every = F.transform(starts, lambda i: F.struct(F.lit(size).alias("s"), i.alias("at"), F.slice(h, i + 1, width).alias("g")))
     return F.filter(every, lambda x: F.exists(x["g"], lambda y: y.isin(*keys)))
 
 
@@ -96,16 +96,13 @@ def scan(docs: DataFrame, known: DataFrame, containment: float = CONTAINMENT, ba
     every = sorted({k for v in by_size.values() for k in v})
     d = docs.select(F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row"), lower_words(F.col("text")).alias("w"))
     d = d.select("doc_id", "row", hashes("w").alias("h")).where(F.exists("h", lambda x: x.isin(*every)) if every else F.lit(False))
-    parts = []
-    for s, keys in sorted(by_size.items()):
-        one = d.select("doc_id", "row", F.explode(holding("h", s, keys)).alias("x")).select("doc_id", "row", "x.at", "x.g")
-        own = F.col("g") if s == 1 else minima(F.col("g"), bands)
-        parts.append(one.select("doc_id", "row", "at", "g", F.lit(s).alias("s"), F.explode(F.array_distinct(own)).alias("key")).where(F.col("key").isin(*keys)))
-    if not parts:
+    if not by_size:
         return d.select("doc_id", F.lit(0).cast("long").alias("template_id"), F.lit("").alias("license"), F.lit(0).alias("first_word"), F.lit(0.0).alias("containment")).where("false")
-    met = parts[0]
-    for p in parts[1:]:
-        met = met.union(p)
+    # All classes come from one pass over the texts; the join on size and key keeps each class's own bands.
+    every_class = F.concat(*(holding("h", s, keys) for s, keys in sorted(by_size.items())))
+    one = d.select("doc_id", "row", F.explode(every_class).alias("x")).select("doc_id", "row", "x.s", "x.at", "x.g")
+    own = F.when(F.col("s") == 1, F.col("g")).otherwise(minima(F.col("g"), bands))
+    met = one.select("doc_id", "row", "s", "at", "g", F.explode(F.array_distinct(own)).alias("key")).where(F.col("key").isin(*every))
     pairs = met.join(F.broadcast(banded.withColumnRenamed("h", "th")), ["s", "key"])
     share = F.size(F.array_intersect("th", "g")) / F.size("th")
     place = F.col("at") + F.array_position(F.transform("g", lambda x: F.array_contains("th", x)), True).cast("int") - 1

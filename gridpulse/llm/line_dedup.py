@@ -74,10 +74,11 @@ def verified(docs: DataFrame, similarity: float):
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
         body = only(texts(docs), cut(ids.select("id.doc_id").distinct(), "line-docs"))
         body = lines(body).select(F.struct("doc_id", "line_no").alias("id"), "line").join(ids, "id", "left_semi")
-        body = body.select("id", F.array_distinct(F.transform(dense(F.col("line")), lambda x: F.xxhash64(x))).alias("s"))
-        a, b = (body.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
-        both = F.size(F.array_intersect("sa", "sb"))
-        scored = pairs.join(a, "a").join(b, "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("similarity"))
+        a, b = (body.select(F.col("id").alias(k), F.col("line").alias(f"line_{k}")) for k in "ab")
+        # Lines travel, a tenth of the size of their shingles; lambdas name each side's shingles once.
+        sides = F.array(F.struct(*(F.array_distinct(F.transform(dense(F.col(f"line_{k}")), lambda x: F.xxhash64(x))).alias(k) for k in "ab")))
+        sizes = F.transform(sides, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("sum")))
+        scored = pairs.join(a, "a").join(b, "b").select("a", "b", F.get(F.transform(sizes, lambda x: x["both"] / (x["sum"] - x["both"])), F.lit(0)).alias("similarity"))
         return scored.where(F.col("similarity") >= similarity).dropDuplicates(["a", "b"])
 
     return run

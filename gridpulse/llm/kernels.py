@@ -80,6 +80,12 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def hashes(column: pa.Array) -> np.ndarray:
+    """Hash of each byte string, as ``spans`` gives it."""
+    buf, off = buffers(column)
+    return spans(prefix(buf[off[0] : off[-1]]), off[:-1] - off[0], off[1:] - off[0])
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, row and hash of all words; offsets begin at 0. Words do not cross rows."""
     n = len(buf)

@@ -67,29 +67,30 @@ class Lattice:
     """All segmentations of many words at once."""
 
     def __init__(self, names: list[bytes]) -> None:
-        off = np.r_[0, np.cumsum([len(x) for x in names])].astype(np.int64)
-        h = np.concatenate([K.spans(K.prefix(np.frombuffer(x, np.uint8)), np.array([0]), np.array([len(x)])) for x in names]) if names else np.zeros(0, np.uint64)
+        h = K.hashes(pa.array(names, pa.binary()))
         order = np.argsort(h)
         self.keys, self.ids, self.size = h[order], order, len(names)
-        self.lengths = np.unique(np.diff(off))
+        self.lengths = {len(x) for x in names}
+        self.longest = max(self.lengths, default=0)
+        # Bits of all prefixes of pieces: a place is given up at the first length that no piece begins with.
         self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[h & U((1 << 22) - 1)] = True
+        self.maybe[K.hashes(pa.array({x[:n] for x in names for n in range(1, len(x) + 1)}, pa.binary())) & U((1 << 22) - 1)] = True
 
     def edges(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Start, end and piece of all edges over words that lie one after the other in ``buf``, and the word of each place."""
+        """Start, end and piece of all edges over words that lie one after the other in ``buf``."""
         sums = K.prefix(buf)
-        size = np.diff(off)
-        last = np.repeat(off[1:], size)
-        at = np.arange(len(buf))
-        found = []
-        for n in self.lengths:
-            s = at[at + n <= last]
+        last = np.repeat(off[1:], np.diff(off))
+        s = np.arange(len(buf))
+        found = [(s[:0], s[:0], self.ids[:0])]
+        for n in range(1, self.longest + 1):
+            s = s[s + n <= last[s]]
             h = K.spans(sums, s, s + n)
             ok = self.maybe[h & U((1 << 22) - 1)]
             s, h = s[ok], h[ok]
-            i = np.minimum(np.searchsorted(self.keys, h), self.size - 1)
-            ok = self.keys[i] == h
-            found.append((s[ok], np.full(int(ok.sum()), n), self.ids[i[ok]]))
+            if n in self.lengths and len(s):
+                i = np.minimum(np.searchsorted(self.keys, h), self.size - 1)
+                ok = self.keys[i] == h
+                found.append((s[ok], np.full(int(ok.sum()), n), self.ids[i[ok]]))
         start, n, piece = (np.concatenate(x) for x in zip(*found))
         return start, start + n, piece
 
@@ -116,7 +117,7 @@ class Lattice:
         """Log sums of all paths from roots, edge by edge in order of depth of the edge's far end."""
         out = np.full(nodes, -np.inf)
         out[roots] = 0.0
-        order = np.lexsort((b, depth))
+        order = np.argsort(depth * nodes + b)
         a, b, depth, w = a[order], b[order], depth[order], w[order]
         cuts = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]) if len(depth) else np.zeros(0, np.int64)
         for lo, hi in zip(cuts, np.r_[cuts[1:], len(depth)]):
@@ -164,8 +165,8 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = text.encode().lower().split()
+        for text, held in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            words = text.lower().split()
             if held:
                 for w in set(words):
                     counts[w] += 0
@@ -259,12 +260,10 @@ def score(docs: DataFrame, path: str = PIECES, rounds: int = ROUNDS, frequent: i
     scored = cut(counted.mapInArrow(marginals(path, logp), "word binary, c long, lp double"), "scored")
     unit = n + 0.1 * (v + 1)
     term = F.log10((F.col("c") + 0.1) / F.lit(unit))
-    top = scored.orderBy(F.desc("c"), "word").limit(frequent).select("word", "c", term.alias("base"), "lp").collect()
-    raw = b"".join(bytes(r["word"]) for r in top)
-    off = np.r_[0, np.cumsum([len(r["word"]) for r in top])].astype(np.int64)
-    h = np.concatenate([K.spans(K.prefix(np.frombuffer(raw[a:b], np.uint8)), np.array([0]), np.array([b - a])) for a, b in zip(off, off[1:])]) if top else np.zeros(0, np.uint64)
+    top = scored.orderBy(F.desc("c"), "word").limit(frequent).select("word", (F.col("c") > 0).cast("double").alias("known"), term.alias("base"), "lp").toArrow()
+    h = K.hashes(top["word"])
     order = np.argsort(h)
-    table = spark.sparkContext.broadcast((h[order], *(np.array([float(f(r)) for r in top])[order] for f in (lambda r: r["c"] > 0, lambda r: r["base"], lambda r: r["lp"]))))
+    table = spark.sparkContext.broadcast((h[order], *(np.asarray(top[c])[order] for c in ("known", "base", "lp"))))
     narrow_batches(spark)
     kind = "doc_id long, held_out boolean, th long, n long, known long, base double, score double, rest array<binary>"
     parts = cut(body.select("doc_id", "held_out", F.xxhash64("text").alias("th"), "text").mapInArrow(score_frequent(table), kind), "parts")

@@ -33,7 +33,7 @@ from .common import narrow_batches
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Chunks that a worker remembers; the older half goes when it is full.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 #: Totals nearer than this are compared by the rules for equal scores.
 TIE = 1e-6
 MARK = "▁"
@@ -65,7 +65,9 @@ class Pieces:
                     inner.update(name[1:] if name[0] == MARK else name)
         #: A byte costs more than any piece.
         self.byte_score = low - 10.0
-        self.values = {i: v for v, i in self.bytes.items()}
+        values = {i: v for v, i in self.bytes.items()}
+        #: What each piece stands for in UTF-8.
+        self.raw = [bytes([values[i]]) if i in values else name.encode() for i, name in enumerate(self.names)]
         self.inner = inner
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
@@ -173,7 +175,8 @@ class Pieces:
     def encode(self, text: str, n: int) -> list[Path_]:
         """The n best segmentations of a whole text."""
         chunks = self.chunks(text)
-        got = [self.recall(c) for c in chunks]
+        known = self.new.get
+        got = [known(c) or self.recall(c) for c in chunks]
         first = float(sum(g[0] for g in got)), tuple(p for g in got for p in g[1])
         weak = heapq.nsmallest(n - 1, ((g[2], k) for k, g in enumerate(got) if g[2] != float("inf"))) if n > 1 else []
         if not weak:
@@ -195,10 +198,7 @@ class Pieces:
         return out
 
     def decode(self, pieces: list[int] | tuple[int, ...]) -> str:
-        out = bytearray()
-        for p in pieces:
-            out += bytes([self.values[p]]) if p in self.values else self.names[p].encode()
-        return out.decode(errors="replace").replace(MARK, " ")[1:]
+        return b"".join(map(self.raw.__getitem__, pieces)).decode(errors="replace").replace(MARK, " ")[1:]
 
 
 _loaded: dict[str, Pieces] = {}

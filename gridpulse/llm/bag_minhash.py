@@ -94,7 +94,7 @@ def sign(bands: int, rows: int):
     return run
 
 
-def similar(threshold: float):
+def similar():
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,20 +107,19 @@ def similar(threshold: float):
                     _, x, y = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
                     both = int(np.minimum(wa[x], wb[y]).sum())
                     found[i] = both / (int(wa.sum()) + int(wb.sum()) - both)
-            keep = pa.array(found >= threshold)
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (batch.column(0), batch.column(1), pa.array(found))], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], schema=out)
 
     return run
 
 
-def verified(docs: DataFrame, threshold: float):
-    """Pairs ``a, b`` of documents whose weighted Jaccard similarity reaches the threshold."""
+def verified(docs: DataFrame):
+    """Pairs ``a, b`` of documents with their weighted Jaccard ``similarity``."""
 
     def run(pairs: DataFrame) -> DataFrame:
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
         body = only(texts(docs), ids)
         a, b = (body.select(F.col("doc_id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(similar(threshold), "a long, b long, similarity double").dropDuplicates(["a", "b"])
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(similar(), "a long, b long, similarity double").dropDuplicates(["a", "b"])
 
     return run
 
@@ -136,7 +135,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     signed = cut(texts(docs).mapInArrow(sign(bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signed")
     words = signed.where("n_shingles > 0")
     first = cut(words.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.min("bands").alias("bands")), "first")
-    links = leader_links(first.select("id", F.explode("bands").alias("key")), verified(docs, similarity))
+    links = leader_links(first.select("id", F.explode("bands").alias("key")), verified(docs), similarity)
     roots = components(links)
     classes = first.join(roots.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "copies", F.coalesce("root", "id").alias("class_id"))
     classes = cut(classes, "classes")

@@ -17,6 +17,9 @@ ARROW_ROWS = 256
 #: At most so many ids or keys are broadcast to thin out a larger table; beyond, a shuffled semi-join does it.
 BROADCAST_IDS = 1_000_000
 
+#: Waiting members of a bucket meet the rest together as long as that makes at most about so many pairs.
+PAIRS = 4096
+
 _own_root: list[str] = []
 
 
@@ -82,39 +85,65 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
 
 
-def leader_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verified links ``a, b`` (a < b) among the ``id``s that share a ``key``.
-
-    Each bucket's smallest id leads; ``verify`` takes the distinct pairs of
-    leader and member and returns those that hold. Members that fail against
-    every leader of a bucket form it again under new leaders (16, then
-    256 a round: the smallest id of each hash slot), until no bucket has two
-    members. A bucket of n ids thus costs n pairs when its members are alike and
-    at most 256 * n a round otherwise, never all pairs at once. No group meets in
-    one task: leaders are grouped minima, and the join on the key can be split.
+def leader_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float | None = None) -> DataFrame:
+    """Verified links ``a, b`` (a < b) among the ``id``s that share a ``key``, enough to connect all that hold.
+
+    Members of a bucket are unreached, waiting or spent. Its smallest id leads and
+    meets all others; those that a link reaches wait, under the leader's ``seed``.
+    In each round some of the waiting meet all members that are not spent and not of
+    their own seed, and are spent; 1, 16, then 256 a round, or as many as make about
+    ``PAIRS`` pairs. Where no one waits, unreached members lead. Seeds that a link
+    joins become one. So of any two members the first to be spent meets the other,
+    unless links connect them already or they cannot hold. A bucket whose members are
+    all like its first leader costs n pairs, one of unlike members all
+    n * (n - 1) / 2. No group meets in one task: leaders are grouped minima, and the
+    join on the key can be split.
+
+    Without a ``threshold``, ``verify`` returns the pairs that hold. With one it
+    returns ``similarity`` for every pair, and one less it must be a metric (as
+    for Jaccard, weighted or not): two members whose distances to the first leader
+    differ by more than ``1 - threshold`` cannot hold and do not meet.
     """
-    left, links, slots, tried = cut(buckets.select("key", "id"), "buckets"), None, 1, None
+    far, kind = F.lit(None).cast("double").alias("far"), buckets.schema["id"].dataType
+    rest, links, slots, tried = cut(buckets.select("key", "id", far, F.lit(None).cast(kind).alias("seed")), "buckets"), None, 1, None
     while True:
-        slot = F.pmod(F.xxhash64("id", F.lit(slots)), F.lit(slots))
-        shared = cut(left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
-        left = cut(left.join(F.broadcast(shared) if shared.count() <= BROADCAST_IDS else shared, "key", "left_semi"), "left")
-        if is_empty(left):
-            return links if links is not None else left.select(F.col("id").alias("a"), F.col("id").alias("b"))
-        lead = left.groupBy("key", slot.alias("slot")).agg(F.min("id").alias("lead")).drop("slot")
-        met = left.join(lead, "key").where("id <> lead").select("key", "id", F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+        # A bucket is open while someone unreached or a second seed is left in it, and two members.
+        waits = F.col("seed").isNotNull()
+        open_ = rest.groupBy("key").agg(F.count("*").alias("n"), F.count("seed").alias("waiting"), F.min("seed").alias("s0"), F.max("seed").alias("s1"))
+        open_ = cut(open_.where("n > 1 and (waiting < n or s0 < s1)").select("key", (F.col("waiting") == 0).alias("fresh"), F.when(F.col("s0") == F.col("s1"), F.col("n") - F.col("waiting")).otherwise(F.col("n")).alias("n")), "open")
+        rest = cut(rest.join(F.broadcast(open_) if open_.count() <= BROADCAST_IDS else open_, "key"), "rest")
+        if is_empty(rest):
+            return links if links is not None else rest.select(F.col("id").alias("a"), F.col("id").alias("b"))
+        wide = F.when(F.col("fresh"), F.lit(slots)).otherwise(F.greatest(F.lit(slots), F.floor(F.lit(PAIRS) / F.col("n"))))
+        lead = rest.where(F.col("fresh") | waits).groupBy("key", F.pmod(F.xxhash64("id", F.lit(slots)), wide).alias("slot")).agg(F.min(F.struct("id", "far", "seed")).alias("m"))
+        lead = cut(lead.select("key", F.col("m.id").alias("by"), F.col("m.far").alias("by_far"), F.coalesce("m.seed", "m.id").alias("by_seed")), "lead")
+        rest = rest.select("key", "id", "far", "seed").join(lead.select("key", F.col("by").alias("id"), F.col("by_seed").alias("led")), ["key", "id"], "left")
+        rest = rest.withColumn("seed", F.coalesce("seed", "led"))
+        met = rest.join(lead, "key").where("(seed is null or seed <> by_seed) and (led is null or by < id)")
+        if threshold is not None:
+            met = met.where(F.coalesce(F.abs(F.col("far") - F.col("by_far")) <= 1 - threshold + 1e-9, F.lit(True)))
+        met = cut(met.select("key", "id", "seed", "by_seed", F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")), "met")
         pairs = met.select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
-        held = cut(verify(pairs).select("a", "b"), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = held if links is None else links.union(held)
-        done = met.join(links, ["a", "b"]).select("key", "id").union(lead.select("key", F.col("lead").alias("id"))).distinct()
-        left = left.join(done, ["key", "id"], "left_anti")
+        scored = cut(verify(pairs), "links")
+        held = (scored if threshold is None else scored.where(F.col("similarity") >= threshold)).select("a", "b")
+        first = tried is None
+        tried = pairs if first else tried.union(pairs)
+        links = held if first else links.union(held)
+        hits = met.join(links, ["a", "b"]).select("key", "id", "seed", "by_seed")
+        low = hits.groupBy("key", "id").agg(F.min(F.least("seed", "by_seed")).alias("low"))
+        roots = hits.join(low, ["key", "id"]).select("key", F.explode(F.array("seed", "by_seed")).alias("s"), "low").where("s is not null").groupBy("key", "s").agg(F.min("low").alias("root"))
+        rest = rest.where("led is null").drop("led").join(low, ["key", "id"], "left").withColumn("s", F.least("seed", "low")).drop("seed", "low")
+        rest = rest.join(roots, ["key", "s"], "left").withColumn("seed", F.coalesce("root", "s"))
+        if first and threshold is not None:
+            apart = met.join(scored, ["a", "b"]).select("key", "id", (1 - F.col("similarity")).alias("far"))
+            rest = rest.drop("far").join(apart, ["key", "id"], "left")
+        rest = cut(rest.select("key", "id", "far", "seed"), "rest")
         slots = min(256, slots * 16)
 
 
-
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is in ``ids`` (one distinct column ``doc_id``, already written)."""
     if len(ids.take(1)) == 0:

@@ -67,8 +67,8 @@ def buckets(found: DataFrame) -> DataFrame:
     return least.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("id"), F.explode(keys).alias("key"))
 
 
-def verified(docs: DataFrame, similarity: float):
-    """Pairs ``a, b`` of lines whose exact shingle similarity reaches the threshold."""
+def verified(docs: DataFrame):
+    """Pairs ``a, b`` of lines with their exact shingle ``similarity``."""
 
     def run(pairs: DataFrame) -> DataFrame:
         ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
@@ -78,8 +78,7 @@ def verified(docs: DataFrame, similarity: float):
         # Lines travel, a tenth of the size of their shingles; lambdas name each side's shingles once.
         sides = F.array(F.struct(*(F.array_distinct(F.transform(dense(F.col(f"line_{k}")), lambda x: F.xxhash64(x))).alias(k) for k in "ab")))
         sizes = F.transform(sides, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("sum")))
-        scored = pairs.join(a, "a").join(b, "b").select("a", "b", F.get(F.transform(sizes, lambda x: x["both"] / (x["sum"] - x["both"])), F.lit(0)).alias("similarity"))
-        return scored.where(F.col("similarity") >= similarity).dropDuplicates(["a", "b"])
+        return pairs.join(a, "a").join(b, "b").select("a", "b", F.get(F.transform(sizes, lambda x: x["both"] / (x["sum"] - x["both"])), F.lit(0)).alias("similarity")).dropDuplicates(["a", "b"])
 
     return run
 
@@ -87,7 +86,7 @@ def verified(docs: DataFrame, similarity: float):
 def line_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per line that is not blank: ``doc_id, line_no, keep_doc_id, keep_line_no, kept``."""
     found = lines(docs).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"), F.count("*").alias("copies"), F.first("line").alias("line"))
-    roots = components(leader_links(buckets(found), verified(docs, similarity)))
+    roots = components(leader_links(buckets(found), verified(docs), similarity))
     every = lines(docs).drop("line")
     first = every.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"), F.count("*").alias("copies"))
     many = first.join(roots.withColumnRenamed("node", "id"), "id", "left").where("copies > 1 or root is not null")

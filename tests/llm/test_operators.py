@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridpulse.llm import bag_minhash, exact_dedup, kernels, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, substring_dedup, suffix_dedup
+from gridpulse.llm import bag_minhash, common, exact_dedup, kernels, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, substring_dedup, suffix_dedup
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long, node string, key string"
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
@@ -340,3 +340,31 @@ def test_n_best_is_exact():
         whole = "▁" + text.replace(" ", "▁")
         got = [s for s, _ in held.encode(text, 6)]
         assert got == pytest.approx(every(whole)[: len(got)]) and len(got) == min(6, len(every(whole)))
+
+
+def test_links_connect_all_that_hold(spark):
+    """One bucket: stars whose hub has a middle id, and two stars whose only bridge joins two matched members."""
+    star = [(i, 10) for i in range(21) if i != 10]
+    bridge = [(100, 103), (101, 104), (103, 104)]
+    held = {tuple(sorted(e)) for e in star + bridge}
+    ids = list(range(21)) + [100, 101, 103, 104]
+    hop = {(a, b): 0.0 for a in ids for b in ids}
+    for a in ids:
+        for b in ids:
+            one, two = tuple(sorted((a, b))) in held, any(tuple(sorted((a, c))) in held and tuple(sorted((c, b))) in held for c in ids)
+            hop[a, b] = 0.85 if one else 0.73 if two else 0.55 if min(a, b) >= 100 else 0.0
+    table = spark.createDataFrame([(a, b, s) for (a, b), s in hop.items() if a < b], "a long, b long, similarity double")
+    bucket = spark.createDataFrame([(k, i) for k in (1, 2) for i in ids], "key long, id long")
+    want = union(ids, held)
+    for threshold in (0.8, None):
+        seen = []
+
+        def verify(pairs):
+            seen.append(pairs)
+            scored = pairs.join(table, ["a", "b"])
+            return scored if threshold else scored.where("similarity >= 0.8").select("a", "b")
+
+        links = [(r["a"], r["b"]) for r in common.leader_links(bucket, verify, threshold).collect()]
+        assert set(links) <= held and union(ids, links) == want
+        pairs = [tuple(r) for p in seen for r in p.collect()]
+        assert len(pairs) == len(set(pairs)) <= len(ids) * (len(ids) - 1) // 2

@@ -368,3 +368,13 @@ def test_links_connect_all_that_hold(spark):
         assert set(links) <= held and union(ids, links) == want
         pairs = [tuple(r) for p in seen for r in p.collect()]
         assert len(pairs) == len(set(pairs)) <= len(ids) * (len(ids) - 1) // 2
+
+
+def test_passage_of_one_repeated_line(spark):
+    """Twelve words five times over have twelve distinct shingles, in a passage of sixty words."""
+    rng = random.Random(11)
+    line = sentence(rng, 12)
+    body = "\n".join([line] * 5)
+    table = spark.createDataFrame([(1, sentence(rng, 30) + "\n" + body + "\n" + sentence(rng, 30)), (2, sentence(rng, 45) + "\n" + body), (3, sentence(rng, 90))], "doc_id long, text string")
+    got = [(r["doc_id"], r["start_word"], r["end_word"], r["partner_id"], r["partner_start"], r["partner_end"], r["similarity"]) for r in substring_dedup.repeated_passages(table).collect()]
+    assert got == [(2, 45, 105, 1, 30, 90, 1.0)]

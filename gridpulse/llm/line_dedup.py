@@ -2,11 +2,13 @@
 
 A line is a piece of text between line feeds, trimmed of white space; blank
 lines are left alone. Equal lines (128-bit hash) are one before any comparison.
-Signatures take character shingles: every seven characters of a short line, and
-for a long one the twelve characters from each word start (or from each character
-of scripts without blanks), a choice made by content, so that equal passages
-choose alike. A line of 100 to 124 characters has both, so two lines of which
-one is four fifths as long as the other always share a kind. Minima under 48
+Signatures take character shingles: every five characters of a tiny line, every
+seven of a short one, and for a long one the twelve characters from each word start
+(or from each character of scripts without blanks), a choice made by content, so
+that equal passages choose alike. The number of distinct five-character shingles
+tells tiny, short and long lines apart, whatever their characters; 20 to 24 is tiny
+and short, 100 to 124 short and long, so two lines of which one has four fifths as
+many as the other always share a kind. Minima under 48
 XOR masks come from one hash aggregate; bands of them form buckets. Shingles this
 long are rare in unrelated lines, which keeps chance meetings few as lines grow
 in number. ``leader_links`` compares within
@@ -29,7 +31,8 @@ from .common import components, cut, leader_links, only, texts
 SIMILARITY = 0.8
 #: Bands and rows for short and for long lines, over the same minima.
 BANDS, MINIMA = ((9, 5), (12, 4)), 48
-SHORT, LONG = 125, 100
+#: Distinct shingles: a tiny line has fewer than the first, a short one from the second and fewer than the third, a long one from the fourth.
+TINY, SOME, SHORT, LONG = 25, 20, 125, 100
 EVERY = r"(?s)(?=(.{5}))"
 SEVEN = r"(?s)(?=(.{7}))"
 STARTS = r"(?s)(?=((?:(?<!\S)\S|[⺀-￿]).{0,11}))"
@@ -56,14 +59,18 @@ def dense(line: Column, size: int = 5, pattern: str = EVERY) -> Column:
 
 def buckets(found: DataFrame) -> DataFrame:
     """``key, id`` of the bands of distinct lines ``h1, h2, id, line``."""
-    n = F.length("line")
     low = F.lower("line")
-    kinds = F.array_compact(F.array(F.when(n < SHORT, F.struct(F.lit(0).alias("kind"), dense(F.col("line"), 7, SEVEN).alias("s"))), F.when(n >= LONG, F.struct(F.lit(1).alias("kind"), F.regexp_extract_all(low, F.lit(STARTS), F.lit(1)).alias("s")))))
+    n = F.size(F.array_distinct(F.transform(dense(F.col("line")), lambda x: F.xxhash64(x))))
+    found = found.withColumn("n", n)
+    kind = lambda k, among, s: F.when(among, F.struct(F.lit(k).alias("kind"), s.alias("s")))
+    tiny = kind(2, F.col("n") < TINY, dense(F.col("line")))
+    short = kind(0, (F.col("n") >= SOME) & (F.col("n") < SHORT), dense(F.col("line"), 7, SEVEN))
+    kinds = F.array_compact(F.array(tiny, short, kind(1, F.col("n") >= LONG, F.regexp_extract_all(low, F.lit(STARTS), F.lit(1)))))
     one = found.select("h1", "h2", F.col("id.doc_id").alias("d"), F.col("id.line_no").alias("l"), F.explode(kinds).alias("k"))
     one = one.select("h1", "h2", "d", "l", "k.kind", F.explode("k.s").alias("s")).withColumn("x", F.xxhash64("s"))
     least = one.groupBy("h1", "h2", "d", "l", "kind").agg(*(F.min(F.col("x").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(MINIMA))))
     short, long = (F.array(*(F.xxhash64("kind", F.lit(b), *(f"m{b * rows + r}" for r in range(rows))) for b in range(bands))) for bands, rows in BANDS)
-    keys = F.when(F.col("kind") == 0, short).otherwise(long)
+    keys = F.when(F.col("kind") == 1, long).otherwise(short)
     return least.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("id"), F.explode(keys).alias("key"))
 
 

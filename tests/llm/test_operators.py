@@ -378,3 +378,13 @@ def test_passage_of_one_repeated_line(spark):
     table = spark.createDataFrame([(1, sentence(rng, 30) + "\n" + body + "\n" + sentence(rng, 30)), (2, sentence(rng, 45) + "\n" + body), (3, sentence(rng, 90))], "doc_id long, text string")
     got = [(r["doc_id"], r["start_word"], r["end_word"], r["partner_id"], r["partner_start"], r["partner_end"], r["similarity"]) for r in substring_dedup.repeated_passages(table).collect()]
     assert got == [(2, 45, 105, 1, 30, 90, 1.0)]
+
+
+def test_lines_of_few_shingles_meet_at_any_length(spark):
+    """Equal sets of shingles in lines of 5 to 600 characters, whatever their lengths."""
+    rng = random.Random(12)
+    phrase = sentence(rng, 3)
+    groups = [["-" * n for n in (5, 6, 7, 80, 110, 130, 600)], [" ".join([phrase] * n) for n in (3, 5, 11, 30)]]
+    table = spark.createDataFrame([(100 * g + i, x) for g, group in enumerate(groups) for i, x in enumerate(group)], "doc_id long, text string")
+    got = {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.line_classes(table).collect()}
+    assert got == {100 * g + i: 100 * g for g, group in enumerate(groups) for i in range(len(group))}

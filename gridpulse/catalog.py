@@ -121,6 +121,11 @@ def type_pairs(spark, d):
     return E.type_pairs(v).select("sig_key", "i", "j", F.round("ncc", 5).alias("ncc"))
 
 
+def type_pairs_whole(spark, d):
+    """All pairs of windows of each signal; the SQL of ``type_pairs`` asks for the first twelve windows."""
+    return E.type_pairs(vectors(spark, d).withColumn("event_idx", F.col("win_idx"))).select("sig_key", "i", "j", F.round("ncc", 5).alias("ncc"))
+
+
 def type_linkage(spark, d):
     return E.cluster_types(E.references(chained(spark, d)), SIMILAR)
 
@@ -159,6 +164,19 @@ def registry_match(spark, d):
     return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
 
 
+def shared_types_whole(spark, d):
+    """Every window is a type; the SQL of ``shared_types`` asks for the first three of each signal."""
+    v = vectors(spark, d).select("sig_key", F.col("win_idx").alias("cid"), F.col("signal").alias("window"))
+    return E.shared_types(v, SIMILAR).select("sig_key_a", "cid_a", "sig_key_b", "cid_b", F.round("ncc", 5).alias("ncc"))
+
+
+def registry_match_whole(spark, d):
+    """All windows are the registry; the SQL of ``registry_match`` asks for eight of them."""
+    v = vectors(spark, d)
+    known = v.select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"))
+    return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
+
+
 def gantt_bars(spark, d):
     w = event_windows(spark, d).select("sig_key", F.col("win_idx").alias("event_id"), "start_ts", "end_ts")
     return R.gantt(w)
@@ -206,7 +224,7 @@ def severity(spark, d):
     return R.severity(w.select("sig_key", "win_idx", "n", F.round("mean_range", 4).alias("mean_range")))
 
 
-QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_pairs_whole, type_linkage, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, shared_types_whole, registry_match, registry_match_whole, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
 
 
 def queries():

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WS
-from .line_dedup import masks
 
 CONTAINMENT, BANDS = 0.8, 24
 #: The most templates and template shingles that are sent to every executor.
@@ -65,12 +64,12 @@ def hashes(words: str) -> Column:
 
 
 def minima(h: Column, bands: int) -> Column:
-    """One key for each band: the least hash under its mask, unmasked again."""
+    """One key for each band: the shingle whose hash, seeded anew for the band, is least."""
 
-    def least(m: int) -> Column:
-        return F.array_min(F.transform(h, lambda x: x.bitwiseXOR(F.lit(m)))).bitwiseXOR(F.lit(m))
+    def least(band: int) -> Column:
+        return F.array_min(F.transform(h, lambda x: F.struct(F.xxhash64(x, F.lit(band)).alias("hash"), x.alias("key"))))["key"]
 
-    return F.array(*map(least, masks(bands)))
+    return F.array(*map(least, range(bands)))
 
 
 def holding(h: str, size: int, keys: list[int]) -> Column:

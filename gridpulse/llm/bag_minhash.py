@@ -8,9 +8,15 @@ points below the weight, so two documents agree on it with probability equal to
 their weighted Jaccard similarity. Points are generated in order of time and a
 process stops once it is later than everything the signature can still use.
 
+The dyadic levels of a shingle are independent processes, not split from a parent,
+which gives the same law for the earliest times.
+
 Copies (equal multisets) are one class before any comparison. Bands of the
-signatures form buckets, ``leader_links`` compares within them, and the exact
-weighted Jaccard over the whole texts decides.
+signatures form buckets, ``class_links`` pairs within them, pairs of which too many
+components differ (four bits of each are kept) go no further, and the exact weighted
+Jaccard over the whole texts decides. A pair at similarity 0.8 shares a bucket with
+probability 0.998 and passes the count of components with 0.9998; both rise with
+similarity.
 
 Defined cases: null text is empty; a document without a word is alone; one with
 fewer than five words has a single shingle of all; ``doc_id`` is the key, rows
@@ -19,18 +25,21 @@ repeated in full are copies of each other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import components, cut, leader_links, narrow_batches, only, texts
+from .common import class_links, components, cut, narrow_batches, only, texts
 
-BANDS, ROWS = 14, 4
+BANDS, ROWS = 21, 6
 SIMILARITY = 0.8
+#: Longs of sixteen four-bit components each, and the standard deviations that the count of unlike ones may lie above its mean.
+PACKED, SPREAD = 16, 3.6
 U = np.uint64
 
 
@@ -65,7 +74,7 @@ def signatures(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, m: in
     return sig.reshape(n, m)
 
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
 
 
 def sign(bands: int, rows: int):
@@ -89,37 +98,57 @@ def sign(bands: int, rows: int):
                 for r in range(rows):
                     key = K.mix(key ^ bits[:, :, r])
                 values = pa.array(K.signed(np.ascontiguousarray(key)).ravel())
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, n), pa.array(count), pa.array(K.signed(d[0])), pa.array(K.signed(d[1])), K.lists(values, np.arange(n + 1) * bands)], schema=SIGNED)
+                packed = np.zeros((n, -(-m // PACKED)), np.uint64)
+                nibbles = K.mix(bits.reshape(n, m)) >> U(60)
+                for c in range(m):
+                    packed[:, c // PACKED] |= nibbles[:, c] << U(4 * (c % PACKED))
+                longs = pa.array(K.signed(packed.ravel()))
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, n), pa.array(count), pa.array(K.signed(d[0])), pa.array(K.signed(d[1])), K.lists(values, np.arange(n + 1) * bands), K.lists(longs, np.arange(n + 1) * packed.shape[1])], schema=SIGNED)
+
+    return run
+
+
+def alike(m: int, similarity: float):
+    """A condition on two packed signatures of m components: no more unlike ones than a similar pair has."""
+    differ = (1 - similarity) * 15 / 16
+    most = math.floor(m * differ + SPREAD * math.sqrt(m * differ * (1 - differ)))
+
+    def unlike(x: Column) -> Column:
+        half = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return F.bit_count(half.bitwiseOR(F.shiftrightunsigned(half, 2)).bitwiseAND(F.lit(0x1111111111111111))).cast("int")
+
+    def run(a: Column, b: Column) -> Column:
+        return sum((unlike(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(-(-m // PACKED))), F.lit(0)) <= most
 
     return run
 
 
-def similar():
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+def multisets():
+    schema = pa.schema([("id", pa.int64()), ("s", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [K.buffers(batch.column(i)) for i in (2, 3)]
-            found = np.zeros(batch.num_rows)
-            for i in range(batch.num_rows):
-                (ha, wa), (hb, wb) = (np.unique(K.shingles(*K.words(buf[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]))[2:])[2], return_counts=True) for buf, off in sides)
-                if len(ha) and len(hb):
-                    _, x, y = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-                    both = int(np.minimum(wa[x], wb[y]).sum())
-                    found[i] = both / (int(wa.sum()) + int(wb.sum()) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], schema=out)
+            ids, (buf, off) = batch.column(0), K.buffers(batch.column(1))
+            for lo, hi in K.steps(off):
+                n = hi - lo
+                _, _, row, h = K.words(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
+                row, _, h = K.shingles(row, h)
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
+                new = np.r_[True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])][: len(h)]
+                at = np.arange(len(h))
+                nth = at - np.maximum.accumulate(np.where(new, at, 0))
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, n), K.lists(K.signed(K.mix(h + nth.astype(np.uint64) * K.BASE)), K.ragged(row, n))], schema=schema)
 
     return run
 
 
-def verified(docs: DataFrame):
-    """Pairs ``a, b`` of documents with their weighted Jaccard ``similarity``."""
+def expanded(docs: DataFrame):
+    """The multisets of documents as sets: the k-th of equal shingles is an element of its own, so that their Jaccard similarity is the weighted one."""
 
-    def run(pairs: DataFrame) -> DataFrame:
-        ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-        body = only(texts(docs), ids)
-        a, b = (body.select(F.col("doc_id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(similar(), "a long, b long, similarity double").dropDuplicates(["a", "b"])
+    def run(ids: DataFrame) -> DataFrame:
+        ids = cut(ids.select(F.col("id").alias("doc_id")), "ids")
+        return only(texts(docs), ids).mapInArrow(multisets(), "id long, s array<long>").dropDuplicates(["id"])
 
     return run
 
@@ -128,20 +157,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     """One row per document: ``doc_id, class_id, class_size, n_shingles, kept``.
 
     ``class_id`` is the smallest ``doc_id`` of the class; that document is kept.
-    With 14 bands of 4, a pair at similarity 0.8 shares a bucket with
-    probability 0.999.
     """
     narrow_batches(docs.sparkSession)
-    signed = cut(texts(docs).mapInArrow(sign(bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signed")
-    words = signed.where("n_shingles > 0")
-    first = cut(words.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.min("bands").alias("bands")), "first")
-    links = leader_links(first.select("id", F.explode("bands").alias("key")), verified(docs), similarity)
+    signed = cut(texts(docs).mapInArrow(sign(bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sig array<long>"), "signed")
+    first = cut(signed.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "first")
+    own = signed.withColumnRenamed("doc_id", "id").join(first.select("id", "d1", "d2"), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id"])
+    own = cut(own.select("id", "bands", "sig"), "own")
+    links = class_links(own.select("id", F.explode("bands").alias("key")), expanded(docs), similarity, (own.select("id", "sig"), alike(bands * rows, similarity)))
     roots = components(links)
     classes = first.join(roots.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "copies", F.coalesce("root", "id").alias("class_id"))
     classes = cut(classes, "classes")
     sizes = classes.groupBy("class_id").agg(F.sum("copies").alias("class_size"))
     classes = classes.drop("copies").join(sizes, "class_id")
-    found = signed.drop("bands").join(classes, (signed.d1 == classes.d1) & (signed.d2 == classes.d2) & (signed.n_shingles > 0), "left")
+    found = signed.drop("bands", "sig").join(classes, (signed.d1 == classes.d1) & (signed.d2 == classes.d2) & (signed.n_shingles > 0), "left")
     own = F.coalesce("class_id", "doc_id")
     return found.select("doc_id", own.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), "n_shingles", own.eqNullSafe(F.col("doc_id")).alias("kept"))
 

@@ -1,4 +1,4 @@
-"""Shared plumbing: lineage cuts, connected components and leader linking."""
+"""Shared plumbing: lineage cuts, connected components and the links of candidate buckets."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that separates words: blank and the bytes 9 to 13.
@@ -17,17 +17,17 @@ ARROW_ROWS = 256
 #: At most so many ids or keys are broadcast to thin out a larger table; beyond, a shuffled semi-join does it.
 BROADCAST_IDS = 1_000_000
 
-#: Waiting members of a bucket meet the rest together as long as that makes at most about so many pairs.
-PAIRS = 4096
-
 _own_root: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is configured."""
+    """The folder that driver and executors share; one of our own only in local mode, where none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_root:
         _own_root.append("file://" + tempfile.mkdtemp(prefix="gridpulse-"))
     return _own_root[0]
@@ -41,7 +41,30 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*cuts: DataFrame) -> None:
+    """Remove the files of cuts that nothing reads any more."""
+    for df in cuts:
+        if path := getattr(df, "_cut_path", None):
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def swap(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new``, made from the cut ``old``, as a cut; the files of ``old`` go."""
+    new = cut(new, name)
+    release(old)
+    return new
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A cut, marked for broadcast if a count finds few rows in it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
 def narrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
@@ -76,72 +99,93 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = cut(small, "edges")
+        tight = large.join(low, "u")
+        tight = tight.select(F.col("v").alias("u"), F.col("m").alias("v")).union(tight.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        e = swap(e, tight, "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = now
 
 
-def leader_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float | None = None) -> DataFrame:
-    """Verified links ``a, b`` (a < b) among the ``id``s that share a ``key``, enough to connect all that hold.
-
-    Members of a bucket are unreached, waiting or spent. Its smallest id leads and
-    meets all others; those that a link reaches wait, under the leader's ``seed``.
-    In each round some of the waiting meet all members that are not spent and not of
-    their own seed, and are spent; 1, 16, then 256 a round, or as many as make about
-    ``PAIRS`` pairs. Where no one waits, unreached members lead. Seeds that a link
-    joins become one. So of any two members the first to be spent meets the other,
-    unless links connect them already or they cannot hold. A bucket whose members are
-    all like its first leader costs n pairs, one of unlike members all
-    n * (n - 1) / 2. No group meets in one task: leaders are grouped minima, and the
-    join on the key can be split.
-
-    Without a ``threshold``, ``verify`` returns the pairs that hold. With one it
-    returns ``similarity`` for every pair, and one less it must be a metric (as
-    for Jaccard, weighted or not): two members whose distances to the first leader
-    differ by more than ``1 - threshold`` cannot hold and do not meet.
+#: Sets of at most so many elements in all (8 bytes each) are broadcast to the pairs; beyond, both shuffle.
+BROADCAST_ELEMENTS = 4_000_000
+
+Near = tuple[DataFrame, Callable[[Column, Column], Column]]
+
+
+def jaccard(a: str, b: str) -> Column:
+    """Similarity of two arrays of distinct values."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
+
+
+def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: float, near: Near | None = None) -> DataFrame:
+    """Links ``a, b`` (a < b) that join all whose Jaccard similarity reaches ``threshold`` among the ``id``s that share a ``key``.
+
+    ``sets`` returns ``id, s``, an array of distinct hashes, for ``ids`` it gets; it is
+    asked once, for all ids that share a key. Rows of ``buckets`` may repeat.
+
+    In a bucket the member that meets most others over all its buckets leads, which
+    in a group of edited copies is the original, and meets all others: n - 1 pairs.
+    Then the same is done for the most met member outside the leader's component.
+    What is left open, members of unlike components of one bucket, meets in a join
+    on the key that skew handling can split and whose condition is the test itself:
+    a pair is looked at in its least common bucket, unless one component holds both,
+    signatures are too far apart (``near``: ``id, sig`` and a condition on two
+    ``sig``), or the distances to the bucket's leader differ by more than
+    ``1 - threshold`` (a metric); only links come out. So no link is left out unless
+    others connect its ends, and no group's pairs are listed. The work of the last
+    join is quadratic only in members that are alike enough to share buckets and yet
+    unlike their leaders. Three steps at any size.
     """
-    far, kind = F.lit(None).cast("double").alias("far"), buckets.schema["id"].dataType
-    rest, links, slots, tried = cut(buckets.select("key", "id", far, F.lit(None).cast(kind).alias("seed")), "buckets"), None, 1, None
-    while True:
-        # A bucket is open while someone unreached or a second seed is left in it, and two members.
-        waits = F.col("seed").isNotNull()
-        open_ = rest.groupBy("key").agg(F.count("*").alias("n"), F.count("seed").alias("waiting"), F.min("seed").alias("s0"), F.max("seed").alias("s1"))
-        open_ = cut(open_.where("n > 1 and (waiting < n or s0 < s1)").select("key", (F.col("waiting") == 0).alias("fresh"), F.when(F.col("s0") == F.col("s1"), F.col("n") - F.col("waiting")).otherwise(F.col("n")).alias("n")), "open")
-        rest = cut(rest.join(F.broadcast(open_) if open_.count() <= BROADCAST_IDS else open_, "key"), "rest")
-        if is_empty(rest):
-            return links if links is not None else rest.select(F.col("id").alias("a"), F.col("id").alias("b"))
-        wide = F.when(F.col("fresh"), F.lit(slots)).otherwise(F.greatest(F.lit(slots), F.floor(F.lit(PAIRS) / F.col("n"))))
-        lead = rest.where(F.col("fresh") | waits).groupBy("key", F.pmod(F.xxhash64("id", F.lit(slots)), wide).alias("slot")).agg(F.min(F.struct("id", "far", "seed")).alias("m"))
-        lead = cut(lead.select("key", F.col("m.id").alias("by"), F.col("m.far").alias("by_far"), F.coalesce("m.seed", "m.id").alias("by_seed")), "lead")
-        rest = rest.select("key", "id", "far", "seed").join(lead.select("key", F.col("by").alias("id"), F.col("by_seed").alias("led")), ["key", "id"], "left")
-        rest = rest.withColumn("seed", F.coalesce("seed", "led"))
-        met = rest.join(lead, "key").where("(seed is null or seed <> by_seed) and (led is null or by < id)")
-        if threshold is not None:
-            met = met.where(F.coalesce(F.abs(F.col("far") - F.col("by_far")) <= 1 - threshold + 1e-9, F.lit(True)))
-        met = cut(met.select("key", "id", "seed", "by_seed", F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")), "met")
-        pairs = met.select("a", "b").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        scored = cut(verify(pairs), "links")
-        held = (scored if threshold is None else scored.where(F.col("similarity") >= threshold)).select("a", "b")
-        first = tried is None
-        tried = pairs if first else tried.union(pairs)
-        links = held if first else links.union(held)
-        hits = met.join(links, ["a", "b"]).select("key", "id", "seed", "by_seed")
-        low = hits.groupBy("key", "id").agg(F.min(F.least("seed", "by_seed")).alias("low"))
-        roots = hits.join(low, ["key", "id"]).select("key", F.explode(F.array("seed", "by_seed")).alias("s"), "low").where("s is not null").groupBy("key", "s").agg(F.min("low").alias("root"))
-        rest = rest.where("led is null").drop("led").join(low, ["key", "id"], "left").withColumn("s", F.least("seed", "low")).drop("seed", "low")
-        rest = rest.join(roots, ["key", "s"], "left").withColumn("seed", F.coalesce("root", "s"))
-        if first and threshold is not None:
-            apart = met.join(scored, ["a", "b"]).select("key", "id", (1 - F.col("similarity")).alias("far"))
-            rest = rest.drop("far").join(apart, ["key", "id"], "left")
-        rest = cut(rest.select("key", "id", "far", "seed"), "rest")
-        slots = min(256, slots * 16)
+    keys = cut(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "keys")
+    members = cut(buckets.join(small(keys), "key").distinct(), "members")
+    found = cut(sets(members.select("id").distinct()), "sets")
+    most = F.struct("score", -F.col("id"))
+    score = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("score"))
+    members = swap(members, members.join(score, "id").select("key", "id", "score"), "scored")
+    lead = cut(members.groupBy("key").agg(F.max_by("id", most).alias("by")), "leaders")
+    light = (found.agg(F.sum(F.size("s"))).first()[0] or 0) <= BROADCAST_ELEMENTS
+    tried = links = None
+    for turn in range(2):
+        if turn:
+            main = members.where("id = by").select("key", F.col("comp").alias("main"))
+            other = members.join(main, "key").where("comp <> main").groupBy("key").agg(F.max_by(F.struct("id", "comp"), most).alias("other"))
+            met = members.join(other, "key").where("comp <> other.comp").select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b"))
+            met = met.distinct().join(tried, ["a", "b"], "left_anti")
+        else:
+            met = members.join(lead, "key").where("id <> by").select(F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")).distinct()
+        if near:
+            a, b = (near[0].select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
+            met = met.join(a, "a").join(b, "b").where(near[1](F.col("sig_a"), F.col("sig_b"))).select("a", "b")
+        a, b = (found.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
+        if light:
+            a, b = F.broadcast(a), F.broadcast(b)
+        tried = cut(met.join(a, "a").join(b, "b").select("a", "b", jaccard("sa", "sb").alias("similarity")), "pairs")
+        held = tried.where(F.col("similarity") >= threshold).select("a", "b")
+        links = cut(held if links is None else links.union(held), "links")
+        if not turn:
+            known = tried.select("a", "b", (1 - F.col("similarity")).alias("far"))
+            members = members.join(lead, "key").select("key", "id", "score", "by", F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")).join(known, ["a", "b"], "left")
+            members = members.withColumn("far", F.when(F.col("id") == F.col("by"), F.lit(0.0)).otherwise(F.col("far"))).drop("a", "b")
+        roots = components(links).withColumnRenamed("node", "id")
+        members = cut(members.drop("comp").join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root"), "classed")
+        mixed = members.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
+        members = swap(members, members.join(small(cut(mixed, "mixed")), "key"), "open")
+        if is_empty(members):
+            return links
+    open_ = members.join(members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id").join(found, "id")
+    if near:
+        open_ = open_.join(near[0], "id")
+    a, b = (open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by"))) for k in "ab")
+    may = (F.col("key_a") == F.col("key_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b"))
+    may = may & F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) <= 1 - threshold + 1e-9, F.lit(True))
+    if near:
+        may = may & near[1](F.col("sig_a"), F.col("sig_b"))
+    may = may & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key_a")) & (jaccard("s_a", "s_b") >= threshold)
+    last = a.join(b, may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return cut(links.union(last), "links")
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -8,12 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 #: White space that separates words: blank and the bytes 9 to 13.
 WS = r"[\x20\x09-\x0D]+"
 #: Wide rows cross to Python in batches of this many.
 ARROW_ROWS = 256
 
+#: At most so many edges are contracted in one task, which spares a round its shuffles; beyond, rounds shuffle.
+ONE_TASK_EDGES = 200_000
+
 #: At most so many ids or keys are broadcast to thin out a larger table; beyond, a shuffled semi-join does it.
 BROADCAST_IDS = 1_000_000
 
@@ -86,21 +90,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star contraction: every step is a grouped
     minimum (combined before the shuffle) and one equi-join that skew handling
-    can split, so neither a hub nor a component meets in one task. Edges are
-    written to the shared folder after each round.
+    can split, so neither a hub nor a component meets in one task, unless all edges
+    are few (counted first). Edges are written to the shared folder after each round.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = cut(e, "edges")
-    if is_empty(e):
+    n = e.count()
+    if not n:
         return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    # In one partition, groups and joins need no shuffle.
+    held = (lambda df: df.coalesce(1)) if n <= ONE_TASK_EDGES else (lambda df: df)
     seen = None
     while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = held(e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         tight = large.join(low, "u")
-        tight = tight.select(F.col("v").alias("u"), F.col("m").alias("v")).union(tight.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        tight = held(tight.select(F.col("v").alias("u"), F.col("m").alias("v")).union(tight.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
         e = swap(e, tight, "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
@@ -109,7 +116,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 #: Sets of at most so many elements in all (8 bytes each) are broadcast to the pairs; beyond, both shuffle.
-BROADCAST_ELEMENTS = 4_000_000
+BROADCAST_ELEMENTS = 500_000
 
 Near = tuple[DataFrame, Callable[[Column, Column], Column]]
 
@@ -120,11 +127,12 @@ def jaccard(a: str, b: str) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: float, near: Near | None = None) -> DataFrame:
+def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: float, near: Near | None = None, expand: Callable[[Column], Column] = lambda s: s) -> DataFrame:
     """Links ``a, b`` (a < b) that join all whose Jaccard similarity reaches ``threshold`` among the ``id``s that share a ``key``.
 
-    ``sets`` returns ``id, s``, an array of distinct hashes, for ``ids`` it gets; it is
-    asked once, for all ids that share a key. Rows of ``buckets`` may repeat.
+    ``sets`` returns ``id, s`` for the ids it gets, of which ``expand`` makes an array
+    of distinct hashes; it is asked once, for all ids that share a key. Rows of
+    ``buckets`` may repeat.
 
     In a bucket the member that meets most others over all its buckets leads, which
     in a group of edited copies is the original, and meets all others: n - 1 pairs.
@@ -146,7 +154,8 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
     score = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("score"))
     members = swap(members, members.join(score, "id").select("key", "id", "score"), "scored")
     lead = cut(members.groupBy("key").agg(F.max_by("id", most).alias("by")), "leaders")
-    light = (found.agg(F.sum(F.size("s"))).first()[0] or 0) <= BROADCAST_ELEMENTS
+    length = F.size("s") if isinstance(found.schema["s"].dataType, ArrayType) else F.octet_length("s")
+    light = (found.agg(F.sum(length)).first()[0] or 0) <= BROADCAST_ELEMENTS
     tried = links = None
     for turn in range(2):
         if turn:
@@ -162,7 +171,8 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
         a, b = (found.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
         if light:
             a, b = F.broadcast(a), F.broadcast(b)
-        tried = cut(met.join(a, "a").join(b, "b").select("a", "b", jaccard("sa", "sb").alias("similarity")), "pairs")
+        both = met.join(a, "a").join(b, "b").select("a", "b", expand(F.col("sa")).alias("sa"), expand(F.col("sb")).alias("sb"))
+        tried = cut(both.select("a", "b", jaccard("sa", "sb").alias("similarity")), "pairs")
         held = tried.where(F.col("similarity") >= threshold).select("a", "b")
         links = cut(held if links is None else links.union(held), "links")
         if not turn:
@@ -175,7 +185,9 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
         members = swap(members, members.join(small(cut(mixed, "mixed")), "key"), "open")
         if is_empty(members):
             return links
-    open_ = members.join(members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id").join(found, "id")
+    own = members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(found, "id")
+    own = cut(own.select("id", "keys", expand(F.col("s")).alias("s")), "open-sets")
+    open_ = members.join(own, "id")
     if near:
         open_ = open_.join(near[0], "id")
     a, b = (open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by"))) for k in "ab")

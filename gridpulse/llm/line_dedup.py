@@ -12,7 +12,7 @@ into the next parts, and from the end to the beginning, where there are fewer).
 lines agree on a band if the ``rows`` least shingles of their union from there on
 belong to both, which has probability J ** rows as for ``rows`` minima: with 10
 bands of 6 a pair meets with probability 0.95 at J = 0.8 and 0.99 at 0.85. Lines of
-many shingles take bands of an eighth of them, chosen by hash, and lines of few
+many shingles take bands of a quarter of them, chosen by hash, and lines of few
 take shorter bands; the kind goes by the number of distinct shingles, and lines near a
 limit take both kinds, so similar lines share one whatever their lengths. ``rows``
 grows by one with each tenfold of documents beyond ``BASE_DOCS`` (counted first), and
@@ -43,7 +43,7 @@ ROWS, BASE_DOCS = 6, 1_000_000
 #: Bands miss a pair at similarity 0.8 with about this probability.
 MISS = 0.05
 #: One in so many shingles is sampled; a line with MANY sampled ones or more takes bands of them, one with fewer than SOME of all.
-SAMPLED, MANY, SOME = 8, 64, 110
+SAMPLED, MANY, SOME = 4, 32, 50
 #: Rows of a band of a line with fewer than FEW distinct shingles; with LESS or more it takes long ones.
 FEW_ROWS, FEW, LESS = 4, 80, 64
 WIDTH = 5
@@ -93,12 +93,12 @@ def bands(found: DataFrame, rows: int, parts: int) -> DataFrame:
 
 
 def contents(docs: DataFrame):
-    """``id, h2, s``: the shingles of one line for each hash. Of unlike lines with equal ``h1`` only the one with the least ``h2`` is compared."""
+    """``id, s``: one line for each hash. Of unlike lines with equal ``h1`` only the one with the least ``h2`` is compared."""
 
     def run(ids: DataFrame) -> DataFrame:
         ids = cut(ids.withColumnRenamed("id", "h1"), "line-ids")
-        body = lines(docs).join(small(ids), "h1", "left_semi").groupBy("h1").agg(F.min_by(F.struct("h2", "line"), "h2").alias("m"))
-        return body.select(F.col("h1").alias("id"), F.col("m.h2").alias("h2"), distinct(shingles(F.col("m.line"))).alias("s"))
+        body = lines(docs).join(small(ids), "h1", "left_semi").groupBy("h1").agg(F.min_by("line", "h2").alias("s"))
+        return body.withColumnRenamed("h1", "id")
 
     return run
 
@@ -110,7 +110,7 @@ def line_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     buckets = bands(every.select(F.col("h1").alias("id"), "line"), rows, parts)
     buckets = cut(buckets, "line-bands")
     every = cut(every.drop("line"), "line-hashes")
-    roots = components(class_links(buckets, contents(docs), similarity))
+    roots = components(class_links(buckets, contents(docs), similarity, expand=lambda line: distinct(shingles(line))))
     release(buckets)
     own = F.struct("doc_id", "line_no")
     # 2**32 lines a document at most; a decimal keeps the minimum in the hash aggregate.

@@ -31,6 +31,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A random-looking 64-bit value for each byte.
 BYTES = mix((np.arange(256, dtype=np.uint64) + U(1)) * U(0x9E3779B97F4A7C15))
+#: Another one, for a second hash of the same strings.
+OTHERS = mix(BYTES ^ U(0x5851F42D4C957F2D))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -66,11 +68,11 @@ def steps(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def prefix(buf: np.ndarray) -> np.ndarray:
+def prefix(buf: np.ndarray, values: np.ndarray = BYTES) -> np.ndarray:
     """Running sums of the byte values times powers; a zero comes first."""
     up, _ = powers(len(buf))
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTES[buf] * up, out=out[1:])
+    np.cumsum(values[buf] * up, out=out[1:])
     return out
 
 
@@ -80,10 +82,10 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def hashes(column: pa.Array) -> np.ndarray:
+def hashes(column: pa.Array, values: np.ndarray = BYTES) -> np.ndarray:
     """Hash of each byte string, as ``spans`` gives it."""
     buf, off = buffers(column)
-    return spans(prefix(buf[off[0] : off[-1]]), off[:-1] - off[0], off[1:] - off[0])
+    return spans(prefix(buf[off[0] : off[-1]], values), off[:-1] - off[0], off[1:] - off[0])
 
 
 def words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

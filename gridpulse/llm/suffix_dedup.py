@@ -12,14 +12,18 @@ groups with more than one member go on to the next digit:
    on the right of it, so equal strings agree on one of the two flanks. Runs
    whose flanks nobody shares end here; of the others only the side that is
    shared goes on.
-4. for what is left, the hash of the ``length`` bytes at each suffix.
+4. for what is left, two hashes of the ``length`` bytes at each suffix.
 
-The equal groups left are exactly the repeated windows (64-bit hashes within a
-pivot group). Groups are counted, never gathered, so a string that a third of
-all texts hold costs one counter; the joins that bring counts back can be split.
+Runs whose pivot occurs once end before anything else is compared. The equal groups
+left are the repeated windows: strings count as equal if pivot, and the two hashes
+of the whole string (or the hash of the whole run), agree, 128 to 192 bits in all.
+Groups are counted, never gathered, so a string that a third of all texts hold
+costs one counter; the joins that bring counts back can be split. Files of a pass
+are removed once the next has read them.
 
 Defined cases: null text is empty; texts shorter than ``length`` keep all;
-``doc_id`` is the key (rows repeated in full count as one document).
+``doc_id`` is the key; a row repeated in full is a text of its own, so both lose
+every byte that a window of ``length`` covers; a null ``doc_id`` keeps all its bytes.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, narrow_batches, only, texts
+from .common import cut, narrow_batches, only, small, swap, texts
 
 LENGTH, PIVOT = 400, 64
 U = np.uint64
@@ -96,21 +100,21 @@ def find_runs(length: int, pivot: int):
 
 
 def last_digit(length: int):
-    """One row per run: the hashes of its suffixes' first ``length`` bytes, from the text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("digit1", pa.int64()), ("digits", pa.list_(pa.int64()))])
+    """One row per run: two hashes of each of its suffixes' first ``length`` bytes, from the text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("digit1", pa.int64()), ("digits", pa.list_(pa.int64())), ("again", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, (buf, off) = batch.column(0), K.buffers(batch.column(1))
             parts = batch.column(2)
             for i in range(batch.num_rows):
-                sums = K.prefix(buf[off[i] : off[i + 1]])
+                text = buf[off[i] : off[i + 1]]
                 mine = parts[i].values
                 start, n = (np.asarray(mine.field(k)) for k in ("start", "n"))
                 o = np.r_[0, np.cumsum(n)]
                 at = np.repeat(start - o[:-1], n) + np.arange(o[-1])
-                h = K.spans(sums, at, at + length)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(n), i))), pa.array(start.astype(np.int32)), mine.field("digit1"), K.lists(K.signed(h), o)], schema=schema)
+                h = [K.lists(K.signed(K.spans(K.prefix(text, v), at, at + length)), o) for v in (K.BYTES, K.OTHERS)]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(n), i))), pa.array(start.astype(np.int32)), mine.field("digit1"), *h], schema=schema)
 
     return run
 
@@ -147,6 +151,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT) -> DataF
     narrow_batches(docs.sparkSession)
     body = texts(docs)
     found = cut(body.mapInArrow(find_runs(length, pivot), "doc_id long, start int, n int, digit1 long, digit2 long, low int, left long, right long"), "runs")
+    pivots = cut(found.groupBy("digit1").agg(F.count("*").alias("c")).where("c > 1").select("digit1"), "pivots")
+    found = swap(found, found.join(small(pivots), "digit1", "left_semi"), "live")
     second = found.groupBy("digit1", "digit2").agg(F.count("*").alias("same"), F.min(F.struct("doc_id", "start")).alias("first"))
     first = second.groupBy("digit1").agg(F.sum("same").alias("all"), F.count("*").alias("kinds")).where("all > 1")
     groups = cut(second.join(first, "digit1"), "groups")
@@ -165,17 +171,21 @@ def repeated(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT) -> DataF
     open_runs = cut(open_runs, "shared-flanks")
     ids = cut(open_runs.select("doc_id").distinct(), "ids")
     listed = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digit1")).alias("parts"))
-    digits = only(body, ids).join(listed, "doc_id").select("doc_id", "text", "parts").mapInArrow(last_digit(length), "doc_id long, start int, digit1 long, digits array<long>")
-    digits = cut(digits, "digits").select("doc_id", "start", F.posexplode("digits").alias("i", "digit4"), "digit1")
-    digits = digits.withColumn("key", F.xxhash64("digit1", "digit4"))
-    again = digits.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    single = digits.join(again, "key").select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
+    digits = only(body, ids).join(listed, "doc_id").select("doc_id", "text", "parts").mapInArrow(last_digit(length), "doc_id long, start int, digit1 long, digits array<long>, again array<long>")
+    digits = cut(digits, "digits").select("doc_id", "start", F.posexplode("digits").alias("i", "digit4"), "again", "digit1")
+    digits = digits.withColumn("digit5", F.get("again", F.col("i"))).drop("again")
+    keys = ["digit1", "digit4", "digit5"]
+    again = digits.groupBy(*keys).agg(F.count("*").alias("c")).where("c > 1").select(*keys)
+    single = digits.join(again, keys).select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
     return whole.union(single)
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT, keep_text: bool = True) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if wanted, ``kept_text`` (bytes)."""
-    spans = repeated(docs, length, pivot).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("parts"))
-    spans = cut(spans, "spans")
-    body = texts(docs).join(spans, "doc_id", "left").select("doc_id", "text", "parts")
-    return body.mapInArrow(strip(length, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text binary" * keep_text)
+    spans = cut(repeated(docs, length, pivot), "spans")
+    ids = cut(spans.select("doc_id").distinct(), "span-ids")
+    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("parts"))
+    # Only texts that lose something travel to their spans.
+    body = only(texts(docs), ids).join(listed, "doc_id").select("doc_id", "text", "parts")
+    rest = texts(docs).join(small(ids), "doc_id", "left_anti").select("doc_id", "text", F.lit(None).cast("array<struct<start:int,n:int>>").alias("parts"))
+    return body.union(rest).mapInArrow(strip(length, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text binary" * keep_text)

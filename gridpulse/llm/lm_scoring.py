@@ -13,7 +13,8 @@ every executor; every other occurrence is joined with the full table of words.
 
 Defined cases: null text is empty (its only token is the end); without training
 rows all counts are 0 and pieces keep their first probabilities; a row repeated
-in full trains as often as it occurs and is scored once.
+in full trains as often as it occurs and has as many rows in the result; a null
+``doc_id`` is never held out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -208,18 +209,19 @@ def marginals(path: str, logp: np.ndarray):
 
 
 def score_frequent(table) -> object:
-    """Sums over frequent words; the other words as a list."""
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("th", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.binary()))])
+    """Sums over frequent words, known by two hashes; the other words as a list."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.binary()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, known, base, lp = table.value
+        keys, others, known, base, lp = table.value
         for batch in batches:
             buf, off = K.buffers(batch.column(3))
             for lo, hi in K.steps(off):
                 n, b, o = hi - lo, buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
                 start, end, row, h = K.words(b, o, lower=True)
                 i = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-                ok = keys[i] == h if len(keys) else np.zeros(len(h), bool)
+                again = K.spans(K.prefix(K.LOWER[b], K.OTHERS), start, end)
+                ok = (keys[i] == h) & (others[i] == again) if len(keys) else np.zeros(len(h), bool)
                 sums = [np.bincount(row[ok], x[i[ok]], n) for x in (known, base, lp)]
                 s, e, r = start[~ok], end[~ok], row[~ok]
                 size = e - s
@@ -261,20 +263,19 @@ def score(docs: DataFrame, path: str = PIECES, rounds: int = ROUNDS, frequent: i
     unit = n + 0.1 * (v + 1)
     term = F.log10((F.col("c") + 0.1) / F.lit(unit))
     top = scored.orderBy(F.desc("c"), "word").limit(frequent).select("word", (F.col("c") > 0).cast("double").alias("known"), term.alias("base"), "lp").toArrow()
-    h = K.hashes(top["word"])
+    h, again = K.hashes(top["word"]), K.hashes(top["word"], K.OTHERS)
     order = np.argsort(h)
-    table = spark.sparkContext.broadcast((h[order], *(np.asarray(top[c])[order] for c in ("known", "base", "lp"))))
+    table = spark.sparkContext.broadcast((h[order], again[order], *(np.asarray(top[c])[order] for c in ("known", "base", "lp"))))
     narrow_batches(spark)
-    kind = "doc_id long, held_out boolean, th long, n long, known long, base double, score double, rest array<binary>"
-    parts = cut(body.select("doc_id", "held_out", F.xxhash64("text").alias("th"), "text").mapInArrow(score_frequent(table), kind), "parts")
-    rest = parts.select("doc_id", "held_out", "th", F.explode("rest").alias("word")).join(scored, "word")
-    rest = rest.groupBy("doc_id", "held_out", "th").agg(F.sum((F.col("c") > 0).cast("long")).alias("known2"), F.sum(term).alias("base2"), F.sum("lp").alias("score2"))
-    first = parts.groupBy("doc_id", "held_out", "th").agg(*(F.first(c).alias(c) for c in ("n", "known", "base", "score")), F.count("*").cast("double").alias("rows"))
-    same = ["doc_id", "held_out", "th"]
-    both = first.withColumnsRenamed({c: f"_{c}" for c in same}).join(rest, F.expr(" and ".join(f"_{c} <=> {c}" for c in same)), "left")
+    kind = "row long, doc_id long, held_out boolean, n long, known long, base double, score double, rest array<binary>"
+    # Row numbers are written with the rows and so stay as they are.
+    parts = cut(body.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(score_frequent(table), kind), "parts")
+    rest = parts.select("row", F.explode("rest").alias("word")).join(scored, "word")
+    rest = rest.groupBy("row").agg(F.sum((F.col("c") > 0).cast("long")).alias("known2"), F.sum(term).alias("base2"), F.sum("lp").alias("score2"))
+    both = parts.drop("rest").join(rest, "row", "left")
     zero = F.lit(0.0)
     return both.select(
-        F.col("_doc_id").alias("doc_id"), F.col("_held_out").alias("held_out"), (F.col("n") + 1).alias("n_tokens"),
-        (F.col("known") + F.coalesce((F.col("known2") / F.col("rows")).cast("long"), F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce(F.col("base2") / F.col("rows"), zero) + F.lit(math.log10((ends + 0.1) / unit))).alias("base_score"), (F.col("score") + F.coalesce(F.col("score2") / F.col("rows"), zero) + F.lit(end_lp)).alias("score"),
+        "doc_id", "held_out", (F.col("n") + 1).alias("n_tokens"),
+        (F.col("known") + F.coalesce("known2", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("base2", zero) + F.lit(math.log10((ends + 0.1) / unit))).alias("base_score"), (F.col("score") + F.coalesce("score2", zero) + F.lit(end_lp)).alias("score"),
     )

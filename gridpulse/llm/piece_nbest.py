@@ -1,25 +1,31 @@
 """N-best segmentation over a SentencePiece vocabulary.
 
-A text becomes chunks that no piece of the vocabulary crosses: one from each
-blank (the word mark) to the next, and characters that only occur in pieces of
-their own. A chunk's lattice is searched forward by Viterbi; those scores are
-exact heuristics for a backward A* search, which yields segmentations best
-first. Segmentations of a text combine those of its chunks, which are
-independent: only the n - 1 chunks with the smallest loss of a second choice can
-take part in the n best, and a heap merges them.
+A text becomes chunks that no piece of the vocabulary crosses: each run of blanks
+(word marks) with what follows up to the next blank; pieces with a mark after
+another character would cross, but the vocabulary has only runs of marks. A
+chunk's lattice is searched forward by Viterbi; those scores are exact heuristics
+for a backward A* search, which yields segmentations best first. States point back
+to their parents, and a place is opened at most n times, since only its n best
+ends can take part, so a chunk of L characters costs at most n * L steps whatever its
+ties. Segmentations of a text combine those of its chunks, which are
+independent: only the n - 1 chunks whose second choice loses least can take part in
+the n best.
 
 Decoding joins pieces and turns marks back into blanks; it returns the text as it
 was (a mark in the text itself comes back as a blank).
 
 Defined cases: null text encodes as the empty text and has one segmentation, of
-one mark; equal scores rank fewer pieces first, then the longer first piece;
-rows are independent, so repeated rows repeat their result; extra columns pass.
+one mark; equal scores rank fewer pieces first; within a chunk then the longer first
+piece, and so on from piece to piece; between chunks then, at the first chunk in which
+two segmentations differ, the better one of that chunk. Rows are independent, so
+repeated rows repeat their result; extra columns pass, but ``scores`` and ``pieces`` are replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -27,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import narrow_batches
 
@@ -37,11 +44,18 @@ REMEMBERED = 600_000
 #: Totals nearer than this are compared by the rules for equal scores.
 TIE = 1e-6
 MARK = "▁"
-Path_ = tuple[float, tuple[int, ...]]
+#: Scores below this mark pieces that never win; bytes cost less than those and more than all others.
+UNUSED = -1e6
+CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
+#: A segmentation: score, number of pieces, ids as four-byte integers.
+Path_ = tuple[float, int, bytes]
+#: What is remembered of a chunk: best score, its pieces, what the second best loses, whether it decodes to the chunk.
+Best = tuple[float, bytes, float, bool]
+INF = float("inf")
 
 
 class Pieces:
-    """The vocabulary as a trie, with the segmentations of recent chunks."""
+    """The vocabulary as a trie, with the best segmentations of recent chunks."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -50,152 +64,181 @@ class Pieces:
         self.names: list[str] = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.bytes: dict[int, int] = {}
         self.trie: dict = {}
-        low, inner = 0.0, set()
+        low = 0.0
         for i, name in enumerate(self.names):
             if sp.is_byte(i):
                 self.bytes[int(name[3:5], 16)] = i
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and MARK not in name[1:]:
+            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+                if MARK in name.lstrip(MARK):
+                    raise ValueError(f"{name!r} crosses chunks")
                 node = self.trie
                 for c in name:
                     last = node.setdefault(c, [{}, None])
                     node = last[0]
-                last[1] = (sp.get_score(i), (i,))
-                low = min(low, sp.get_score(i))
-                if len(name) > 1:
-                    inner.update(name[1:] if name[0] == MARK else name)
-        #: A byte costs more than any piece.
+                score = sp.get_score(i)
+                last[1] = (score, 1, i.to_bytes(4, "little"))
+                if score > UNUSED:
+                    low = min(low, score)
         self.byte_score = low - 10.0
         values = {i: v for v, i in self.bytes.items()}
         #: What each piece stands for in UTF-8.
         self.raw = [bytes([values[i]]) if i in values else name.encode() for i, name in enumerate(self.names)]
-        self.inner = inner
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.new: dict[str, Best] = {}
+        self.old: dict[str, Best] = {}
+        self.spare: dict[str, Path_] = {}
 
-    def lattice(self, chunk: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
-        """For each end: start, score and pieces of the arcs that end there, and the best score up to it.
+    def lattice(self, chunk: str) -> tuple[list[list[tuple[int, float, int, bytes]]], list[float], list[int]]:
+        """For each end: start, score, count and pieces of the arcs that end there; best score and then least count up to it.
 
         A character without a piece is its bytes. Arcs lead onward, so a place's
         score is final when arcs from it are drawn.
         """
         size = len(chunk)
-        out: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
-        forward = [0.0] + [float("-inf")] * size
+        out: list[list[tuple[int, float, int, bytes]]] = [[] for _ in range(size + 1)]
+        forward, count = [0.0] + [-INF] * size, [0] * (size + 1)
         for i in range(size):
-            here, node, own = forward[i], self.trie, False
+            here, n, node, own = forward[i], count[i] + 1, self.trie, False
             for j in range(i + 1, size + 1):
                 if (step := node.get(chunk[j - 1])) is None:
                     break
                 node, hit = step
                 if hit is not None:
-                    s, p = hit
-                    out[j].append((i, s, p))
-                    if here + s > forward[j]:
-                        forward[j] = here + s
+                    out[j].append((i, *hit))
+                    total = here + hit[0]
+                    if total > forward[j] or total == forward[j] and n < count[j]:
+                        forward[j], count[j] = total, n
                     own = own or j == i + 1
             if not own:
-                raw = tuple(self.bytes[b] for b in chunk[i].encode())
-                out[i + 1].append((i, self.byte_score * len(raw), raw))
-                forward[i + 1] = max(forward[i + 1], here + self.byte_score * len(raw))
-        return out, forward
-
-    def arcs(self, chunk: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        return self.lattice(chunk)[0]
+                raw = [self.bytes[b] for b in chunk[i].encode()]
+                s = self.byte_score * len(raw)
+                out[i + 1].append((i, s, len(raw), b"".join(x.to_bytes(4, "little") for x in raw)))
+                n += len(raw) - 1
+                if here + s > forward[i + 1] or here + s == forward[i + 1] and n < count[i + 1]:
+                    forward[i + 1], count[i + 1] = here + s, n
+        return out, forward, count
 
     def best(self, chunk: str, n: int) -> list[Path_]:
-        """The n best segmentations with scores, best first."""
-        arcs, forward = self.lattice(chunk)
-        # A state: less its exact score, pieces so far, order of preference, place, score behind it, pieces behind it.
-        heap: list[tuple] = [(-forward[-1], 0, (), len(chunk), 0.0, ())]
+        """The n best segmentations, best first."""
+        arcs, forward, count = self.lattice(chunk)
+        size = len(chunk)
+        # Less its exact total, count, place (ties open from the end, so that all that can lead to a place come before it),
+        # end of its first piece (longer first), rank of what follows among the ends at that place; then score, count, state behind, pieces.
+        heap: list[tuple] = [(-forward[size], count[size], -size, 0, 0, 0.0, 0, None, b"")]
+        opened = [0] * (size + 1)
         found: list[Path_] = []
         while heap and len(found) < n:
-            _, count, order, j, back, pieces = heapq.heappop(heap)
+            state = heapq.heappop(heap)
+            j, back, used = -state[2], state[5], state[6]
+            rank = opened[j]
+            if rank == n:
+                continue
+            opened[j] = rank + 1
             if j == 0:
-                found.append((back, pieces))
+                pieces = []
+                while state is not None:
+                    pieces.append(state[8])
+                    state = state[7]
+                found.append((back, used, b"".join(pieces)))
                 continue
-            for i, s, p in arcs[j]:
-                heapq.heappush(heap, (-(forward[i] + s + back), count + len(p), (i - j, *order), i, s + back, p + pieces))
+            for i, s, c, p in arcs[j]:
+                heapq.heappush(heap, (-(forward[i] + s + back), count[i] + c + used, -i, -j, rank, s + back, used + c, state, p))
         return found
 
-    def first(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
+    def first(self, chunk: str) -> Best:
         """The search up to its first result, and what the second will lose.
 
         The states it opens along the best segmentation carry exact totals, so the
         least loss among those left open is the second's. Ties are left to ``best``.
         """
-        arcs, forward = self.lattice(chunk)
-        j, back, loss = len(chunk), 0.0, float("inf")
-        used: list[tuple[int, ...]] = []
+        arcs, forward, _ = self.lattice(chunk)
+        j, back, loss = len(chunk), 0.0, INF
+        used: list[bytes] = []
         while j:
-            least = rest = float("inf")
+            least = rest = INF
+            here = forward[j]
             for arc in arcs[j]:
-                short = forward[j] - (forward[arc[0]] + arc[1])
+                short = here - (forward[arc[0]] + arc[1])
                 if short < least:
                     least, rest, via = short, least, arc
                 elif short < rest:
                     rest = short
-            loss = min(loss, rest)
-            j, s, p = via
+            if rest < loss:
+                loss = rest
+            j, s, _, p = via
             back += s
             used.append(p)
         if loss < TIE:
             two = self.best(chunk, 2)
-            return *two[0], two[0][0] - two[1][0]
-        return back, tuple(x for p in reversed(used) for x in p), loss
-
-    def recall(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
-        """Best score, its pieces, and what the second best loses."""
-        if (hit := self.new.get(chunk)) is None:
-            if (hit := self.old.get(chunk)) is None:
-                hit = self.first(chunk)
-            if len(self.new) >= REMEMBERED // 2:
-                self.old, self.new = self.new, {}
-            if len(chunk) <= 64:
-                self.new[chunk] = hit
+            back, _, pieces = two[0]
+            loss = two[0][0] - two[1][0]
+        else:
+            used.reverse()
+            pieces = b"".join(used)
+        return back, pieces, loss, self.join(pieces) == chunk.encode()
+
+    def recall(self, chunk: str) -> Best:
+        """``first`` of a chunk, remembered."""
+        if (hit := self.old.get(chunk)) is None:
+            hit = self.first(chunk)
+        if len(self.new) >= REMEMBERED // 2:
+            self.old, self.new, self.spare = self.new, {}, {}
+        if len(chunk) <= 64:
+            self.new[chunk] = hit
         return hit
 
-    def chunks(self, text: str) -> list[str]:
-        out: list[str] = []
-        for part in text.split(" "):
-            part = MARK + part
-            if self.inner.issuperset(part[1:]):
-                out.append(part)
-                continue
-            at = 0
-            for i, c in enumerate(part):
-                if i and c not in self.inner:
-                    if i > at:
-                        out.append(part[at:i])
-                    out.append(c)
-                    at = i + 1
-            if at < len(part):
-                out.append(part[at:])
-        return out
-
-    def encode(self, text: str, n: int) -> list[Path_]:
-        """The n best segmentations of a whole text."""
+    def more(self, chunk: str) -> int:
+        """Pieces that the second best segmentation of a chunk has more than the best."""
+        if (hit := self.spare.get(chunk)) is None:
+            one, two = self.best(chunk, 2)
+            hit = two[1] - one[1]
+            if len(chunk) <= 64 and len(self.spare) < REMEMBERED:
+                self.spare[chunk] = hit
+        return hit
+
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        if "  " in text or MARK in text or text[:1] == " ":
+            return CHUNK.findall(MARK + text.replace(" ", MARK))
+        return [MARK + x for x in text.split(" ")]
+
+    def search(self, text: str, n: int) -> tuple[list[Path_], bool]:
+        """The n best segmentations of a whole text, and whether the best decodes to it."""
         chunks = self.chunks(text)
-        known = self.new.get
-        got = [known(c) or self.recall(c) for c in chunks]
-        first = float(sum(g[0] for g in got)), tuple(p for g in got for p in g[1])
-        weak = heapq.nsmallest(n - 1, ((g[2], k) for k, g in enumerate(got) if g[2] != float("inf"))) if n > 1 else []
-        if not weak:
-            return [first]
-        ends = np.cumsum([0] + [len(g[1]) for g in got]).tolist()
-        # Combinations of losses over the chunks that can take part, least first.
-        sums: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
-        options = {}
-        for _, k in weak:
-            options[k] = self.best(chunks[k], n)
-            losses = [options[k][0][0] - o[0] for o in options[k]]
-            sums = heapq.nsmallest(n, ((loss + x, (*use, (k, q)) if q else use) for loss, use in sums for q, x in enumerate(losses)))
+        known, recall = self.new.get, self.recall
+        got = [known(c) or recall(c) for c in chunks]
+        scores, parts, losses, good = zip(*got)
+        first = b"".join(parts)
+        total, size, decodes = float(sum(scores)), len(first) // 4, all(good)
+        least = heapq.nsmallest(n - 1, losses) if n > 1 else []
+        if not least or least[0] == INF:
+            return [(total, size, first)], decodes
+        weak = [k for k, loss in enumerate(losses) if loss <= least[-1] and loss != INF]
+        if len(weak) >= n:
+            weak = heapq.nsmallest(n - 1, weak, key=lambda k: (losses[k], self.more(chunks[k]), -k))
+        # Combinations: loss, pieces more, ranks by chunk from the first on; least first.
+        sums: list[tuple[float, int, tuple[int, ...]]] = [(0.0, 0, ())]
+        weak.sort()
+        options = [self.best(chunks[k], n) for k in weak]
+        for paths in options:
+            sums = heapq.nsmallest(n, ((loss + paths[0][0] - s, more + c - paths[0][1], (*use, q)) for loss, more, use in sums for q, (s, c, _) in enumerate(paths)))
+        ends = np.cumsum([0, *map(len, parts)]).tolist()
         out = []
-        for loss, use in sums:
-            pieces = first[1]
-            for k, q in sorted(use, reverse=True):
-                pieces = pieces[: ends[k]] + options[k][q][1] + pieces[ends[k + 1] :]
-            out.append((first[0] - loss, pieces))
-        return out
+        for loss, more, use in sums:
+            pieces, at = [], 0
+            for k, q, paths in zip(weak, use, options):
+                if q:
+                    pieces += [first[at : ends[k]], paths[q][2]]
+                    at = ends[k + 1]
+            out.append((total - loss, size + more, b"".join([*pieces, first[at:]])))
+        return out, decodes
+
+    def encode(self, text: str, n: int) -> list[tuple[float, list[int]]]:
+        """Scores and pieces of the n best segmentations of a whole text."""
+        return [(s, np.frombuffer(p, "<i4").tolist()) for s, _, p in self.search(text, n)[0]]
+
+    def join(self, pieces: bytes) -> bytes:
+        raw = self.raw
+        return b"".join([raw[i] for i in np.frombuffer(pieces, "<i4").tolist()])
 
     def decode(self, pieces: list[int] | tuple[int, ...]) -> str:
         return b"".join(map(self.raw.__getitem__, pieces)).decode(errors="replace").replace(MARK, " ")[1:]
@@ -217,28 +260,28 @@ DIGEST = "n_pieces long, scores array<double>, pieces_sha256 array<string>, deco
 def encoder(path: str, n: int, digest: bool, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pieces(path)
+        kinds = [("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())), ("pieces_sha256", pa.list_(pa.string())), ("decodes", pa.bool_())] if digest else [("scores", pa.list_(pa.float64())), ("pieces", pa.list_(pa.list_(pa.int32())))]
         for batch in batches:
             rows = []
             for text in batch.column(column).to_pylist():
-                best = held.encode(text or "", n)
+                best, decodes = held.search(text or "", n)
                 if digest:
-                    same = held.decode(best[0][1]) == (text or "").replace(MARK, " ")
-                    rows.append((len(best[0][1]), [s for s, _ in best], [hashlib.sha256(np.array(p, "<i4").tobytes()).hexdigest() for _, p in best], same))
+                    rows.append((best[0][1], [s for s, _, _ in best], [hashlib.sha256(p).hexdigest() for _, _, p in best], decodes))
                 else:
-                    rows.append(([s for s, _ in best], [list(p) for _, p in best]))
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.string()), pa.bool_()] if digest else [pa.list_(pa.float64()), pa.list_(pa.list_(pa.int32()))]
+                    rows.append(([s for s, _, _ in best], [np.frombuffer(p, "<i4") for _, _, p in best]))
             cols = list(zip(*rows)) if rows else [[]] * len(kinds)
-            keep = [c for i, c in enumerate(batch.columns) if not (digest and i == column)]
-            names = [x for i, x in enumerate(batch.schema.names) if not (digest and i == column)]
-            yield pa.RecordBatch.from_arrays([*keep, *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[*names, *(x.split(" ")[0] for x in (DIGEST if digest else ENCODED).split(", "))])
+            keep = [i for i in range(batch.num_columns) if not (digest and i == column)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *(pa.array(c, k) for c, (_, k) in zip(cols, kinds))], names=[*(batch.schema.names[i] for i in keep), *(x for x, _ in kinds)])
 
     return run
 
 
 def encode(docs: DataFrame, n: int = N_BEST, path: str = PIECES) -> DataFrame:
-    """``doc_id, text`` with ``scores`` and ``pieces`` of the n best segmentations."""
+    """``docs`` with ``scores`` and ``pieces`` of the n best segmentations of ``text``."""
     narrow_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encoder(path, n, False, 1), f"doc_id long, text string, {ENCODED}")
+    docs = docs.drop("scores", "pieces")
+    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(ENCODED).fields)
+    return docs.mapInArrow(encoder(path, n, False, docs.columns.index("text")), schema)
 
 
 def encode_digests(docs: DataFrame, n: int = N_BEST, path: str = PIECES) -> DataFrame:

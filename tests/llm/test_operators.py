@@ -75,6 +75,57 @@ def test_lm_scores(docs, rows, empty):
         assert r["base_score"] == pytest.approx(sum(math.log10((count[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts), rel=1e-9)
         assert math.isfinite(r["score"]) and r["score"] < 0
     assert lm_scoring.score(empty).count() == 0
+    twice = lm_scoring.score(docs.where("doc_id in (40, 41)").unionAll(docs.where("doc_id = 41"))).collect()
+    assert sorted(r["doc_id"] for r in twice) == [40, 41, 41] and len({r["score"] for r in twice if r["doc_id"] == 41}) == 1
+
+
+def test_lm_model_by_hand(spark):
+    """The whole model over a vocabulary's lattice in plain Python: counts, three rounds of re-estimation, scores."""
+    names, logp = lm_scoring.vocabulary()
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["the", "theory", "one", "on", "Tone", "é"]) for _ in range(rng.randint(0, 12)))) for i in range(40)]
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+    count = Counter(w for i, t in rows if not held[i] for w in t.lower().split())
+    ends = sum(not x for x in held.values())
+    index = {x: k for k, x in enumerate(names)}
+
+    def parts(word, p):
+        """Marginal and expected pieces of a word, over all its segmentations."""
+        x, ways = "▁".encode() + word.encode(), []
+
+        def walk(at, used, q):
+            if at == len(x):
+                ways.append((q, used))
+            for end in range(at + 1, len(x) + 1):
+                if x[at:end] in index:
+                    walk(end, used + [index[x[at:end]]], q * p[index[x[at:end]]])
+
+        walk(0, [], 1.0)
+        total = sum(q for q, _ in ways)
+        expected = Counter()
+        for q, used in ways:
+            for k in used:
+                expected[k] += q / total
+        return total, expected
+
+    p, likely = np.exp(logp), []
+    for _ in range(lm_scoring.ROUNDS):
+        got = np.full(len(p), 0.01)
+        likely.append(sum(c * math.log(parts(w, p)[0]) for w, c in count.items()))
+        for w, c in count.items():
+            for k, n in parts(w, p)[1].items():
+                got[k] += c * n
+        p, end = got / (got.sum() + ends), ends / (got.sum() + ends)
+    likely.append(sum(c * math.log(parts(w, p)[0]) for w, c in count.items()))
+    assert likely == sorted(likely)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in lm_scoring.score(table, frequent=3).collect():
+        words = rows[r["doc_id"]][1].lower().split()
+        assert r["score"] == pytest.approx(sum(math.log10(parts(w, p)[0]) for w in words) + math.log10(end), rel=1e-9)
+    # Words that only held-out rows have train nothing.
+    other = [(i, t + " zebra" if held[i] else t) for i, t in rows]
+    changed = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(other, "doc_id long, text string")).collect() if not r["held_out"]}
+    assert changed == pytest.approx({r["doc_id"]: r["score"] for r in lm_scoring.score(table).collect() if not r["held_out"]}, rel=1e-9)
 
 
 def test_lm_lattice_sums_all_segmentations():
@@ -128,18 +179,46 @@ def test_lines(docs, rows, empty):
 
 def test_passages(docs, rows, empty):
     got = substring_dedup.repeated_passages(docs).collect()
-    shared = set(range(40, 47))
     linked = {x for r in got for x in (r["doc_id"], r["partner_id"])}
-    assert shared <= linked
-    assert not linked & (set(range(40)) - {3, 4})
     texts = {r[0]: WORDS.findall(r[1] or "") for r in rows}
+    grams = {d: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] for d, w in texts.items()}
+
+    def alike(a, b):
+        x, y = grams[a], grams[b]
+        return any(len(set(x[i : i + 46]) & set(y[j : j + 46])) >= 0.8 * len(set(x[i : i + 46]) | set(y[j : j + 46])) for i in range(len(x) - 45) for j in range(len(y) - 45) if x[i + 20] in y[j : j + 46])
+
+    held = [(a, b) for a in grams for b in grams if a < b and set(grams[a]) & set(grams[b]) and alike(a, b)]
+    assert union(grams, [(r["partner_id"], r["doc_id"]) for r in got]) == union(grams, held)
+    assert linked == {x for e in held for x in e}
     for r in got:
         assert r["end_word"] - r["start_word"] >= 50
-        if r["kind"] == "passage" and r["similarity"] == 1:
-            assert set(zip(*[texts[r["doc_id"]][r["start_word"] : r["end_word"]][k:] for k in range(5)])) == set(zip(*[texts[r["partner_id"]][r["partner_start"] : r["partner_end"]][k:] for k in range(5)]))
+        mine, other = (set(grams[d][s : e - 4]) for d, s, e in ((r["doc_id"], r["start_word"], r["end_word"]), (r["partner_id"], r["partner_start"], r["partner_end"])))
+        if r["kind"] == "passage":
+            assert r["similarity"] == pytest.approx(len(mine & other) / len(mine | other)) and r["similarity"] >= 0.8
     assert substring_dedup.repeated_passages(empty).count() == 0
 
 
+def test_passage_recall(spark):
+    """Planted passages of 50 to 120 words, exact and edited, each in two texts of their own."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "li", "so"]) for _ in range(rng.randint(2, 5)))
+    table, near, exact = [], [], []
+    for k in range(200):
+        passage = [word() for _ in range(rng.randint(50, 120))]
+        other = list(passage)
+        for _ in range(0 if k % 2 else max(1, len(passage) // 55)):
+            other[rng.randrange(3, len(other) - 3)] = word() + "x"
+        x, y = ({tuple(p[i : i + 5]) for i in range(len(p) - 4)} for p in (passage, other))
+        if len(x & y) < 0.8 * len(x | y):
+            continue
+        (exact if k % 2 else near).append(2 * k + 1)
+        for d, p in ((2 * k, passage), (2 * k + 1, other)):
+            table.append((d, " ".join([word() for _ in range(rng.randint(0, 200))] + p + [word() for _ in range(rng.randint(0, 200))])))
+    got = {(r["partner_id"], r["doc_id"]) for r in substring_dedup.repeated_passages(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got <= {(d - 1, d) for d in near + exact}
+    assert np.mean([(d - 1, d) in got for d in exact]) == 1 and np.mean([(d - 1, d) in got for d in near]) >= 0.9
+
+
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 62, 60).astype(np.uint64) << np.uint64(1)
@@ -326,20 +405,50 @@ def test_pieces(docs, rows, empty):
 
 
 def test_n_best_is_exact():
+    """All segmentations by the vocabulary alone, in the stated order."""
+    import sentencepiece
+
     held = piece_nbest.pieces()
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_nbest.PIECES)
+    ids = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
+    low = min(s for s in map(sp.get_score, ids.values()) if s > piece_nbest.UNUSED)
 
     def every(text):
-        arcs = held.arcs(text)
-
-        def back(j):
-            return [(0.0, ())] if j == 0 else [(s + x, p + q) for i, x, q in arcs[j] for s, p in back(i)]
+        whole, out = "▁" + text.replace(" ", "▁"), []
+
+        def walk(at, score, used, sizes):
+            if at == len(whole):
+                out.append((-score, len(used), [-n for n in sizes], used))
+                return
+            for end in range(at + 1, len(whole) + 1):
+                if whole[at:end] in ids:
+                    i = ids[whole[at:end]]
+                    walk(end, score + sp.get_score(i), used + [i], sizes + [end - at])
+            if whole[at] not in ids:
+                raw = [sp.piece_to_id(f"<0x{b:02X}>") for b in whole[at].encode()]
+                walk(at + 1, score + (low - 10) * len(raw), used + raw, sizes + [1])
+
+        walk(0, 0.0, [], [])
+        return [(-s, used) for s, _, _, used in sorted(out)]
+
+    for text in ("hello", "theory", "ébc\U000130d1x", "x\ny", "aaaaaaaa", "=======", "abababab", "  "):
+        assert held.encode(text, 6) == every(text)[:6]
+    for text in ("the theory", "a b", "a  b", " a", "a ", "to to to", "a   b c"):
+        got, want = held.encode(text, 5), every(text)
+        assert [s for s, _ in got] == [s for s, _ in want][:5]
+        assert all(x in want for x in got) and len({tuple(p) for _, p in got}) == len(got)
+    assert held.encode("", 4)[0][1] == [ids["▁"]]
+
+
+def test_long_texts_without_blanks_end_soon():
+    import time
 
-        return sorted((s for s, _ in back(len(text))), reverse=True)
-
-    for text in ("hello", "the theory", "a b", "ébc x", "x\ny"):
-        whole = "▁" + text.replace(" ", "▁")
-        got = [s for s, _ in held.encode(text, 6)]
-        assert got == pytest.approx(every(whole)[: len(got)]) and len(got) == min(6, len(every(whole)))
+    held = piece_nbest.pieces()
+    began = time.process_time()
+    for text in ("a" * 20_000, "=" * 20_000, "ab" * 10_000, "你好世界" * 3_000, "Qx9/" * 4_000):
+        got, decodes = held.search(text, 4)
+        assert decodes and 1 <= len(got) <= 4 and [s for s, _, _ in got] == sorted((s for s, _, _ in got), reverse=True)
+    assert time.process_time() - began < 20
 
 
 def test_links_connect_all_that_hold(spark):

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions import signal as S
+from gridpulse.operators import correlate as C
 from gridpulse.operators import events as E
+from gridpulse.operators import profiles as P
 from gridpulse.operators import reports as R
 from gridpulse.operators import windows as W
 from gridpulse.sources import lake
 
-GAP_S, MIN_LEN, SEGMENTS, THRESHOLD, PEAK, SIMILAR = 86_400, 5, 5, 55.0, 60.0, 0.3
+GAP_S, MIN_LEN, SEGMENTS, THRESHOLD, PEAK, SIMILAR, TOP = 86_400, 5, 5, 55.0, 60.0, 0.3, 2.2
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -34,11 +36,11 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Fixed windows: ``sig_key, win_idx, start_ts, signal, seconds``; every fourth in a row breaks chains."""
+    """Fixed windows: ``sig_key, win_idx, start_ts, signal, seconds``; those with a greatest value of 2.2 or more count as peaks and break chains."""
     v = table(spark, d, "embeddings").select(F.concat(F.lit("l"), F.col("label")).alias("sig_key"), F.col("vec_id").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("signal"))
     v = v.withColumn("win_idx", (F.row_number().over(Window.partitionBy("sig_key").orderBy("vec_id")) - 1).cast("long"))
     v = v.withColumn("seconds", F.transform(F.sequence(F.lit(0), F.size("signal") - 1), lambda i: i * 0.0002))
-    return v.withColumn("regular", F.col("win_idx") % 4 != 3).withColumn("start_ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("win_idx") * 40).cast("timestamp_ntz"))
+    return v.withColumn("regular", F.array_max("signal") < TOP).withColumn("start_ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("win_idx") * 40).cast("timestamp_ntz"))
 
 
 def gap_windows(spark, d):
@@ -83,7 +85,7 @@ def dft_top4(spark, d):
 
 def lowpass(spark, d):
     y = vectors(spark, d).select("vec_id", S.low_pass_udf(800.0)("signal", "seconds").alias("y"))
-    return y.select("vec_id", F.posexplode("y").alias("i", "v")).select("vec_id", "i", F.round("v", 5).alias("v"))
+    return y.select("vec_id", F.posexplode("y").alias("i", "v")).select("vec_id", "i", (F.round("v", 5) + 0.0).alias("v"))
 
 
 def neighbours(spark, d) -> DataFrame:
@@ -117,12 +119,7 @@ def event_metrics(spark, d):
 
 
 def type_pairs(spark, d):
-    v = vectors(spark, d).where("win_idx < 12").withColumn("event_idx", F.col("win_idx"))
-    return E.type_pairs(v).select("sig_key", "i", "j", F.round("ncc", 5).alias("ncc"))
-
-
-def type_pairs_whole(spark, d):
-    """All pairs of windows of each signal; the SQL of ``type_pairs`` asks for the first twelve windows."""
+    """All pairs of windows of each signal."""
     return E.type_pairs(vectors(spark, d).withColumn("event_idx", F.col("win_idx"))).select("sig_key", "i", "j", F.round("ncc", 5).alias("ncc"))
 
 
@@ -133,9 +130,104 @@ def type_linkage(spark, d):
 def profile_rollup(spark, d):
     c = chained(spark, d)
     refs = E.references(c)
-    types = refs.select("sig_key", "event_idx", (F.col("event_idx") % 3).alias("type_id"))
-    p = E.profile(E.metrics(c, refs), types)
-    return p.select("sig_key", "event_idx", "type_id", "ref_timestamp", "window_count", "ref_win_idx", F.round("mean_ncc", 4).alias("mean_ncc"), "duration_s")
+    p = E.profile(E.metrics(c, refs), E.cluster_types(refs, SIMILAR))
+    return p.select("sig_key", "event_idx", "ref_timestamp", "window_count", "ref_win_idx", F.round("mean_ncc", 4).alias("mean_ncc"), "duration_s")
+
+
+#: Windows of ``events`` under the thresholds of the other queries over them.
+SETTINGS = P.Settings(gap_s=GAP_S, min_len=MIN_LEN, split_by_date=False, n_segments=SEGMENTS, anomaly_threshold=THRESHOLD, peak_threshold=0.0, search_width=1, separation=20.0, energy_threshold=200.0, ncc_threshold=0.6, type_threshold=0.6)
+
+
+def found_events(spark, d) -> DataFrame:
+    return P.events(P.tracked(P.flagged(samples(spark, d), SETTINGS), SETTINGS))
+
+
+def typed_events(spark, d) -> DataFrame:
+    return P.typed(found_events(spark, d), SETTINGS)
+
+
+def peak_split(spark, d):
+    w = P.split(P.flagged(samples(spark, d), SETTINGS))
+    return w.select("sig_key", "win_idx", "is_anomaly", "peak_count", "peak_type", "peak_forme", "regular")
+
+
+def peak_events(spark, d):
+    """Peak windows, each an event of its own, with their place among all events of the signal."""
+    e = found_events(spark, d).where("is_peak")
+    return e.select("sig_key", "event_id", "ref_win_idx", "ref_timestamp", "window_count", "duration_s", "peak_count", "peak_type", "peak_forme", F.round("peak_energy", 3).alias("peak_energy"), F.element_at("ncc_vs_ref", 1).alias("ncc_vs_ref"), F.element_at("dom_freqs", 1).alias("dom_freq"))
+
+
+def event_profile(spark, d):
+    """All events of all signals with the fields of a profile that do not depend on types."""
+    e = found_events(spark, d)
+    ncc = F.aggregate("ncc_vs_ref", F.lit(0.0), lambda a, x: a + x)
+    return e.select("sig_key", "event_id", "is_peak", "ref_win_idx", "ref_timestamp", F.element_at("window_timestamps", -1).alias("last_ts"), "window_count", "duration_s", "peak_count", "peak_type", F.round(ncc, 4).alias("sum_ncc"), F.round(F.array_max("ref_window"), 4).alias("ref_max"))
+
+
+def type_labels(spark, d):
+    return typed_events(spark, d).select("sig_key", "event_id", "cluster_id", "type_label")
+
+
+def signal_profile(spark, d):
+    return P.profile(typed_events(spark, d)).select("signal_id", "total_windows", "n_clusters", "t_start", "t_end", F.size("events").alias("n_events"))
+
+
+def event_table(spark, d):
+    return P.event_table(typed_events(spark, d))
+
+
+def reference_gallery(spark, d):
+    return P.gallery(typed_events(spark, d)).select("sig_key", "cluster_id", "place", "event_id", "ref_win_idx")
+
+
+def type_windows(spark, d):
+    w = P.type_windows(typed_events(spark, d))
+    return w.select("sig_key", "cid", F.size("window").alias("n"), F.round(F.aggregate("window", F.lit(0.0), lambda a, x: a + F.abs(x)), 2).alias("total"))
+
+
+def cross_signal(spark, d) -> tuple[DataFrame, DataFrame]:
+    e = typed_events(spark, d).persist()  # read for the summaries, the windows and the bars
+    summaries = C.summary(e, P.type_windows(e).withColumn("day", F.lit("")))
+    return e, C.shared(summaries, 0.8)
+
+
+def shared_pairs(spark, d):
+    """Types that two signals share, with both summaries, from the most similar on, each with its colour."""
+    pairs = R.pair_color(cross_signal(spark, d)[1])
+    return pairs.select("sig_key_a", "cid_a", "count_a", "sig_key_b", "cid_b", "count_b", F.round("ncc", 5).alias("ncc"), "color")
+
+
+def shared_bars(spark, d):
+    """Events whose type some other signal shares."""
+    e, pairs = cross_signal(spark, d)
+    return C.marked(e.select("sig_key", F.col("cluster_id").alias("cid"), "event_id", "ref_timestamp", "duration_s"), pairs).drop("pair_idx")
+
+
+def trms_segments(spark, d):
+    """Segments of 3,600 rows of each return flag, by ship date."""
+    r = table(spark, d, "lineitem").where("l_shipdate is not null").select(F.col("l_returnflag").alias("sig_key"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"), F.struct("l_orderkey", "l_linenumber").alias("tie"), F.col("l_discount").cast("double").alias("low"), F.col("l_extendedprice").cast("double").alias("high"), F.col("l_quantity").cast("double").alias("efficace"))
+    return R.trms_peaks(r, 3600, 104_000.0, 60.0)
+
+
+def signals_in_order(spark, d):
+    """Users in the order of their first event."""
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id")).alias("sig_key"), F.struct("ts", "event_id").alias("at"))
+    return C.first_seen(e, "sig_key", "at").select("sig_key", "rank")
+
+
+def dates_without_events(spark, d):
+    """Dates from the first order to the last on which no order was placed or there are none at all in ``events``."""
+    o = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    ends = o.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    n = o.groupBy("date").agg(F.count("*").alias("n"))
+    return C.date_range(spark, *ends).join(n, "date", "left").select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.coalesce("n", F.lit(0).cast("long")).alias("n_orders"))
+
+
+def type_pairs_skipped(spark, d):
+    """Regular events alone: those of types that are known by their peaks need no look-up in the registry."""
+    e = typed_events(spark, d)
+    skip = e.where("is_peak").select("sig_key", "cluster_id").distinct()
+    return e.join(skip, ["sig_key", "cluster_id"], "left_anti").select("sig_key", "event_id")
 
 
 def type_summary(spark, d):
@@ -149,29 +241,18 @@ def overlap_histogram(spark, d):
 
 
 def burst_stats(spark, d):
-    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), "ts")
-    return R.burst_stats(R.histogram(e, 360))
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), "ts", F.col("value").alias("freq"))
+    return R.burst_stats(e, 360)
 
 
 def shared_types(spark, d):
-    v = vectors(spark, d).where("win_idx < 3").select("sig_key", F.col("win_idx").alias("cid"), F.col("signal").alias("window"))
-    return E.shared_types(v, SIMILAR).select("sig_key_a", "cid_a", "sig_key_b", "cid_b", F.round("ncc", 5).alias("ncc"))
-
-
-def registry_match(spark, d):
-    v = vectors(spark, d)
-    known = v.where("vec_id < 8").select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"))
-    return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
-
-
-def shared_types_whole(spark, d):
-    """Every window is a type; the SQL of ``shared_types`` asks for the first three of each signal."""
+    """Every window is a type."""
     v = vectors(spark, d).select("sig_key", F.col("win_idx").alias("cid"), F.col("signal").alias("window"))
     return E.shared_types(v, SIMILAR).select("sig_key_a", "cid_a", "sig_key_b", "cid_b", F.round("ncc", 5).alias("ncc"))
 
 
-def registry_match_whole(spark, d):
-    """All windows are the registry; the SQL of ``registry_match`` asks for eight of them."""
+def registry_match(spark, d):
+    """All windows are the registry."""
     v = vectors(spark, d)
     known = v.select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"))
     return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
@@ -224,7 +305,7 @@ def severity(spark, d):
     return R.severity(w.select("sig_key", "win_idx", "n", F.round("mean_range", 4).alias("mean_range")))
 
 
-QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_pairs_whole, type_linkage, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, shared_types_whole, registry_match, registry_match_whole, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
 
 
 def queries():

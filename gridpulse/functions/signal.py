@@ -112,16 +112,17 @@ def average_linkage(distance: np.ndarray, cut: float) -> np.ndarray:
 
 
 def spectrum_udf(top: int):
-    """The ``top`` strongest frequencies, strongest first, lowest first on ties."""
+    """The ``top`` strongest frequencies, strongest first, lowest first on ties; zeros for a window without duration."""
 
     @F.pandas_udf("array<double>")
     def run(signal: pd.Series, seconds: pd.Series) -> pd.Series:
         out = [None] * len(signal)
         for at, x, t in by_length(signal, seconds):
             a = amplitudes(x, t) if x.shape[1] else np.zeros((len(at), len(FREQUENCIES)))
+            lasts = t[:, -1] > t[:, 0] if x.shape[1] else np.zeros(len(at), bool)
             best = np.argsort(-a, axis=1, kind="stable")[:, :top]
             for k, i in enumerate(at):
-                out[i] = FREQUENCIES[best[k]].tolist() if a[k].any() else [0.0] * top
+                out[i] = FREQUENCIES[best[k]].tolist() if lasts[k] else [0.0] * top
         return pd.Series(out)
 
     return run

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from gridpulse.functions.signal import average_linkage, ncc_bounded, ncc_udf
 
 
-def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000) -> DataFrame:
+def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000, by: str = "signal") -> DataFrame:
     """``event_idx`` for regular anomalous windows (``regular``): a window joins the event of its predecessor
-    by index if that is regular too and similar; similarity is to the immediate predecessor."""
+    by index if that is regular too and similar in column ``by``; similarity is to the immediate predecessor."""
     order = Window.partitionBy("sig_key").orderBy("win_idx")
-    w = windows.withColumn("__prev", F.lag("signal").over(order)).withColumn("__was", F.coalesce(F.lag("regular").over(order), F.lit(False)))
-    w = w.where("regular").withColumn("sim", F.when(F.col("__was"), ncc_udf(False, max_lag)("__prev", "signal")))
+    w = windows.withColumn("__prev", F.lag(by).over(order)).withColumn("__was", F.coalesce(F.lag("regular").over(order), F.lit(False)))
+    w = w.where("regular").withColumn("sim", F.when(F.col("__was"), ncc_udf(False, max_lag)("__prev", by)))
     start = (~F.coalesce(F.col("sim") >= threshold, F.lit(False))).cast("int")
     w = w.withColumn("event_idx", F.sum(start).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     return w.drop("__prev", "__was")
@@ -27,11 +27,11 @@ def references(chained: DataFrame) -> DataFrame:
     return chained.withColumn("__r", rank).where("__r = 1").drop("__r")
 
 
-def metrics(chained: DataFrame, refs: DataFrame, max_lag: int = 5000) -> DataFrame:
+def metrics(chained: DataFrame, refs: DataFrame, max_lag: int = 5000, by: str = "signal") -> DataFrame:
     """``ncc_vs_ref`` of every window; the reference itself keeps 0."""
-    r = refs.select("sig_key", "event_idx", F.col("win_idx").alias("ref_idx"), F.col("signal").alias("__ref"))
+    r = refs.select("sig_key", "event_idx", F.col("win_idx").alias("ref_idx"), F.col(by).alias("__ref"))
     w = chained.join(r, ["sig_key", "event_idx"])
-    return w.withColumn("ncc_vs_ref", F.when(F.col("win_idx") == F.col("ref_idx"), F.lit(0.0)).otherwise(ncc_udf(False, max_lag)("__ref", "signal"))).drop("__ref")
+    return w.withColumn("ncc_vs_ref", F.when(F.col("win_idx") == F.col("ref_idx"), F.lit(0.0)).otherwise(ncc_udf(False, max_lag)("__ref", by))).drop("__ref")
 
 
 def type_pairs(refs: DataFrame, max_lag: int = 5000) -> DataFrame:

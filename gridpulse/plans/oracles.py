@@ -21,7 +21,7 @@ vec AS (
   SELECT 'l' || label AS sig_key, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS win_idx,
     list_transform(embedding, lambda v: v::DOUBLE) AS x
   FROM embeddings),
-reg AS (SELECT *, win_idx % 4 <> 3 AS regular, list_avg(x) AS m, list_max(x) AS top, list_stddev_pop(x) AS sd FROM vec)
+reg AS (SELECT *, list_max(x) < 2.2 AS regular, list_avg(x) AS m, list_max(x) AS top, list_stddev_pop(x) AS sd FROM vec)
 """
 
 # Centred samples one per row; pairs are joined on them lag by lag.
@@ -64,6 +64,49 @@ grid AS (SELECT sig_key, k FROM (SELECT DISTINCT sig_key FROM pts), (SELECT unne
 cnt AS (SELECT sig_key, floor(q)::BIGINT AS k, count(*) AS n FROM pts GROUP BY 1, 2),
 bins AS (SELECT sig_key, k, coalesce(n, 0) AS n FROM grid LEFT JOIN cnt USING (sig_key, k))"""
 
+# Isolated peaks: exact 2-means of x**4 over all cuts of the sorted values; the window's peaks are runs of values at the upper mean or above.
+PEAKS = WINDOWS + """,
+pk AS (SELECT sig_key, win_idx, unnest(range(0, len(x))) AS i, unnest(x) ** 4 AS s FROM pad),
+so AS (
+  SELECT *, row_number() OVER o AS j, count(*) OVER w AS n, lead(s) OVER o AS nxt, sum(s) OVER (PARTITION BY sig_key, win_idx ORDER BY s, i ROWS UNBOUNDED PRECEDING) AS a,
+    sum(s * s) OVER (PARTITION BY sig_key, win_idx ORDER BY s, i ROWS UNBOUNDED PRECEDING) AS q, sum(s) OVER w AS sa, sum(s * s) OVER w AS sq
+  FROM pk WINDOW w AS (PARTITION BY sig_key, win_idx), o AS (PARTITION BY sig_key, win_idx ORDER BY s, i)),
+cu AS (SELECT sig_key, win_idx, arg_min(j, (q - a * a / j + (sq - q) - (sa - a) * (sa - a) / (n - j), j)) AS c FROM so WHERE nxt > s GROUP BY 1, 2),
+mn AS (SELECT sig_key, win_idx, avg(CASE WHEN j <= c THEN s END) AS low, avg(CASE WHEN j > c THEN s END) AS high FROM so JOIN cu USING (sig_key, win_idx) GROUP BY 1, 2),
+hi AS (SELECT sig_key, win_idx, i, lag(i) OVER (PARTITION BY sig_key, win_idx ORDER BY i) AS was FROM pk JOIN mn USING (sig_key, win_idx) WHERE high / greatest(low, 1e-9) >= 20 AND s >= high),
+cn AS (SELECT sig_key, win_idx, count(*) FILTER (WHERE was IS NULL OR i - was > 1) AS k FROM hi GROUP BY 1, 2),
+fl AS (
+  SELECT seg.*, mean_range > 55 AND list_max(x) >= 0 AND abs(list_min(x)) >= 0 AS anom, coalesce(k, 0) AS found,
+    list_sum(list_transform(range(1, len(x) + 1), lambda i: abs(list_sort([x[greatest(1, i - 2)], x[greatest(1, i - 1)], x[i], x[least(len(x), i + 1)], x[least(len(x), i + 2)]])[3]))) AS energy
+  FROM seg LEFT JOIN cn USING (sig_key, win_idx)),
+fw AS (SELECT *, CASE WHEN anom THEN found ELSE 0 END AS peak_count, CASE WHEN anom AND found > 0 THEN 'pic_' || found ELSE '' END AS peak_type, anom AND found = 0 AS regular FROM fl)
+"""
+
+# Chains over those windows; times lie days apart, so no bin reaches the cutoff and the low-pass changes nothing.
+EVENTS = PEAKS + """,
+rw AS (SELECT *, sig_key || '/' || win_idx AS w, list_stddev_pop(x) AS sd, lag(sig_key || '/' || win_idx) OVER (PARTITION BY sig_key ORDER BY win_idx) AS pw, lag(regular) OVER (PARTITION BY sig_key ORDER BY win_idx) AS was FROM fw),
+px AS (SELECT w, unnest(range(0, len(x))) AS i, unnest(x) - list_avg(x) AS v FROM rw),
+c1 AS (
+  SELECT r.w, max(c) / (any_value(len(r.x) * r.sd * p.sd) + 1e-12) AS ncc FROM rw r JOIN rw p ON p.w = r.pw
+  JOIN (SELECT r.w, abs(sum(a.v * b.v)) AS c FROM rw r JOIN px a ON a.w = r.pw JOIN px b ON b.w = r.w AND a.i - b.i BETWEEN -(r.most // 2) AND (r.most - 1) // 2 GROUP BY r.w, a.i - b.i) l ON l.w = r.w
+  WHERE r.regular AND r.was AND r.sd * p.sd > 0 GROUP BY r.w),
+sg AS (SELECT rw.*, CASE WHEN ncc >= 0.6 THEN 0 ELSE 1 END AS start FROM rw LEFT JOIN c1 USING (w) WHERE regular),
+ce AS (SELECT *, sum(start) OVER (PARTITION BY sig_key ORDER BY win_idx ROWS UNBOUNDED PRECEDING) - 1 AS n_ev FROM sg),
+rf AS (SELECT sig_key, n_ev, arg_min(w, (-list_max(x), win_idx)) AS rw FROM ce GROUP BY 1, 2),
+c2 AS (
+  SELECT e.w, max(c) / (any_value(len(e.x) * e.sd * p.sd) + 1e-12) AS ncc FROM ce e JOIN rf USING (sig_key, n_ev) JOIN ce p ON p.w = rf.rw
+  JOIN (SELECT e.w, abs(sum(a.v * b.v)) AS c FROM ce e JOIN rf USING (sig_key, n_ev) JOIN px a ON a.w = rf.rw JOIN px b ON b.w = e.w AND a.i - b.i BETWEEN -(e.most // 2) AND (e.most - 1) // 2 GROUP BY e.w, a.i - b.i) l ON l.w = e.w
+  WHERE e.w <> rf.rw AND e.sd * p.sd > 0 GROUP BY e.w),
+mem AS (
+  SELECT ce.sig_key, 0 AS pk, n_ev::BIGINT AS n_ev, ce.win_idx, ce.start_ts, ce.w = rf.rw AS is_ref, coalesce(c2.ncc, 0) AS ncc, ce.peak_count, ce.peak_type, energy, ce.x FROM ce JOIN rf USING (sig_key, n_ev) LEFT JOIN c2 ON c2.w = ce.w
+  UNION ALL SELECT sig_key, 1, win_idx, win_idx, start_ts, true, 1, peak_count, peak_type, energy, x FROM rw WHERE peak_type <> ''),
+evt AS (
+  SELECT sig_key, pk, n_ev, min(start_ts) AS ref_timestamp, max(start_ts) AS last_ts, count(*)::INTEGER AS window_count, sum(ncc) AS sum_ncc, max(CASE WHEN is_ref THEN win_idx END) AS ref_win_idx,
+    max(CASE WHEN is_ref THEN peak_count END)::INTEGER AS peak_count, max(CASE WHEN is_ref THEN peak_type END) AS peak_type, max(CASE WHEN is_ref THEN energy END) AS peak_energy, max(CASE WHEN is_ref THEN list_max(x) END) AS ref_max
+  FROM mem GROUP BY 1, 2, 3),
+eid AS (SELECT *, (row_number() OVER (PARTITION BY sig_key ORDER BY ref_timestamp, pk, n_ev) - 1)::INTEGER AS event_id, (epoch_us(last_ts) - epoch_us(ref_timestamp)) / 1e6 AS duration_s FROM evt)
+"""
+
 SQL = {
     "gap_windows": f"WITH {WINDOWS} SELECT sig_key, win_idx, start_ts, end_ts, n FROM win",
     "window_centre_pad": f"WITH {WINDOWS} SELECT sig_key, win_idx, len(x) AS padded, round(list_sum(list_transform(x, lambda v: abs(v))), 4) AS total FROM pad",
@@ -80,23 +123,27 @@ SQL = {
     "event_reference": f"WITH {CHAIN} SELECT sig_key, event_idx::BIGINT AS event_idx, win_idx AS ref_idx FROM ref",
     "event_metrics": f"WITH {MEASURE} SELECT sig_key, event_idx::BIGINT AS event_idx, win_idx, ref_idx, round(ncc_vs_ref, 5) AS ncc_vs_ref FROM ms",
     "type_pairs": f"""WITH {POINTS}, tp AS (SELECT a.vec_id * 1000000 + b.vec_id AS id, a.vec_id AS a, b.vec_id AS b, a.sig_key, a.win_idx AS i, b.win_idx AS j
-        FROM reg a JOIN reg b ON a.sig_key = b.sig_key AND a.win_idx < b.win_idx AND b.win_idx < 12), {ncc('tp', -32, 31, EPS)}
+        FROM reg a JOIN reg b ON a.sig_key = b.sig_key AND a.win_idx < b.win_idx), {ncc('tp', -32, 31, EPS)}
         SELECT sig_key, i, j, round(ncc, 5) AS ncc FROM tp JOIN best USING (id)""",
-    "profile_rollup": f"""WITH {MEASURE} SELECT sig_key, event_idx::BIGINT AS event_idx, (event_idx % 3)::BIGINT AS type_id, make_timestamp((1704067200 + min(win_idx) * 40) * 1000000) AS ref_timestamp,
+    "profile_rollup": f"""WITH {MEASURE} SELECT sig_key, event_idx::BIGINT AS event_idx, make_timestamp((1704067200 + min(win_idx) * 40) * 1000000) AS ref_timestamp,
         count(*) AS window_count, max(ref_idx) AS ref_win_idx, round(avg(ncc_vs_ref), 4) AS mean_ncc, ((max(win_idx) - min(win_idx)) * 40)::DOUBLE AS duration_s FROM ms GROUP BY sig_key, event_idx""",
     "type_summary": "SELECT 'u' || (user_id % 10) AS sig_key, event_type AS cid, count(*) AS count, round(avg(value), 4) AS mean_freq, min(ts) AS first_ts, arg_min(event_id, (ts, event_id)) AS first_event FROM events GROUP BY 1, 2",
     "overlap_histogram": f"WITH {BINS} SELECT sig_key, make_timestamp(k * 21600 * 1000000) AS bin, n FROM bins",
-    "burst_stats": f"""WITH {BINS}, s AS (SELECT *, n / sum(n) OVER (PARTITION BY sig_key) AS p, avg(n) OVER (PARTITION BY sig_key) + 2 * stddev_samp(n) OVER (PARTITION BY sig_key) AS cut FROM bins)
-        SELECT sig_key, round(avg(CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS active, round(-sum(CASE WHEN p > 0 THEN p * log2(p) END) / log2(greatest(count(*), 2)), 5) AS entropy,
-        sum(CASE WHEN n > cut THEN 1 ELSE 0 END)::BIGINT AS bursts, max(n) AS peak, quantile_cont(n::DOUBLE, 0.5) AS median FROM s GROUP BY sig_key""",
-    "shared_types": f"""WITH {POINTS}, tp AS (SELECT a.vec_id * 1000000 + b.vec_id AS id, a.vec_id AS a, b.vec_id AS b, a.sig_key AS sa, b.sig_key AS sb, a.win_idx AS ca, b.win_idx AS cb
-        FROM reg a JOIN reg b ON a.sig_key < b.sig_key AND a.win_idx < 3 AND b.win_idx < 3), {ncc('tp', -63, 63, '')}
-        SELECT sa AS sig_key_a, ca AS cid_a, sb AS sig_key_b, cb AS cid_b, round(ncc, 5) AS ncc FROM tp JOIN best USING (id) WHERE ncc >= 0.3""",
-    "registry_match": f"""WITH {POINTS}, tp AS (SELECT a.vec_id * 1000000 + b.vec_id AS id, a.vec_id AS a, b.vec_id AS b FROM reg a JOIN reg b ON b.vec_id < 8), {ncc('tp', -63, 63, '')}
-        SELECT a AS id, CASE WHEN max(ncc) >= 0.3 THEN arg_max(b, (round(ncc, 12), -b)) END AS type_id, round(max(ncc), 5) AS ncc FROM best GROUP BY a""",
+    "burst_stats": """WITH pts AS (SELECT 'u' || (user_id % 10) AS sig_key, ts, value, epoch_us(ts) / 1e6 / 21600 AS q FROM events WHERE ts IS NOT NULL),
+        grid AS (SELECT sig_key, k FROM (SELECT DISTINCT sig_key FROM pts), (SELECT unnest(range(floor(min(q))::BIGINT, ceil(max(q))::BIGINT + 1)) AS k FROM pts)),
+        cnt AS (SELECT sig_key, floor(q)::BIGINT AS k, count(*) AS n FROM pts GROUP BY 1, 2),
+        bins AS (SELECT sig_key, k, coalesce(n, 0) AS n FROM grid LEFT JOIN cnt USING (sig_key, k)),
+        s AS (SELECT *, n / sum(n) OVER (PARTITION BY sig_key) AS p, avg(n) OVER (PARTITION BY sig_key) + 2 * stddev_samp(n) OVER (PARTITION BY sig_key) AS cut FROM bins),
+        f AS (SELECT sig_key, quantile_cont(value, 0.5) AS median_freq FROM pts GROUP BY 1),
+        b AS (SELECT sig_key, arg_min(k, (-n, k)) AS busy, round(avg(CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE 0 END), 6) AS active, round(-sum(CASE WHEN p > 0 THEN p * log2(p) END) / log2(greatest(count(*), 2)), 5) AS entropy,
+          sum(CASE WHEN n > cut THEN 1 ELSE 0 END)::BIGINT AS bursts FROM s GROUP BY sig_key)
+        SELECT sig_key, active, entropy, bursts, strftime(make_timestamp((busy * 21600 + 10800) * 1000000), '%H:%M') AS peak, median_freq FROM b JOIN f USING (sig_key)""",
     "gantt_bars": f"""WITH {WINDOWS}, sp AS (SELECT (max(epoch_us(end_ts)) - min(epoch_us(start_ts))) / 1e6 AS span FROM win)
         SELECT sig_key, win_idx AS event_id, start_ts, round(greatest((epoch_us(end_ts) - epoch_us(start_ts)) / 1e6, 0.003 * span, 1.0), 3) AS bar_s FROM win, sp""",
-    "color_map": "SELECT a, b, ((row_number() OVER (ORDER BY a, b) - 1) % 8)::INTEGER AS color FROM (SELECT DISTINCT 'u' || (user_id % 10) AS a, event_type AS b FROM events)",
+    "color_map": """WITH c AS (SELECT ['#e69f00', '#56b4e9', '#009e73', '#f0e442', '#0072b2', '#d55e00', '#cc79a7', '#000000',
+          '#1f77b4', '#aec7e8', '#ff7f0e', '#ffbb78', '#2ca02c', '#98df8a', '#d62728', '#ff9896', '#9467bd', '#c5b0d5', '#8c564b', '#c49c94', '#e377c2', '#f7b6d2', '#7f7f7f', '#c7c7c7', '#bcbd22', '#dbdb8d', '#17becf', '#9edae5'] AS l),
+        p AS (SELECT *, row_number() OVER (ORDER BY a, b) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT 'u' || (user_id % 10) AS a, event_type AS b FROM events))
+        SELECT a, b, l[1 + i % CASE WHEN n > 8 THEN 28 ELSE 8 END] AS color FROM p, c""",
     "unpivot_channels": "SELECT l_orderkey, l_linenumber, voie, signal FROM (SELECT l_orderkey, l_linenumber, unnest([1, 2, 3]) AS voie, unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, l_discount::DOUBLE]) AS signal FROM lineitem)",
     "ingest_dedup": """WITH a AS (SELECT 'u' || user_id AS boitier, date_trunc('minute', ts) AS ts, event_id AS tie, value FROM events WHERE value IS NOT NULL AND ts IS NOT NULL),
         b AS (SELECT *, 0 AS src, value AS v FROM a WHERE tie % 3 = 0 UNION ALL SELECT *, 1, value + 1000 FROM a)
@@ -109,4 +156,20 @@ SQL = {
         s AS (SELECT *, round(0.7 * percent_rank() OVER (ORDER BY mean_range) + 0.3 * percent_rank() OVER (ORDER BY n), 6) AS score FROM a),
         r AS (SELECT *, percent_rank() OVER (ORDER BY score DESC) AS q FROM s)
         SELECT sig_key, win_idx, score, CASE WHEN q < 0.1 THEN 'severe' WHEN q < 0.4 THEN 'moderate' ELSE 'minor' END AS level FROM r""",
+    "peak_count_2means": f"WITH {PEAKS} SELECT sig_key, win_idx, found AS n_peaks, CASE WHEN found > 0 THEN 'pic_' || found ELSE '' END AS label FROM fl",
+    "lowpass": """WITH pt AS (SELECT vec_id, unnest(range(0, 64)) AS j, unnest(embedding)::DOUBLE AS v FROM embeddings),
+        k AS (SELECT m - 63 AS d, (1 + 2 * sum(cos(2 * pi() * g * (m - 63) / 64))) / 64 AS c FROM range(0, 127) AS a(m), range(1, 11) AS b(g) GROUP BY m)
+        SELECT vec_id, i::INTEGER AS i, round(sum(v * c), 5) + 0.0 AS v FROM pt, range(0, 64) AS t(i) JOIN k ON k.d = i - j GROUP BY 1, 2""",
+    "peak_split": f"WITH {PEAKS} SELECT sig_key, win_idx, anom AS is_anomaly, peak_count, peak_type, peak_type <> '' AND energy > 200 AS peak_forme, regular FROM fw",
+    "peak_events": f"""WITH {EVENTS} SELECT sig_key, event_id, ref_win_idx, ref_timestamp, window_count, duration_s, peak_count, peak_type, peak_energy > 200 AS peak_forme, round(peak_energy, 3) AS peak_energy,
+        1.0::DOUBLE AS ncc_vs_ref, 0.0::DOUBLE AS dom_freq FROM eid WHERE pk = 1""",
+    "event_profile": f"""WITH {EVENTS} SELECT sig_key, event_id, pk = 1 AS is_peak, ref_win_idx, ref_timestamp, last_ts, window_count, duration_s, peak_count, peak_type, round(sum_ncc, 4) AS sum_ncc, round(ref_max, 4) AS ref_max FROM eid""",
+    "type_pairs_skipped": f"WITH {EVENTS} SELECT sig_key, event_id FROM eid WHERE pk = 0",
+    "trms_segments": """WITH r AS (SELECT l_returnflag AS sig_key, l_shipdate, l_discount::DOUBLE AS lo, l_extendedprice::DOUBLE AS hi, l_quantity::DOUBLE AS e,
+          (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1) // 3600 AS segment FROM lineitem WHERE l_shipdate IS NOT NULL)
+        SELECT sig_key, segment, min(l_shipdate)::TIMESTAMP AS start_ts, count(*) AS n, min(lo) AS low, max(hi) AS high, max(e) AS efficace, abs(max(hi) - min(lo)) > 104000 OR max(e) > 60 AS is_peak FROM r GROUP BY 1, 2""",
+    "signals_in_order": "SELECT sig_key, (row_number() OVER (ORDER BY first_at, sig_key) - 1)::INTEGER AS rank FROM (SELECT 'u' || user_id AS sig_key, min((ts, event_id)) AS first_at FROM events WHERE ts IS NOT NULL GROUP BY 1)",
+    "dates_without_events": """WITH d AS (SELECT o_orderdate::DATE AS date, count(*) AS n FROM orders GROUP BY 1),
+        g AS (SELECT unnest(generate_series((SELECT min(date) FROM d), (SELECT max(date) FROM d), INTERVAL 1 DAY))::DATE AS date)
+        SELECT strftime(g.date, '%Y-%m-%d') AS date, coalesce(n, 0) AS n_orders FROM g LEFT JOIN d USING (date)""",
 }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 METRICS = ("min", "max", "moy", "efficace")
 OSCILLO = "t string, v1 float, v2 float, v3 float"
@@ -18,13 +22,60 @@ def with_path(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumns({"date": F.coalesce(found, F.current_date()), "boitier": F.coalesce(F.nullif(F.regexp_extract(p, r"boitier_\d+", 0), F.lit("")), F.lit("boitier_inconnu")), "kind": kind})
 
 
-def read_text(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
-    """Rows ``ts`` and values of all ``.txt`` files of a kind, one row per channel ``voie``."""
+def parsed_time(text: Column) -> Column:
+    """Time without a zone from mixed spellings: ISO with blank or T and any fraction, dates alone, slashes with the year or the month first."""
+    t = F.regexp_replace(F.btrim(text), r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    return F.regexp_replace(t, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2").try_cast("timestamp_ntz")
+
+
+def raw_rows(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
+    """Lines of all ``.txt`` files of a kind with path, ``ts`` (null if it can't be read) and ``tie``, their order."""
     schema = OSCILLO if kind == "oscillo" else TRMS
     raw = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").csv(root)
-    raw = with_path(raw.select("*", F.col("_metadata.file_path").alias("path"))).where(F.col("kind") == kind)
-    raw = raw.withColumn("ts", F.coalesce(*(F.try_to_timestamp(F.col("t"), F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss"))).cast("timestamp_ntz")).where("ts is not null")
-    return unpivot(raw, kind).select("kind", "boitier", "voie", "date", "ts", "path", *(("signal",) if kind == "oscillo" else METRICS))
+    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    raw = with_path(raw.select("*", F.col("_metadata.file_path").alias("path"), at.alias("tie"))).where(F.col("kind") == kind)
+    return raw.withColumn("ts", parsed_time(F.col("t")))
+
+
+def read_text(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
+    """Rows ``ts`` and values of all ``.txt`` files of a kind, one row per channel ``voie``; ``rejected`` has the lines left out."""
+    raw = raw_rows(spark, root, kind).where("ts is not null")
+    return unpivot(raw, kind).select("kind", "boitier", "voie", "date", "ts", "tie", "path", *(("signal",) if kind == "oscillo" else METRICS))
+
+
+def rejected(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
+    """``path, t``: lines whose time can't be read."""
+    return raw_rows(spark, root, kind).where("ts is null").select("path", "t")
+
+
+def file_status(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
+    """Per file ``path, lines, bad, status``: 'ok', 'partial', or 'failed' where no line can be read."""
+    n = raw_rows(spark, root, kind).groupBy("path").agg(F.count("*").alias("lines"), F.count(F.when(F.col("ts").isNull(), 1)).alias("bad"))
+    return n.withColumn("status", F.when(F.col("bad") == 0, "ok").when(F.col("bad") < F.col("lines"), "partial").otherwise("failed"))
+
+
+def read_loose(spark: SparkSession, root: str, channel: int = 0) -> DataFrame:
+    """``sig_key, ts, tie, signal`` of loose ``.txt`` and ``.csv`` files, a signal a file.
+
+    The separator is the one of comma, semicolon, tab, bar and blank that is most
+    common in a file's first line; column 0 is the time; the channel counts columns
+    in which every value is a number. A file with a time that can't be read, or with too few
+    such columns, contributes nothing.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{txt,csv}").text(root)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), at.alias("tie"), F.btrim("value", F.lit(" \r\n")).alias("value")).where("value <> ''")
+    # A blank inside a time is no separator as long as another one occurs.
+    count = lambda sep: F.size(F.split("head", F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E")))) - 1
+    marks = F.array(*(F.struct(F.when(F.lit(sep) == " ", F.least(count(sep), F.lit(0))).otherwise(count(sep)).alias("n"), F.lit(-k).alias("k"), F.lit(sep).alias("sep")) for k, sep in enumerate((",", ";", "\t", "|", " "))))
+    heads = lines.groupBy("path").agg(F.min_by("value", "tie").alias("head")).select("path", F.array_max(marks)["sep"].alias("sep"))
+    cells = lines.join(heads, "path").select("path", "tie", F.split("value", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))).alias("v")).withColumn("ts", parsed_time(F.get("v", F.lit(0))))
+    good = cells.groupBy("path").agg(F.bool_and(F.col("ts").isNotNull()).alias("ok")).where("ok").select("path")
+    columns = cells.join(good, "path", "left_semi").select("path", F.posexplode("v").alias("pos", "x")).where("pos > 0")
+    columns = columns.groupBy("path", "pos").agg(F.bool_and((F.btrim("x") == "") | F.btrim("x").try_cast("double").isNotNull()).alias("number")).where("number")
+    own = columns.withColumn("k", F.row_number().over(Window.partitionBy("path").orderBy("pos")) - 1).where(F.col("k") == channel).select("path", "pos")
+    out = cells.join(own, "path").select(F.col("path").alias("sig_key"), "ts", "tie", F.btrim(F.get("v", F.col("pos"))).try_cast("double").alias("signal"))
+    return out.where("signal is not null")
 
 
 def unpivot(wide: DataFrame, kind: str = "oscillo") -> DataFrame:
@@ -49,8 +100,11 @@ def merge(new: DataFrame, existing: DataFrame | None, keys: list[str], dedup_on_
 
 
 def write(rows: DataFrame, path: str) -> None:
+    """Partitions by kind, device, channel and date, rows in order of time; only partitions that have new rows are replaced."""
     parts = ["kind", "boitier", "voie", "date"]
-    rows.repartition(*parts).sortWithinPartitions("ts").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*parts).parquet(path)
+    order = ["ts"] + [c for c in ("tie",) if c in rows.columns]
+    out = rows.repartition(*parts).sortWithinPartitions(*parts, *order).drop("tie", "path")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*parts).parquet(path)
 
 
 def scan(spark: SparkSession, path: str, boitier: str, voie: int, dates: list[str], kind: str = "oscillo") -> DataFrame:
@@ -62,9 +116,66 @@ def scan(spark: SparkSession, path: str, boitier: str, voie: int, dates: list[st
     return out
 
 
-def write_profile(profile: DataFrame, path: str) -> None:
-    profile.write.mode("overwrite").json(path)
+PROFILE = (
+    "signal_id string, events array<struct<event_id: int, cluster_id: int, type_label: string, ref_timestamp: timestamp_ntz, ref_dom_freq: double, ref_dom_freqs4: array<double>, "
+    "window_timestamps: array<timestamp_ntz>, ncc_vs_ref: array<double>, dom_freqs: array<double>, window_count: int, duration_s: double>>, total_windows long, n_clusters int, t_start timestamp_ntz, t_end timestamp_ntz"
+)
 
 
-def read_profile(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def write_profile(profile: DataFrame, path: str) -> None:
+    """Profiles as JSON, one line a signal; windows and peaks stay in memory."""
+    names = [f.name for f in T.StructType.fromDDL(PROFILE)["events"].dataType.elementType]
+    kept = profile.withColumn("events", F.transform("events", lambda e: F.struct(*(e[n].alias(n) for n in names))))
+    kept.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+
+
+def read_profile(spark: SparkSession, path: str, schema=PROFILE) -> DataFrame:
+    """Profiles from JSON; a span that is missing comes from the events."""
+    p = spark.read.schema(schema).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
+    first = F.array_min(F.transform("events", lambda e: e["ref_timestamp"]))
+    last = F.array_max(F.transform("events", lambda e: F.element_at(e["window_timestamps"], -1)))
+    return p.withColumns({"t_start": F.coalesce("t_start", first), "t_end": F.coalesce("t_end", last)})
+
+
+def write_type_windows(windows: DataFrame, path: str) -> None:
+    """``sig_key, cid, window`` as Parquet by signal."""
+    windows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sig_key").parquet(path)
+
+
+def existing(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame | None:
+    """Rows of the lake in the partitions ``parts``; ``None`` where there is no lake yet."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return rows.join(F.broadcast(parts), parts.columns, "left_semi")
+
+
+def write_aside(rows: DataFrame, path: str) -> None:
+    """``write`` of rows that partly come from ``path``: they are written beside it first, so a lost executor re-reads files that no one replaces."""
+    spark = rows.sparkSession
+    aside = f"{path.rstrip('/')}-aside-{uuid.uuid4().hex}"
+    rows.write.parquet(aside)
+    write(spark.read.parquet(aside), path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def read_registry(spark: SparkSession, path: str) -> list[tuple[int, list[float]]]:
+    """``type_id, window`` of all known types in order; none where there is no registry. One row a type."""
+    try:
+        return [(r["type_id"], list(r["window"])) for r in spark.read.parquet(path).orderBy("type_id").toLocalIterator()]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+
+
+def write_registry(spark: SparkSession, path: str, known: list[tuple[int, list[float]]]) -> None:
+    """Append the types that the registry does not have yet."""
+    have = {t for t, _ in read_registry(spark, path)}
+    new = [(t, w) for t, w in known if t not in have]
+    if new:
+        spark.createDataFrame(new, "type_id int, window array<float>").coalesce(1).write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.sources.lake import merge, write
+from gridpulse.sources.lake import existing, merge, write_aside
 
 
 def session_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, late: str = "10 minutes") -> DataFrame:
@@ -23,18 +23,8 @@ def ingest(stream: DataFrame, path: str, checkpoint: str):
     """A query that merges each micro-batch into the lake at ``path``, existing rows first."""
 
     def one(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         parts = ["kind", "boitier", "voie", "date"]
-        try:
-            old = spark.read.parquet(path).withColumn("tie", F.lit(0).cast("long")).join(F.broadcast(batch.select(*parts).distinct()), parts, "left_semi")
-        except Exception as e:  # no lake yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
-        out = merge(batch, old, parts, dedup_on_create=True).drop("tie")
-        out.persist()
-        out.count()
-        write(out, path)
-        out.unpersist()
+        old = existing(batch.sparkSession, path, batch.select(*parts).distinct())
+        write_aside(merge(batch, old, parts, dedup_on_create=True), path)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

@@ -1,6 +1,6 @@
 """Repeated byte strings by a depth-limited most-significant-digit sort of suffixes.
 
-Suffixes are sorted only through ``length`` bytes, in four digits, and only
+Suffixes are sorted only through ``length`` bytes, in five digits, and only
 groups with more than one member go on to the next digit:
 
 1. the pivot: of all ``PIVOT``-byte strings in the first ``length`` bytes of a
@@ -12,7 +12,11 @@ groups with more than one member go on to the next digit:
    on the right of it, so equal strings agree on one of the two flanks. Runs
    whose flanks nobody shares end here; of the others only the side that is
    shared goes on.
-4. for what is left, two hashes of the ``length`` bytes at each suffix.
+4. blocks of up to ``BLOCK`` neighbouring suffixes, cut by their distance from the
+   pivot: blocks that nobody shares the common bytes of end here, and equal blocks are
+   equal suffix by suffix.
+5. for one block of each kind that is left, two hashes of the ``length`` bytes at each
+   suffix.
 
 Runs whose pivot occurs once end before anything else is compared. The equal groups
 left are the repeated windows: strings count as equal if pivot, and the two hashes
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import cut, narrow_batches, only, small, swap, texts
 
-LENGTH, PIVOT = 400, 64
+LENGTH, PIVOT, BLOCK = 400, 64, 16
 U = np.uint64
 
 
@@ -99,6 +103,33 @@ def find_runs(length: int, pivot: int):
     return run
 
 
+def blocks(length: int, size: int):
+    """Blocks of the listed runs: place, distance class, hash of the bytes that all suffixes of the class share, two hashes of all bytes."""
+    names = ("start", "n", "digit1", "k", "core", "whole", "again")
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int32() if c in ("start", "n", "k") else pa.int64()) for c in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, (buf, off), parts = batch.column(0), K.buffers(batch.column(1)), batch.column(2)
+            for i in range(batch.num_rows):
+                text, mine = buf[off[i] : off[i + 1]], parts[i].values
+                start, n, low = (np.asarray(mine.field(c)).astype(np.int64) for c in ("start", "n", "low"))
+                near, far = low - start - n + 1, low - start
+                count = far // size - near // size + 1
+                of = np.repeat(np.arange(len(n)), count)
+                k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + (near // size)[of]
+                p0, p1 = np.maximum(near[of], k * size), np.minimum(far[of], k * size + size - 1)
+                low = low[of]
+                one, two = K.prefix(text), K.prefix(text, K.OTHERS)
+                shape = K.mix((p0 * length + p1).astype(np.uint64))
+                core = K.spans(one, low - k * size, low - k * size - size + 1 + length)
+                whole, again = (K.mix(K.spans(x, low - p1, low - p0 + length) ^ shape) for x in (one, two))
+                cols = (low - p1, p1 - p0 + 1, np.asarray(mine.field("digit1"))[of], k, K.signed(core), K.signed(whole), K.signed(again))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(of), i))), *(pa.array(c.astype(np.int32) if schema.field(x).type == pa.int32() else c) for x, c in zip(names, cols))], schema=schema)
+
+    return run
+
+
 def last_digit(length: int):
     """One row per run: two hashes of each of its suffixes' first ``length`` bytes, from the text."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("digit1", pa.int64()), ("digits", pa.list_(pa.int64())), ("again", pa.list_(pa.int64()))])
@@ -146,6 +177,13 @@ def strip(length: int, keep_text: bool):
     return run
 
 
+def listed(body: DataFrame, rows: DataFrame, *fields: str) -> DataFrame:
+    """``doc_id, text, parts`` of the documents that have rows, a document's rows as its parts."""
+    ids = cut(rows.select("doc_id").distinct(), "ids")
+    parts = rows.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("parts"))
+    return only(body, ids).join(parts, "doc_id").select("doc_id", "text", "parts")
+
+
 def repeated(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT) -> DataFrame:
     """``doc_id, start, n``: runs of suffixes whose first ``length`` bytes start elsewhere too."""
     narrow_batches(docs.sparkSession)
@@ -167,17 +205,25 @@ def repeated(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT) -> DataF
     middle = F.col("low") - (length - pivot) // 2
     begin = F.when(F.col("on_left"), F.col("start")).otherwise(F.greatest(F.col("start"), middle))
     stop = F.when(F.col("on_right"), F.col("start") + F.col("n")).otherwise(F.least(F.col("start") + F.col("n"), middle + 1))
-    open_runs = open_runs.where("on_left or on_right").select("doc_id", begin.alias("start"), (stop - begin).alias("n"), "digit1").where("n > 0")
+    open_runs = open_runs.where("on_left or on_right").select("doc_id", begin.alias("start"), (stop - begin).alias("n"), "digit1", "low").where("n > 0")
     open_runs = cut(open_runs, "shared-flanks")
-    ids = cut(open_runs.select("doc_id").distinct(), "ids")
-    listed = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digit1")).alias("parts"))
-    digits = only(body, ids).join(listed, "doc_id").select("doc_id", "text", "parts").mapInArrow(last_digit(length), "doc_id long, start int, digit1 long, digits array<long>, again array<long>")
+    kind = "doc_id long, start int, n int, digit1 long, k int, core long, whole long, again long"
+    parted = cut(listed(body, open_runs, "start", "n", "digit1", "low").mapInArrow(blocks(length, min(BLOCK, length // 2)), kind), "blocks")
+    core = ["digit1", "k", "core"]
+    all_of = [*core, "whole", "again"]
+    second = parted.groupBy(*all_of).agg(F.count("*").alias("same"), F.min(F.struct("doc_id", "start")).alias("first"))
+    first = second.groupBy(*core).agg(F.sum("same").alias("all"), F.count("*").alias("kinds")).where("all > 1")
+    groups = cut(second.join(first, core), "block-groups")
+    equal = parted.join(groups.where("same > 1").select(*all_of), all_of).select("doc_id", "start", "n")
+    left = parted.join(groups.where("kinds > 1").select(*all_of, "first"), all_of).where(F.col("first") == F.struct("doc_id", "start"))
+    left = cut(left.select("doc_id", "start", "n", "digit1"), "open-blocks")
+    digits = listed(body, left, "start", "n", "digit1").mapInArrow(last_digit(length), "doc_id long, start int, digit1 long, digits array<long>, again array<long>")
     digits = cut(digits, "digits").select("doc_id", "start", F.posexplode("digits").alias("i", "digit4"), "again", "digit1")
     digits = digits.withColumn("digit5", F.get("again", F.col("i"))).drop("again")
     keys = ["digit1", "digit4", "digit5"]
     again = digits.groupBy(*keys).agg(F.count("*").alias("c")).where("c > 1").select(*keys)
     single = digits.join(again, keys).select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
-    return whole.union(single)
+    return whole.union(equal).union(single)
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, pivot: int = PIVOT, keep_text: bool = True) -> DataFrame:

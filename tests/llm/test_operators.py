@@ -365,14 +365,14 @@ def test_mixing(spark, docs, rows, empty):
     assert {r["__target"] for r in mixing.copies(many).where("doc_id < 3").collect()} == {1500 / (167 + 2 * 167 + 3 * 166) * k for k in (1, 2, 3)}
 
 
-def test_near(docs, rows, empty):
-    got = {r["doc_id"]: r for r in bag_minhash.near_duplicates(docs).collect()}
+def bag_of(t):
+    w = WORDS.findall(t or "")
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
 
-    def bag(t):
-        w = WORDS.findall(t or "")
-        return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
 
-    bags = {r[0]: bag(r[1]) for r in rows}
+def test_near(docs, rows, empty):
+    got = {r["doc_id"]: r for r in bag_minhash.near_duplicates(docs).collect()}
+    bags = {r[0]: bag_of(r[1]) for r in rows}
     links = [(a, b) for a in bags for b in bags if a < b and bags[a] and bags[b] and sum((bags[a] & bags[b]).values()) >= 0.8 * sum((bags[a] | bags[b]).values())]
     want = union(bags, links)
     assert {d: r["class_id"] for d, r in got.items()} == want and len(set(want.values())) < len(want)

@@ -29,7 +29,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, the text, scores and pieces of its n best segmentations."""
+    """The columns of documents with ``scores`` and ``pieces`` of the n best segmentations."""
     return piece_nbest.encode(docs)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import WS
 
 CONTAINMENT, BANDS = 0.8, 24
-#: The most templates and template shingles that are sent to every executor.
+#: The most templates and template shingles that are sent to every executor at once; more are scanned for in parts.
 MOST_TEMPLATES, MOST_SHINGLES = 10_000, 2_000_000
 
 # The notices by which texts name a licence, as their publishers word them.
@@ -80,13 +80,18 @@ def holding(h: str, size: int, keys: list[int]) -> Column:
     return F.filter(every, lambda x: F.exists(x["g"], lambda y: y.isin(*keys)))
 
 
-def scan(docs: DataFrame, known: DataFrame, containment: float = CONTAINMENT, bands: int = BANDS) -> DataFrame:
-    """``doc_id, template_id, license, first_word, containment``: each template at its best place in each document."""
+def scan(docs: DataFrame, known: DataFrame, containment: float = CONTAINMENT, bands: int = BANDS, most: int = MOST_TEMPLATES, depth: int = 0) -> DataFrame:
+    """``doc_id, template_id, license, first_word, containment``: each template at its best place in each document.
+
+    More than ``most`` templates are halved by hash, and every part is scanned for.
+    """
     held = known.withColumn("w", lower_words(F.col("template"))).withColumn("h", hashes("w")).where(F.size("h") > 0)
     held = held.select("template_id", "license", F.array_distinct("h").alias("h"), F.pow(F.lit(2.0), F.ceil(F.log2(F.size("h").cast("double")))).cast("int").alias("s"))
     total = held.agg(F.count("*"), F.coalesce(F.sum(F.size("h")), F.lit(0))).first()
-    if total[0] > MOST_TEMPLATES or total[1] > MOST_SHINGLES:
-        raise ValueError("too many templates to send to every executor; scan with parts of them")
+    if total[0] > 1 and (total[0] > most or total[1] > MOST_SHINGLES):
+        halves = (known.where(F.pmod(F.xxhash64("template_id", F.lit(depth)), F.lit(2)) == k) for k in (0, 1))
+        one, two = (scan(docs, x, containment, bands, most, depth + 1) for x in halves)
+        return one.union(two)
     banded = held.withColumn("key", F.explode(F.array_distinct(F.when(F.col("s") == 1, F.col("h")).otherwise(minima(F.col("h"), bands)))))
     listed = banded.select("s", "key").distinct().collect()
     by_size: dict[int, list[int]] = {}

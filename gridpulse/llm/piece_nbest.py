@@ -7,7 +7,9 @@ chunk's lattice is searched forward by Viterbi; those scores are exact heuristic
 for a backward A* search, which yields segmentations best first. States point back
 to their parents, and a place is opened at most n times, since only its n best
 ends can take part, so a chunk of L characters costs at most n * L steps whatever its
-ties. Segmentations of a text combine those of its chunks, which are
+ties. Chunks are remembered; the new ones of a batch are searched together, by the
+same scores from both ends: the best segmentation is made of the pieces that lose
+nothing, and the second loses what the best of all other pieces does. Segmentations of a text combine those of its chunks, which are
 independent: only the n - 1 chunks whose second choice loses least can take part in
 the n best.
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,7 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import kernels as K
 from .common import narrow_batches
+from .lm_scoring import Lattice
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
@@ -54,6 +59,18 @@ Best = tuple[float, bytes, float, bool]
 INF = float("inf")
 
 
+def longest(a: np.ndarray, b: np.ndarray, depth: np.ndarray, w: np.ndarray, nodes: int, roots: np.ndarray) -> np.ndarray:
+    """Best scores of paths from the roots along edges from a to b, edge by edge in order of depth of the far end."""
+    out = np.full(nodes, -np.inf)
+    out[roots] = 0.0
+    order = np.argsort(depth, kind="stable")
+    a, b, depth, w = a[order], b[order], depth[order], w[order]
+    cuts = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]) if len(depth) else np.zeros(0, np.int64)
+    for lo, hi in zip(cuts, np.r_[cuts[1:], len(depth)]):
+        np.maximum.at(out, b[lo:hi], out[a[lo:hi]] + w[lo:hi])
+    return out
+
+
 class Pieces:
     """The vocabulary as a trie, with the best segmentations of recent chunks."""
 
@@ -80,12 +97,17 @@ class Pieces:
                 if score > UNUSED:
                     low = min(low, score)
         self.byte_score = low - 10.0
+        own = [i for i, name in enumerate(self.names) if i not in self.bytes and not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+        self.pieces = Lattice([self.names[i].encode() for i in own])
+        self.ids, self.scores = np.array(own), np.array([sp.get_score(i) for i in own])
+        self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)])
         values = {i: v for v, i in self.bytes.items()}
         #: What each piece stands for in UTF-8.
         self.raw = [bytes([values[i]]) if i in values else name.encode() for i, name in enumerate(self.names)]
         self.new: dict[str, Best] = {}
         self.old: dict[str, Best] = {}
-        self.spare: dict[str, Path_] = {}
+        self.spare: dict[str, int] = {}
+        self.many: dict[tuple[str, int], list[Path_]] = {}
 
     def lattice(self, chunk: str) -> tuple[list[list[tuple[int, float, int, bytes]]], list[float], list[int]]:
         """For each end: start, score, count and pieces of the arcs that end there; best score and then least count up to it.
@@ -168,14 +190,17 @@ class Pieces:
             back += s
             used.append(p)
         if loss < TIE:
-            two = self.best(chunk, 2)
-            back, _, pieces = two[0]
-            loss = two[0][0] - two[1][0]
-        else:
-            used.reverse()
-            pieces = b"".join(used)
+            return self.tied(chunk)
+        used.reverse()
+        pieces = b"".join(used)
         return back, pieces, loss, self.join(pieces) == chunk.encode()
 
+    def tied(self, chunk: str) -> Best:
+        """``first`` of a chunk by the full search."""
+        two = self.ranked(chunk, 2)
+        back, _, pieces = two[0]
+        return back, pieces, back - two[1][0] if len(two) > 1 else INF, self.join(pieces) == chunk.encode()
+
     def recall(self, chunk: str) -> Best:
         """``first`` of a chunk, remembered."""
         if (hit := self.old.get(chunk)) is None:
@@ -186,42 +211,98 @@ class Pieces:
             self.new[chunk] = hit
         return hit
 
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """Chunks of the texts; those that are new and short are searched together and remembered."""
+        parts = [self.chunks(x) for x in texts]
+        new = {c for x in parts for c in x if len(c) <= 64 and c not in self.new and c not in self.old}
+        if len(self.new) + len(new) > REMEMBERED // 2:
+            new |= {c for x in parts for c in x if c in self.old}
+            self.old, self.new, self.spare, self.many = self.new, {}, {}, {}
+        if new:
+            words = sorted(new)
+            for c, hit in zip(words, self.together(words)):
+                self.new[c] = self.tied(c) if hit is None else hit
+        return parts
+
+    def together(self, words: list[str]) -> list[Best | None]:
+        """``first`` of many chunks at once; None where two segmentations are equally good."""
+        buf, off = K.buffers(pa.array(words, pa.string()))
+        buf, off = buf[off[0] : off[-1]], off - off[0]
+        start, end, piece = self.pieces.edges(buf, off)
+        # A character without a piece of its own is its bytes.
+        char = np.r_[np.flatnonzero((buf & 0xC0) != 0x80), len(buf)]
+        has = np.zeros(len(buf) + 1, bool)
+        size = np.zeros(len(buf) + 1, np.int64)
+        size[char[:-1]] = np.diff(char)
+        has[start[end - start == size[start]]] = True
+        lone = char[:-1][~has[char[:-1]]]
+        score = np.r_[self.scores[piece], self.byte_score * size[lone]]
+        start, end, piece = np.r_[start, lone], np.r_[end, lone + size[lone]], np.r_[self.ids[piece], np.full(len(lone), -1)]
+        word = np.searchsorted(off, start, "right") - 1
+        node, to = start + word, end + word
+        nodes, order = len(buf) + len(words), np.arange(len(words))
+        ahead = longest(node, to, end - off[word], score, nodes, off[:-1] + order)
+        behind = longest(to, node, off[word + 1] - start, score, nodes, off[1:] + order)
+        total = ahead[off[1:] + order]
+        loss = total[word] - (ahead[node] + score + behind[to])
+        on = loss < TIE
+        second = np.full(len(words), np.inf)
+        np.minimum.at(second, word[~on], loss[~on])
+        single = np.bincount(word[on], (end - start)[on], len(words)) == np.diff(off)
+        path = np.flatnonzero(on)
+        path = path[np.argsort(start[path], kind="stable")]
+        count = np.where(piece[path] < 0, (end - start)[path], 1)
+        at = np.repeat(start[path] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        ids = np.where(np.repeat(piece[path] < 0, count), self.byte_ids[buf[np.minimum(at, len(buf) - 1)]], np.repeat(piece[path], count)).astype("<i4").tobytes()
+        ends = (4 * np.r_[0, np.cumsum(np.bincount(word[path], count, len(words)))]).astype(np.int64).tolist()
+        return [(t, ids[a:b], x, self.join(ids[a:b]) == w.encode()) if ok else None for w, t, x, ok, a, b in zip(words, total.tolist(), second.tolist(), single.tolist(), ends, ends[1:])]
+
     def more(self, chunk: str) -> int:
         """Pieces that the second best segmentation of a chunk has more than the best."""
         if (hit := self.spare.get(chunk)) is None:
-            one, two = self.best(chunk, 2)
+            one, two = self.ranked(chunk, 2)
             hit = two[1] - one[1]
             if len(chunk) <= 64 and len(self.spare) < REMEMBERED:
                 self.spare[chunk] = hit
         return hit
 
+    def ranked(self, chunk: str, n: int) -> list[Path_]:
+        """``best`` of a chunk, remembered."""
+        if (hit := self.many.get((chunk, n))) is None:
+            hit = self.best(chunk, n)
+            if len(chunk) <= 64 and len(self.many) < REMEMBERED // 8:
+                self.many[chunk, n] = hit
+        return hit
+
     @staticmethod
     def chunks(text: str) -> list[str]:
         if "  " in text or MARK in text or text[:1] == " ":
             return CHUNK.findall(MARK + text.replace(" ", MARK))
         return [MARK + x for x in text.split(" ")]
 
-    def search(self, text: str, n: int) -> tuple[list[Path_], bool]:
+    def search(self, text: str, n: int, chunks: list[str] | None = None) -> tuple[list[Path_], bool]:
         """The n best segmentations of a whole text, and whether the best decodes to it."""
-        chunks = self.chunks(text)
+        chunks = self.chunks(text) if chunks is None else chunks
         known, recall = self.new.get, self.recall
         got = [known(c) or recall(c) for c in chunks]
         scores, parts, losses, good = zip(*got)
         first = b"".join(parts)
         total, size, decodes = float(sum(scores)), len(first) // 4, all(good)
-        least = heapq.nsmallest(n - 1, losses) if n > 1 else []
+        least = sorted(losses)[: n - 1] if n > 1 else []
         if not least or least[0] == INF:
             return [(total, size, first)], decodes
-        weak = [k for k, loss in enumerate(losses) if loss <= least[-1] and loss != INF]
+        most = min(least[-1], 1e300)
+        weak = [k for k, loss in enumerate(losses) if loss <= most]
         if len(weak) >= n:
-            weak = heapq.nsmallest(n - 1, weak, key=lambda k: (losses[k], self.more(chunks[k]), -k))
+            weak = sorted(weak, key=lambda k: (losses[k], self.more(chunks[k]), -k))[: n - 1]
         # Combinations: loss, pieces more, ranks by chunk from the first on; least first.
         sums: list[tuple[float, int, tuple[int, ...]]] = [(0.0, 0, ())]
         weak.sort()
-        options = [self.best(chunks[k], n) for k in weak]
+        options = [self.ranked(chunks[k], n) for k in weak]
         for paths in options:
-            sums = heapq.nsmallest(n, ((loss + paths[0][0] - s, more + c - paths[0][1], (*use, q)) for loss, more, use in sums for q, (s, c, _) in enumerate(paths)))
-        ends = np.cumsum([0, *map(len, parts)]).tolist()
+            s0, c0, _ = paths[0]
+            sums = sorted([(loss + s0 - s, more + c - c0, (*use, q)) for loss, more, use in sums for q, (s, c, _) in enumerate(paths)])[:n]
+        ends = list(itertools.accumulate(map(len, parts), initial=0))
         out = []
         for loss, more, use in sums:
             pieces, at = [], 0
@@ -237,8 +318,7 @@ class Pieces:
         return [(s, np.frombuffer(p, "<i4").tolist()) for s, _, p in self.search(text, n)[0]]
 
     def join(self, pieces: bytes) -> bytes:
-        raw = self.raw
-        return b"".join([raw[i] for i in np.frombuffer(pieces, "<i4").tolist()])
+        return b"".join(map(self.raw.__getitem__, memoryview(pieces).cast("i")))
 
     def decode(self, pieces: list[int] | tuple[int, ...]) -> str:
         return b"".join(map(self.raw.__getitem__, pieces)).decode(errors="replace").replace(MARK, " ")[1:]
@@ -263,8 +343,9 @@ def encoder(path: str, n: int, digest: bool, column: int):
         kinds = [("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())), ("pieces_sha256", pa.list_(pa.string())), ("decodes", pa.bool_())] if digest else [("scores", pa.list_(pa.float64())), ("pieces", pa.list_(pa.list_(pa.int32())))]
         for batch in batches:
             rows = []
-            for text in batch.column(column).to_pylist():
-                best, decodes = held.search(text or "", n)
+            texts = [text or "" for text in batch.column(column).to_pylist()]
+            for text, chunks in zip(texts, held.learn(texts)):
+                best, decodes = held.search(text, n, chunks)
                 if digest:
                     rows.append((best[0][1], [s for s, _, _ in best], [hashlib.sha256(p).hexdigest() for _, _, p in best], decodes))
                 else:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_operators import KIND, WORDS, bag_of, jaccard5, sentence, union, word_stats
 
 import corpus_pipeline as P
-from gridpulse.llm import mixing, piece_nbest
+from gridpulse.llm import mixing, piece_nbest, quality_rules
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,9 @@ def test_stages(spark, folder):
         seen.append(spark.read.parquet(f"{path}/out-{k}"))
         assert k == 4 or seen[-1].columns == columns
     kept, cleaned, single, mixed, encoded = ({r["doc_id"]: r for r in x.collect()} for x in seen[1:])
-    assert not any(word_stats(r["text"])[-1] for r in kept.values()) and not any(d % 10 == 3 for d in kept) and len(kept) > 60
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, labels)).collect()
+    assert set(kept) == {r["doc_id"] for r in judged if r["kept"]} and not any(word_stats(r["text"])[-1] for r in kept.values()) and len(kept) > 60
     # Lines: the first of each class of similar lines stays, of all that the stage got.
     lines = {(d, n): x for d, r in kept.items() for n, x in enumerate(r["text"].split("\n")) if x.strip()}
     classes = union(lines, [(a, b) for a in lines for b in lines if a < b and jaccard5(lines[a].strip(), lines[b].strip()) >= 0.8])

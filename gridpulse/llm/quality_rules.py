@@ -31,13 +31,14 @@ def statistics(docs: DataFrame) -> DataFrame:
     d = docs.withColumn("__t", text).withColumn("__w", F.filter(F.split("__t", WS), lambda x: x != ""))
     d = d.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     d = d.withColumn("n_words", F.size("__w").cast("long"))
-    # The hash of a window of three words, with its place in the low bits: one sort of longs brings equal windows together.
+    # The hash of a window of three words, with its place in the low bits: one sort of longs brings equal windows together, and their words are compared.
     d = d.withColumn("__m", (F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n_words"), F.lit(2).cast("long")).cast("double")))) - 1).cast("long"))
     at = lambda i: F.get("__w", i.cast("int"))
     window = lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)).bitwiseAND(F.bitwise_not("__m")).bitwiseOR(i)
     none = F.array().cast("array<bigint>")
     d = d.withColumn("__s", F.when(F.col("n_words") >= 3, F.sort_array(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_words") - 3), window))).otherwise(none))
-    same = lambda x, y: y.isNotNull() & (x.bitwiseXOR(y).bitwiseAND(F.bitwise_not("__m")) == 0)
+    word = lambda x, k: at(x.bitwiseAND(F.col("__m")) + k)
+    same = lambda x, y: y.isNotNull() & (x.bitwiseXOR(y).bitwiseAND(F.bitwise_not("__m")) == 0) & (word(x, 0) == word(y, 0)) & (word(x, 1) == word(y, 1)) & (word(x, 2) == word(y, 2))
     twice = F.filter("__s", lambda x, i: same(x, F.get("__s", i - 1)) | same(x, F.get("__s", i + 1)))
     d = d.withColumn("__p", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.col("__m")))))
     zero = F.lit(0).cast("long")

@@ -2,8 +2,8 @@
 
 A text becomes chunks that no piece of the vocabulary crosses: each run of blanks
 (word marks) with what follows up to the next blank; pieces with a mark after
-another character would cross, but the vocabulary has only runs of marks. A
-chunk's lattice is searched forward by Viterbi; those scores are exact heuristics
+another character would cross, but the vocabulary has only runs of marks. A line
+feed that no longer piece holds is a chunk of its own. A chunk's lattice is searched forward by Viterbi; those scores are exact heuristics
 for a backward A* search, which yields segmentations best first. States point back
 to their parents, and a place is opened at most n times, since only its n best
 ends can take part, so a chunk of L characters costs at most n * L steps whatever its
@@ -100,6 +100,8 @@ class Pieces:
         own = [i for i, name in enumerate(self.names) if i not in self.bytes and not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.pieces = Lattice([self.names[i].encode() for i in own])
         self.ids, self.scores = np.array(own), np.array([sp.get_score(i) for i in own])
+        #: A line feed in no piece of several characters is a chunk of its own.
+        self.lone = not any("\n" in x for x in self.names if len(x) > 1)
         self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)])
         values = {i: v for v, i in self.bytes.items()}
         #: What each piece stands for in UTF-8.
@@ -274,11 +276,20 @@ class Pieces:
                 self.many[chunk, n] = hit
         return hit
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
+    def chunks(self, text: str) -> list[str]:
         if "  " in text or MARK in text or text[:1] == " ":
-            return CHUNK.findall(MARK + text.replace(" ", MARK))
-        return [MARK + x for x in text.split(" ")]
+            parts = CHUNK.findall(MARK + text.replace(" ", MARK))
+        else:
+            parts = [MARK + x for x in text.split(" ")]
+        if not self.lone or "\n" not in text:
+            return parts
+        out: list[str] = []
+        for x in parts:
+            if "\n" in x:
+                out += [y for y in re.split("(\n)", x) if y]
+            else:
+                out.append(x)
+        return out
 
     def search(self, text: str, n: int, chunks: list[str] | None = None) -> tuple[list[Path_], bool]:
         """The n best segmentations of a whole text, and whether the best decodes to it."""

@@ -86,6 +86,9 @@ def test_profile_of_known_captures(spark, samples, tmp_path):
     found = profiles.analyse(samples, SETTINGS).where("sig_key like '%1/voie_1'").orderBy("event_id").collect()
     assert [(r["event_id"], r["is_peak"], r["window_count"], r["ref_win_idx"], r["cluster_id"], r["type_label"]) for r in found] == [(0, False, 2, 1, 0, "Type 0"), (1, False, 1, 3, 0, "Type 0"), (2, True, 1, 4, 1, "type : pic")]
     first, _, peak = found
+    one = profiles.analyse(samples, SETTINGS).where("sig_key like '%1/voie_1'")
+    assert [(r["type_label"], r["window_count"], r["duration_s"], r["mean_ncc"] > 0.49) for r in profiles.event_table(one).orderBy("event_id").collect()] == [("Type 0", 2, 100.0, True), ("Type 0", 1, 0.0, False), ("type : pic", 1, 0.0, True)]
+    assert [(r["cluster_id"], r["place"], r["event_id"]) for r in profiles.gallery(one).orderBy("event_id").collect()] == [(0, 0, 0), (0, 1, 1), (1, 0, 2)]
     assert first["duration_s"] == 100 and first["ncc_vs_ref"][1] == 0 and first["ncc_vs_ref"][0] > 0.99 and {first["ref_dom_freq"], *first["dom_freqs"]} <= {50, 950, 1050, 1950, 2050}  # equal but for rounding at one sample a millisecond
     assert peak["ncc_vs_ref"] == [1.0] and peak["dom_freqs"] == [0.0] and peak["ref_dom_freqs4"] == [0.0] * 4 and (peak["peak_type"], peak["peak_count"]) == ("pic_2", 2)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bag_minhash, exact_dedup, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, substring_dedup, suffix_dedup
+from . import bag_minhash, exact_dedup, feature_join, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +58,12 @@ def op10_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_nbest.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_join.label_features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_lm_scoring, op2_line_dedup, op3_substring_dedup, op4_license_scan, op5_exact_dedup, op6_suffix_dedup, op7_quality_rules, op8_mixing, op9_bag_minhash, op10_piece_nbest]
+    own = [op1_lm_scoring, op2_line_dedup, op3_substring_dedup, op4_license_scan, op5_exact_dedup, op6_suffix_dedup, op7_quality_rules, op8_mixing, op9_bag_minhash, op10_piece_nbest, op13_feature_join]
     return {f.__name__: f for f in own}
 
 
@@ -73,7 +77,22 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
+OP13_SQL = """
+WITH h AS (SELECT doc_id, source, n_chars, lang, sha256(doc_id::VARCHAR) AS x FROM documents),
+v AS (
+  SELECT *, e - 60 + ('0x' || substr(x, 9, 8))::BIGINT % 600 AS a, e + ('0x' || substr(x, 17, 8))::BIGINT % 900 AS z
+  FROM (SELECT *, ('0x' || substr(x, 1, 8))::BIGINT % 50000 AS e FROM h)),
+l AS (
+  SELECT row_number() OVER () AS r, labels.doc_id, source, ('0x' || substr(sha256(labels.doc_id::VARCHAR), 25, 8))::BIGINT % 50000 AS t
+  FROM labels LEFT JOIN (SELECT doc_id, max(source) AS source FROM documents GROUP BY doc_id) USING (doc_id)),
+b AS (
+  SELECT l.r, max({'e': e, 'a': a, 'id': v.doc_id, 'n_chars': n_chars, 'lang': lang}) AS w
+  FROM l JOIN v ON v.source = l.source AND e <= t AND a <= t AND t < z GROUP BY l.r)
+SELECT doc_id, t, w.id AS version_id, t - w.e AS age, CASE WHEN w IS NULL THEN 'none' WHEN t - w.e > 120 THEN 'stale' ELSE 'fresh' END AS status,
+  CASE WHEN t - w.e <= 120 THEN w.n_chars END AS n_chars, CASE WHEN t - w.e <= 120 THEN w.lang END AS lang
+FROM l LEFT JOIN b USING (r)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op13_feature_join": OP13_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bag_minhash, exact_dedup, feature_join, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, spelling_variants, substring_dedup, suffix_dedup
+from . import bag_minhash, exact_dedup, feature_join, license_scan, line_dedup, lm_scoring, mixing, piece_nbest, quality_rules, spelling_variants, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_nbest.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.document_variants(table(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op13_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_lm_scoring, op2_line_dedup, op3_substring_dedup, op4_license_scan, op5_exact_dedup, op6_suffix_dedup, op7_quality_rules, op8_mixing, op9_bag_minhash, op10_piece_nbest, op12_spelling_variants, op13_feature_join]
+    own = [op1_lm_scoring, op2_line_dedup, op3_substring_dedup, op4_license_scan, op5_exact_dedup, op6_suffix_dedup, op7_quality_rules, op8_mixing, op9_bag_minhash, op10_piece_nbest, op11_toxicity, op12_spelling_variants, op13_feature_join]
     return {f.__name__: f for f in own}
 
 

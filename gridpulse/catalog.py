@@ -16,6 +16,7 @@ from gridpulse.operators import correlate as C
 from gridpulse.operators import events as E
 from gridpulse.operators import profiles as P
 from gridpulse.operators import reports as R
+from gridpulse.operators import temporal as T
 from gridpulse.operators import windows as W
 from gridpulse.sources import lake
 
@@ -252,10 +253,10 @@ def shared_types(spark, d):
 
 
 def registry_match(spark, d):
-    """All windows are the registry."""
+    """Windows of each signal against those of all other signals, the best of each."""
     v = vectors(spark, d)
-    known = v.select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"))
-    return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window")), known, SIMILAR).select("id", "type_id", F.round("ncc", 5).alias("ncc"))
+    known = v.select(F.col("vec_id").alias("type_id"), F.col("signal").alias("window"), "sig_key")
+    return E.nearest_type(v.select(F.col("vec_id").alias("id"), F.col("signal").alias("window"), "sig_key"), known, 0.45, "sig_key").select("id", "type_id", F.round("ncc", 5).alias("ncc"))
 
 
 def gantt_bars(spark, d):
@@ -305,7 +306,43 @@ def severity(spark, d):
     return R.severity(w.select("sig_key", "win_idx", "n", F.round("mean_range", 4).alias("mean_range")))
 
 
-QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity]
+def cooccurrence(spark, d):
+    """Event types that come within 30 seconds of each other in different signals."""
+    e = table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id")).alias("sig_key"), F.col("event_type").alias("cid"), "event_id", "ts")
+    return T.cooccurrence(e, 30.0)
+
+
+def clicks_before_sales(spark, d):
+    """Per sale of a known client the clicks of that client within six hours before it, broken times left out."""
+    sales = table(spark, d, "sales").select("client_id", "sale_id", F.col("sold_at").alias("ts"))
+    clicks = table(spark, d, "clicks").select("client_id", "click_id", "ts", "value")
+    pairs = T.interval_join(sales, clicks, 21_600, 0, ("client_id",))
+    out = pairs.groupBy("client_id", F.col("sale_id_a").alias("sale_id"), F.col("ts_a").alias("sold_at"))
+    return out.agg(F.count("*").alias("n_clicks"), F.max("ts_b").alias("last_click"), F.round(F.sum("value_b"), 2).alias("value"))
+
+
+def peaks_and_captures(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Peaks (values above 150), captures (half-hours that begin with a view) and samples of ten signals."""
+    e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id") % 10).alias("sig_key"), "ts", "event_id", F.col("event_id").alias("tie"), F.col("value").alias("signal"), "event_type")
+    half = F.timestamp_micros(F.floor(W.micros("ts") / 1_800_000_000).cast("long") * 1_800_000_000).cast("timestamp_ntz")
+    return e.where("signal > 150").select("sig_key", "ts", "event_id"), e.where("event_type = 'view'").select("sig_key", half.alias("ts")).distinct(), e
+
+
+def peak_capture(spark, d):
+    """The capture that covers each peak."""
+    peaks, captures, _ = peaks_and_captures(spark, d)
+    return T.covering(peaks, captures, ["sig_key"])
+
+
+def peak_extract(spark, d):
+    """Samples within 600 seconds of each covered peak."""
+    peaks, captures, samples = peaks_and_captures(spark, d)
+    out = T.around_peaks(T.covering(peaks, captures, ["sig_key"]), samples, ["sig_key"], 600.0)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return out.select("sig_key", "ts", "start_ts", F.col("n").cast("long").alias("n"), F.round(total("signal"), 4).alias("total"), F.round(total("offset_s"), 3).alias("offsets"))
+
+
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity, cooccurrence, clicks_before_sales, peak_capture, peak_extract]
 
 
 def queries():

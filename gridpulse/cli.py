@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators import correlate as C
 from gridpulse.operators import profiles as P
+from gridpulse.operators import temporal as T
 from gridpulse.sources import lake
+from gridpulse.sources.registry import Registry
 
 
 def session() -> SparkSession:
@@ -35,29 +37,50 @@ def ingest(spark: SparkSession, source: str, target: str, kinds: tuple[str, ...]
     return status
 
 
-def signal(spark: SparkSession, target: str, boitier: str, voie: int, dates: list[str]) -> DataFrame:
-    """Samples ``sig_key, ts, tie, signal`` of a signal from the lake."""
-    rows = lake.scan(spark, f"{target}/oscillo", boitier, voie, dates)
-    return rows.select(F.concat_ws("/", "boitier", F.concat(F.lit("voie_"), F.col("voie").cast("string"))).alias("sig_key"), "ts", F.monotonically_increasing_id().alias("tie"), "signal")
+Wanted = tuple[str, int, list[str]]
 
 
-def analyse(spark: SparkSession, samples: DataFrame, output: str, settings: P.Settings = P.Settings(), registry: str | None = None, registry_threshold: float = 0.8) -> DataFrame:
-    """Profiles, type windows and the event table of all signals in ``samples`` under ``output``; registry ids if a registry is named."""
-    found = P.analyse(samples, settings)
+def signals(spark: SparkSession, target: str, wanted: list[Wanted]) -> DataFrame:
+    """Samples ``sig_key, ts, tie, signal`` of several signals (device, channel, dates) from the lake; dates of one signal over all its entries once each.
+
+    A signal without data on one of its dates raises ``FileNotFoundError``.
+    """
+    days: dict[tuple[str, int], list[str]] = {}
+    for boitier, voie, dates in wanted:
+        days.setdefault((boitier, voie), []).extend(dates)
+    out = None
+    for (boitier, voie), dates in days.items():
+        rows = lake.scan(spark, f"{target}/oscillo", boitier, voie, list(dict.fromkeys(dates)))
+        tie = F.col("row_no").cast("long") if "row_no" in rows.columns else F.monotonically_increasing_id()
+        rows = rows.select(F.lit(f"{boitier}/voie_{voie}").alias("sig_key"), "ts", tie.alias("tie"), "signal")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def analyse(spark: SparkSession, samples: DataFrame, output: str, settings: P.Settings = P.Settings(), registry: str | None = None, registry_threshold: float = 0.8, dates: list[str] | None = None) -> DataFrame:
+    """Profiles, type windows and the event table of all signals in ``samples`` under ``output``; registry ids if a registry is named.
+
+    ``dates`` fixes the order of windows where it is not that of time.
+    """
+    found = P.analyse(samples, settings, dates)
     found.write.mode("overwrite").parquet(f"{output}/events")
     found = spark.read.parquet(f"{output}/events")
     lake.write_profile(P.profile(found), f"{output}/profile")
     lake.write_type_windows(P.type_windows(found), f"{output}/type_windows")
     P.event_table(found).write.mode("overwrite").parquet(f"{output}/event_table")
     if registry:
-        ids, known = P.registry_ids(found, lake.read_registry(spark, registry), registry_threshold)
-        lake.write_registry(spark, registry, known)
-        spark.createDataFrame(ids, "sig_key string, cluster_id int, type_id int").write.mode("overwrite").parquet(f"{output}/registry_ids")
+        own = P.arriving_types(found)
+        ids = Registry(spark, registry).assign(own, registry_threshold)
+        known = spark.createDataFrame(sorted(ids.items()), "name string, type_id int")
+        own.join(known, "name").select("sig_key", "cluster_id", "type_id").write.mode("overwrite").parquet(f"{output}/registry_ids")
     return found
 
 
-def correlate(spark: SparkSession, outputs: list[str], target: str, threshold: float = 0.8) -> DataFrame | None:
-    """Shared types over the outputs of several analyses (one a day, say); unreadable ones are named and left out."""
+def correlate(spark: SparkSession, outputs: list[str], target: str, threshold: float = 0.8, corr_window_s: float = 30.0) -> DataFrame | None:
+    """Shared types over the outputs of several analyses (one a day, say); unreadable ones are named and left out.
+
+    Beside ``target``, ``target``-cooccurrence gets the types whose events come within ``corr_window_s`` of each other in different signals.
+    """
     found = windows = None
     for day, path in enumerate(outputs):
         try:
@@ -71,9 +94,16 @@ def correlate(spark: SparkSession, outputs: list[str], target: str, threshold: f
     if pairs is not None:
         pairs.write.mode("overwrite").parquet(target)
         pairs = spark.read.parquet(target)
+        together = found.select("sig_key", F.concat_ws("/", "sig_key", F.col("cluster_id").cast("string")).alias("cid"), "event_id", F.col("ref_timestamp").alias("ts"))
+        T.cooccurrence(together, corr_window_s).write.mode("overwrite").parquet(f"{target}-cooccurrence")
     return pairs
 
 
+def named_signal(text: str) -> Wanted:
+    boitier, voie, dates = text.split(":")
+    return boitier, int(voie), dates.split(",")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="gridpulse")
     sub = top.add_subparsers(dest="job", required=True)
@@ -88,6 +118,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--boitier", default="boitier_1")
     p.add_argument("--voie", type=int, default=1)
     p.add_argument("--dates", nargs="+", default=[])
+    p.add_argument("--signal", action="append", type=named_signal, default=[], help="boitier:voie:date[,date...], once for each signal; in place of the three above")
+    p.add_argument("--no-split-by-date", dest="split_by_date", action="store_false")
     p.add_argument("--output", required=True)
     p.add_argument("--registry")
     p.add_argument("--registry-threshold", type=float, default=0.8)
@@ -98,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--outputs", nargs="+", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--threshold", type=float, default=0.8)
+    p.add_argument("--corr-window-s", type=float, default=30.0)
     return top
 
 
@@ -109,11 +142,13 @@ def main(argv: list[str] | None = None) -> int:
         status.orderBy("path").show(1000, False)
         return 0
     if a.job == "analyse":
-        s = P.Settings(**{f.name: getattr(a, f.name) for f in dataclasses.fields(P.Settings) if f.type != "bool"})
-        samples = lake.read_loose(spark, a.files, a.channel) if a.files else signal(spark, a.lake, a.boitier, a.voie, a.dates)
-        analyse(spark, samples, a.output, s, a.registry, a.registry_threshold)
+        s = P.Settings(**{f.name: getattr(a, f.name) for f in dataclasses.fields(P.Settings)})
+        wanted = a.signal or [(a.boitier, a.voie, a.dates)]
+        samples = lake.read_loose(spark, a.files, a.channel) if a.files else signals(spark, a.lake, wanted)
+        # All signals are numbered by one order of dates; where they name the same dates in different orders, the first counts.
+        analyse(spark, samples, a.output, s, a.registry, a.registry_threshold, None if a.files else list(dict.fromkeys(d for *_, dates in wanted for d in dates)))
         return 0
-    return int(correlate(spark, a.outputs, a.target, a.threshold) is None)
+    return int(correlate(spark, a.outputs, a.target, a.threshold, a.corr_window_s) is None)
 
 
 if __name__ == "__main__":

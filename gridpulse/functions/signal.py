@@ -89,24 +89,125 @@ def two_means_peaks(x: np.ndarray, width: int = 1, ratio: float = 400.0) -> int:
     return 1 + int((np.diff(hit) > 1).sum()) if len(hit) else 0
 
 
+#: Products of spectra are turned back in pieces of about so many numbers.
+PIECE = 1 << 21
+
+
+class Spectra:
+    """Spectra of centred windows of one length, taken once for all pairs they are in."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.n = n = x.shape[1]
+        self.size = 1 << max(1, (2 * n - 1).bit_length())
+        self.f = np.fft.rfft(x - x.mean(1, keepdims=True), self.size)
+        self.sd = x.std(1)
+
+    def best(self, other: Spectra, i: np.ndarray, j: np.ndarray, lags: np.ndarray | None = None, eps: float = 0.0) -> np.ndarray:
+        """Largest absolute normalised correlation of own rows ``i`` with rows ``j`` of ``other``, over ``lags`` or all; 0 where a window is constant."""
+        out = np.zeros(len(i))
+        step = max(1, PIECE // self.size)
+        for lo in range(0, len(i), step):
+            c = np.abs(np.fft.irfft(self.f[i[lo : lo + step]] * np.conj(other.f[j[lo : lo + step]]), self.size))
+            out[lo : lo + step] = (c if lags is None else c[:, lags]).max(1)
+        scale = self.n * self.sd[i] * other.sd[j]
+        return np.where(scale > 0, out / np.where(scale > 0, scale + eps, 1.0), 0.0)
+
+    def bound(self, other: Spectra) -> np.ndarray:
+        """For all pairs a value that their correlation cannot pass at any lag: the sum of products of magnitudes."""
+        weight = np.full(self.f.shape[1], 2.0)
+        weight[[0, -1]] = 1.0
+        scale = self.n * self.sd[:, None] * other.sd[None, :]
+        top = (np.abs(self.f) * weight) @ np.abs(other.f).T / self.size
+        return np.where(scale > 0, top / np.where(scale > 0, scale, 1.0), 0.0)
+
+
+def heads(xs: list, ys: list):
+    """Rows of both sides by length, cut to the shorter: ``at_x, at_y`` and their spectra."""
+    nx, ny = (np.array([0 if v is None else len(v) for v in s]) for s in (xs, ys))
+    stack = lambda s, at, n: np.stack([np.asarray(s[k][:n], float) for k in at])
+    for a in np.unique(nx):
+        for b in np.unique(ny):
+            n = min(a, b)
+            if n:
+                at_x, at_y = np.flatnonzero(nx == a), np.flatnonzero(ny == b)
+                yield at_x, at_y, Spectra(stack(xs, at_x, n)), Spectra(stack(ys, at_y, n))
+
+
+def full_pairs(xs: list, ys: list, least: float = 0.0, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (row of ``xs``, row of ``ys``, full-range similarity) of at least ``least``; empty windows are in none.
+
+    Pairs whose bound stays below ``least`` (or that are not ``allowed``) are not turned back.
+    """
+    found = []
+    for at_x, at_y, p, q in heads(xs, ys):
+        may = np.ones((len(at_x), len(at_y)), bool) if allowed is None else allowed[np.ix_(at_x, at_y)]
+        i, j = np.nonzero(may & (p.bound(q) >= least - 1e-9) if least > 0 else may)
+        r = p.best(q, i, j)
+        found.append((at_x[i[r >= least]], at_y[j[r >= least]], r[r >= least]))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def bounded_matrix(x: np.ndarray, max_lag: int = 5000) -> np.ndarray:
+    """Similarity within the lag limit of all rows i < j, in that order of arguments, mirrored; zeros on the diagonal."""
+    n, length = x.shape
+    out = np.zeros((n, n))
+    if length:
+        s = Spectra(x)
+        lags = np.arange(-(length // 2), (length - 1) // 2 + 1)
+        lags = lags[np.abs(lags) <= max_lag]
+        for i in range(n - 1):
+            j = np.arange(i + 1, n)
+            out[i, j] = out[j, i] = s.best(s, np.full(len(j), i), j, lags, 1e-12)
+    return out
+
+
 def average_linkage(distance: np.ndarray, cut: float) -> np.ndarray:
-    """Labels, numbered by first appearance, of average-linkage clusters cut at ``distance <= cut``."""
+    """Labels, numbered by first appearance, of average-linkage clusters cut at ``distance <= cut``.
+
+    Distances lie in one condensed array. Each cluster knows its nearest one after it, so
+    a merge looks at one distance a cluster; only clusters whose nearest has merged look
+    at their row again. Of equal distances the first pair in row order merges.
+    """
     n = len(distance)
-    label, size = np.arange(n), np.ones(n)
-    d = distance.astype(float).copy()
-    np.fill_diagonal(d, np.inf)
-    alive = np.ones(n, bool)
-    while alive.sum() > 1:
-        i, j = sorted(divmod(int(np.argmin(d)), n))
-        if d[i, j] > cut:
+    start = np.arange(n) * n - np.arange(n) * (np.arange(n) + 1) // 2 - np.arange(n) - 1  # start[i] + j is the place of (i, j)
+    d = np.empty(n * (n - 1) // 2)
+    near, least = np.full(n, -1), np.full(n, np.inf)
+    row = lambda i: d[start[i] + i + 1 : start[i] + n]
+
+    def look(i: int) -> None:
+        r = row(i)
+        if len(r):
+            k = int(r.argmin())
+            near[i], least[i] = i + 1 + k, r[k]
+
+    for i in range(n - 1):
+        row(i)[:] = distance[i, i + 1 :]
+        look(i)
+    label, size, alive = np.arange(n), np.ones(n), np.ones(n, bool)
+    while n > 1:
+        i = int(least.argmin())
+        if not least[i] <= cut:
             break
-        d[i] = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
-        d[:, i] = d[i]
-        d[i, i] = np.inf
-        d[j], d[:, j] = np.inf, np.inf
-        size[i] += size[j]
+        j = int(near[i])
         alive[j] = False
+        k = np.flatnonzero(alive)
+        k = k[k != i]
+        at_i, at_j = (start[np.minimum(k, x)] + np.maximum(k, x) for x in (i, j))
+        d[at_i] = (size[i] * d[at_i] + size[j] * d[at_j]) / (size[i] + size[j])
+        d[at_j], d[start[i] + j] = np.inf, np.inf
+        size[i] += size[j]
+        least[j], near[j] = np.inf, -1
         label[label == j] = i
+        before = k[k < i]
+        new = d[start[before] + i]
+        closer = (new < least[before]) | ((new == least[before]) & (i < near[before]))
+        stale = np.isin(near[before], (i, j)) & ~closer
+        near[before[closer]], least[before[closer]] = i, new[closer]
+        between = k[(k > i) & (k < j)]
+        for x in [*before[stale], i, *between[near[between] == j]]:
+            look(int(x))
     seen: dict[int, int] = {}
     return np.array([seen.setdefault(int(x), len(seen)) for x in label], dtype=np.int64)
 

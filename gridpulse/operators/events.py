@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.signal import average_linkage, ncc_bounded, ncc_udf
+from gridpulse.functions.signal import average_linkage, bounded_matrix, full_pairs, ncc_udf
 
 
 def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000, by: str = "signal") -> DataFrame:
@@ -46,10 +46,7 @@ def cluster_types(refs: DataFrame, threshold: float = 0.8, max_lag: int = 5000)
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("event_idx")
         x = np.stack([np.asarray(s, float) for s in pdf["signal"]])
-        n = len(x)
-        d = np.zeros((n, n))
-        for i in range(n - 1):
-            d[i, i + 1 :] = d[i + 1 :, i] = np.clip(1 - ncc_bounded(np.broadcast_to(x[i], x[i + 1 :].shape), x[i + 1 :], max_lag), 0, 1)
+        d = np.clip(1 - bounded_matrix(x, max_lag), 0, 1)
         return pd.DataFrame({"sig_key": pdf["sig_key"], "event_idx": pdf["event_idx"], "type_id": average_linkage(d, 1 - threshold)})
 
     return refs.select("sig_key", "event_idx", "signal").groupBy("sig_key").applyInPandas(run, "sig_key string, event_idx long, type_id long")
@@ -62,34 +59,58 @@ def profile(measured: DataFrame, types: DataFrame) -> DataFrame:
     return e.join(types, ["sig_key", "event_idx"]).withColumn("duration_s", F.greatest(seconds / 1e6, F.lit(0.0)))
 
 
+#: Windows are dealt into blocks of about so many; any two blocks meet in one task.
+BLOCK = 256
+
+
+def block_pairs(left: DataFrame, right: DataFrame, run, schema: str, block: int = BLOCK) -> DataFrame:
+    """``run(left rows, right rows)`` on every two blocks of the sides, dealt by the hash of ``id``; each block is sent once to every block of the other side."""
+    n = [max(1, -(-d.count() // block)) for d in (left, right)]
+    own = lambda d, k: F.pmod(F.xxhash64("id"), F.lit(n[k])).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(n[k] - 1)))
+    # Columns of their own, where both sides are one table.
+    a = left.select(*(F.col(c).alias(c) for c in left.columns), own(left, 0).alias("bi"), every(1).alias("bj"))
+    b = right.select(*(F.col(c).alias(c) for c in right.columns), own(right, 1).alias("bj"), every(0).alias("bi"))
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def both(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        return run(p, q) if len(p) and len(q) else pd.DataFrame(columns=names)
+
+    return a.groupBy("bi", "bj").cogroup(b.groupBy("bi", "bj")).applyInPandas(both, schema)
+
+
 def shared_types(summaries: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Pairs of types ``sig_key, cid, window`` of different signals whose full-range similarity reaches the threshold."""
-    a, b = (summaries.select(*(F.col(c).alias(f"{c}_{k}") for c in ("sig_key", "cid", "window"))) for k in "ab")
-    pairs = a.join(b, F.col("sig_key_a") < F.col("sig_key_b"))
-    return pairs.withColumn("ncc", ncc_udf(True)("window_a", "window_b")).where(F.col("ncc") >= threshold).drop("window_a", "window_b")
-
-
-def nearest_type(windows: DataFrame, registry: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Best registry type of each window ``id``; the lowest id on ties, null below the threshold."""
-    both = windows.join(F.broadcast(registry.select("type_id", F.col("window").alias("__t"))) if registry.count() <= 10_000 else registry.select("type_id", F.col("window").alias("__t")), F.lit(True), "left")
-    scored = both.select("id", "type_id", ncc_udf(True)("window", "__t").alias("ncc"))
-    best = scored.groupBy("id").agg(F.max("ncc").alias("ncc"), F.max(F.struct("ncc", (-F.col("type_id")).alias("t"))).alias("b"))
-    return best.select("id", F.when(F.col("ncc") >= threshold, -F.col("b.t")).alias("type_id"), "ncc")
-
-
-def register(existing: list[tuple[int, list[float]]], arriving: list[tuple[str, list[float]]], threshold: float = 0.8) -> tuple[list[tuple[str, int]], list[tuple[int, list[float]]]]:
-    """Ordered fold: each window takes the best known type, or becomes a new one. Order decides, so it runs on the driver."""
-    from gridpulse.functions.signal import ncc_full
-
-    known, out = list(existing), []
-    for name, window in arriving:
-        best = (-1.0, -1)
-        for tid, ref in sorted(known):
-            n = min(len(ref), len(window))
-            s = float(ncc_full(np.array([window[:n]], float), np.array([ref[:n]], float))[0]) if n else 0.0
-            best = (s, tid) if s > best[0] else best
-        if best[0] < threshold:
-            best = (1.0, max((t for t, _ in known), default=-1) + 1)
-            known.append((best[1], [float(np.float32(v)) for v in window]))
-        out.append((name, best[1]))
-    return out, known
+    w = summaries.select(F.xxhash64("sig_key", "cid").alias("id"), "sig_key", "cid", "window")
+    kinds = {c: summaries.schema[c].dataType.simpleString() for c in ("sig_key", "cid")}
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        ka, kb = a["sig_key"].to_numpy(), b["sig_key"].to_numpy()
+        i, j, r = full_pairs(list(a["window"]), list(b["window"]), threshold, ka[:, None] < kb[None, :])
+        return pd.DataFrame({"sig_key_a": ka[i], "cid_a": a["cid"].to_numpy()[i], "sig_key_b": kb[j], "cid_b": b["cid"].to_numpy()[j], "ncc": r})
+
+    return block_pairs(w, w, run, ", ".join(f"{c}_{k} {kinds[c]}" for k in "ab" for c in ("sig_key", "cid")) + ", ncc double")
+
+
+def nearest_type(windows: DataFrame, registry: DataFrame, threshold: float = 0.8, apart: str | None = None) -> DataFrame:
+    """Best registry type of each window ``id`` with its similarity; the lowest id on ties, null below the threshold or where there is none.
+
+    With ``apart``, a column of both sides, a window is compared only with types of another value.
+    """
+    more = [apart] if apart else []
+    kinds = windows.schema["id"].dataType.simpleString(), registry.schema["type_id"].dataType.simpleString()
+    schema = f"id {kinds[0]}, type_id {kinds[1]}, ncc double"
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        allowed = a[apart].to_numpy()[:, None] != b[apart].to_numpy()[None, :] if apart else None
+        i, j, r = full_pairs(list(a["window"]), list(b["window"]), 0.0, allowed)
+        # The best of the block for each window, the lowest id on ties.
+        t = b["type_id"].to_numpy()[j]
+        order = np.lexsort((t, -r, i))
+        first = order[np.unique(i[order], return_index=True)[1]] if len(i) else order
+        return pd.DataFrame({"id": a["id"].to_numpy()[i[first]], "type_id": t[first], "ncc": r[first]})
+
+    scored = block_pairs(windows.select("id", "window", *more), registry.select(F.col("type_id").alias("id"), "type_id", "window", *more), run, schema)
+    best = scored.groupBy("id").agg(F.max(F.struct("ncc", (-F.col("type_id")).alias("t"))).alias("b"))
+    out = windows.select("id").join(best, "id", "left")
+    return out.select("id", F.when(F.col("b.ncc") >= threshold, -F.col("b.t")).cast(kinds[1]).alias("type_id"), F.col("b.ncc").alias("ncc"))

@@ -34,13 +34,13 @@ class Settings:
     type_threshold: float = 0.8
 
 
-def flagged(samples: DataFrame, s: Settings = Settings()) -> DataFrame:
+def flagged(samples: DataFrame, s: Settings = Settings(), dates: list[str] | None = None) -> DataFrame:
     """All windows of ``samples`` with ``is_anomaly``, ``peak_count``, ``peak_type``, ``peak_energy``, ``peak_forme``.
 
     A window is anomalous if its mean range and both its peaks reach their thresholds;
     only anomalous windows are classified by peaks.
     """
-    w = W.centre_pad(W.gap_windows(samples, s.gap_s, s.min_len, s.split_by_date))
+    w = W.centre_pad(W.gap_windows(samples, s.gap_s, s.min_len, s.split_by_date, dates, "file" if "file" in samples.columns else None))
     w = W.energy(W.two_sided(W.segment_range(w, s.n_segments, s.anomaly_threshold), s.peak_threshold), s.energy_size)
     w = w.withColumn("is_anomaly", F.col("is_anomaly") & F.col("has_peak"))
     count = F.when(F.col("is_anomaly"), S.peaks_udf(s.search_width, s.separation)("signal")).otherwise(F.lit(0).cast("long"))
@@ -112,9 +112,9 @@ def profile(found: DataFrame) -> DataFrame:
     return p.select("signal_id", "events", "total_windows", "t_start", "t_end", "n_clusters")
 
 
-def analyse(samples: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Events with types of all signals in ``samples``: ``sig_key, ts, signal, tie``."""
-    return typed(events(tracked(flagged(samples, s), s)), s)
+def analyse(samples: DataFrame, s: Settings = Settings(), dates: list[str] | None = None) -> DataFrame:
+    """Events with types of all signals in ``samples``: ``sig_key, ts, signal, tie``, and ``file`` if windows are cut per file."""
+    return typed(events(tracked(flagged(samples, s, dates), s)), s)
 
 
 def event_table(found: DataFrame) -> DataFrame:
@@ -135,14 +135,7 @@ def type_windows(found: DataFrame) -> DataFrame:
     return first.withColumn("window", F.col("window").cast("array<float>"))
 
 
-def registry_ids(found: DataFrame, existing: list[tuple[int, list[float]]], threshold: float = 0.8) -> tuple[list[tuple[str, int, int]], list[tuple[int, list[float]]]]:
-    """``sig_key, cluster_id, type_id`` of the regular types of all signals, and the registry after them.
-
-    Types arrive by signal and ascending id with the raw reference of their earliest
-    event. Each new type changes later matches, so the fold runs in order on the
-    driver, over one window a type.
-    """
-    own = found.where("not is_peak").groupBy("sig_key", "cluster_id").agg(F.min_by("ref_window", F.struct("ref_timestamp", "event_id")).alias("w"))
-    rows = sorted((r["sig_key"], r["cluster_id"], list(r["w"])) for r in own.toLocalIterator())
-    ids, known = E.register(existing, [(f"{k}", w) for k, _, w in rows], threshold)
-    return [(k, c, i) for (k, c, _), (_, i) in zip(rows, ids)], known
+def arriving_types(found: DataFrame) -> DataFrame:
+    """``sig_key, cluster_id, name, window`` of the regular types of all signals, named so that they sort by signal and ascending id, with the raw reference of their earliest event."""
+    own = found.where("not is_peak").groupBy("sig_key", "cluster_id").agg(F.min_by("ref_window", F.struct("ref_timestamp", "event_id")).alias("window"))
+    return own.withColumn("name", F.concat("sig_key", F.lit("/"), F.lpad(F.col("cluster_id").cast("string"), 9, "0")))

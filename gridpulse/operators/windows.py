@@ -10,29 +10,84 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def gap_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, split_by_date: bool = True) -> DataFrame:
-    """``sig_key, win_idx, start_ts, end_ts, n, signal, seconds`` of runs without a gap above ``gap_s``."""
-    keys = ["sig_key"] + (["date"] if split_by_date else [])
-    s = samples.withColumn("date", F.to_date("ts")) if split_by_date else samples
-    order = Window.partitionBy(*keys).orderBy("ts", "tie")
-    jump = (micros("ts") - F.lag(micros("ts")).over(order) > int(gap_s * 1e6)).cast("int")
-    s = s.withColumn("grp", F.sum(F.coalesce(jump, F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    w = s.groupBy(*keys, "grp").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a")).where(F.col("n") >= min_len)
+#: A signal's rows are put in order per stretch of time, this many gaps long, and the stretches are joined by their ends.
+STRETCH = 120
+
+
+def in_stretches(rows: DataFrame, keys: list[str], stretch_s: float) -> tuple[DataFrame, list[str]]:
+    """``rows`` with keys and a time, with their ``__part``, and the columns that name a stretch."""
+    part = F.floor(micros("ts") / F.lit(max(round(stretch_s * 1e6), 1))).cast("long")
+    return rows.where(" and ".join(f"{c} is not null" for c in [*keys, "ts"])).withColumn("__part", part), [*keys, "__part"]
+
+
+def gap_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> DataFrame:
+    """``rows`` (``keys, ts, tie``) with ``grp``, which grows by one where more than ``gap_s`` has passed since the row before.
+
+    Rows are compared within stretches of time; what a stretch adds is its jumps and the gap
+    to the one before, summed over one row a stretch. So a signal is spread over its
+    stretches and only their ends meet. Rows without a key or a time are left out.
+    """
+    s, cell = in_stretches(rows, keys, stretch_s or gap_s * STRETCH)
+    order = Window.partitionBy(*cell).orderBy("ts", "tie")
+    gap = int(gap_s * 1e6)
+    jump = F.coalesce((micros("ts") - F.lag(micros("ts")).over(order) > gap).cast("long"), F.lit(0))
+    s = s.withColumn("__jump", jump)
+    ends = s.groupBy(*cell).agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("__jump").alias("jumps"))
+    before = Window.partitionBy(*keys).orderBy("__part")
+    parted = F.coalesce((micros("first") - micros("last_before") > gap).cast("long"), F.lit(0))
+    ends = ends.withColumn("last_before", F.lag("last").over(before)).withColumn("jumps_before", F.coalesce(F.lag("jumps").over(before), F.lit(0)))
+    ends = ends.select(*cell, F.sum(parted + F.col("jumps_before")).over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("__base"))
+    s = s.withColumn("__run", F.sum("__jump").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return s.join(ends, cell).withColumn("grp", F.col("__base") + F.col("__run")).drop("__jump", "__run", "__base", "__part")
+
+
+def numbered(rows: DataFrame, keys: list[str], stretch_s: float = 86_400.0) -> DataFrame:
+    """``rows`` (``keys, ts, tie``) with ``row_no`` from 0 by time and tie within their keys, numbered per stretch of time and shifted by the rows before it."""
+    s, cell = in_stretches(rows, keys, stretch_s)
+    n = s.groupBy(*cell).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__base"))
+    s = s.withColumn("__own", F.row_number().over(Window.partitionBy(*cell).orderBy("ts", "tie")) - 1)
+    return s.join(n, cell).withColumn("row_no", (F.col("__base") + F.col("__own")).cast("long")).drop("__own", "__base", "__part")
+
+
+def gap_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, split_by_date: bool = True, dates: list[str] | None = None, by: str | None = None) -> DataFrame:
+    """``sig_key, win_idx, start_ts, end_ts, n, signal, seconds`` of runs without a gap above ``gap_s``.
+
+    No run passes midnight if ``split_by_date``, or from one value of the column ``by`` to another if that is given instead.
+    Windows are numbered by time; before that by the place of their date in ``dates``, or by ``by``.
+    The numbers are made from one narrow row a window.
+    """
+    split_by_date = split_by_date and by is None
+    keys = ["sig_key"] + (["date"] if split_by_date else [by] if by else [])
+    s = samples.select("sig_key", "ts", "tie", "signal", *([by] if by else []))
+    s = gap_runs(s.withColumn("date", F.to_date("ts")) if split_by_date else s, keys, gap_s)
+    runs = s.groupBy(*keys, "grp").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n")).where(F.col("n") >= min_len)
+    place = [F.array_position(F.array(*map(F.lit, dates)), F.col("date").cast("string"))] if dates and split_by_date else [by] if by else []
+    runs = runs.withColumn("win_idx", (F.row_number().over(Window.partitionBy("sig_key").orderBy(*place, "start_ts")) - 1).cast("long"))
+    w = s.groupBy(*keys, "grp").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a"))
+    w = runs.join(w, [*keys, "grp"])
     first = F.unix_micros(F.col("start_ts").cast("timestamp"))
     w = w.withColumn("signal", F.transform("a", lambda x: x["signal"].cast("double"))).withColumn("seconds", F.transform("a", lambda x: (F.unix_micros(x["ts"].cast("timestamp")) - first) / 1e6))
-    return w.withColumn("win_idx", (F.row_number().over(Window.partitionBy("sig_key").orderBy("start_ts")) - 1).cast("long")).select("sig_key", "win_idx", "start_ts", "end_ts", "n", "signal", "seconds")
+    return w.select("sig_key", "win_idx", "start_ts", "end_ts", "n", "signal", "seconds")
 
 
 def centre_pad(windows: DataFrame) -> DataFrame:
-    """Subtract the mean, then fill with zeros to the signal's longest window; times go on at the first step."""
+    """Subtract the mean, then fill with zeros to the signal's longest window; times go on at the first step.
+
+    The longest is a grouped maximum of the sizes alone, joined to the windows.
+    """
     mean = F.aggregate("signal", F.lit(0.0), lambda a, x: a + x) / F.size("signal")
-    w = windows.withColumn("__m", mean).withColumn("__n", F.max(F.size("signal")).over(Window.partitionBy("sig_key")) - F.size("signal"))
-    more = F.col("__n")
+    most = windows.groupBy("sig_key").agg(F.max("n" if "n" in windows.columns else F.size("signal")).cast("int").alias("__n"))
+    w = windows.withColumn("__m", mean).join(most, "sig_key")
+    more = F.col("__n") - F.size("signal")
     step = F.coalesce(F.get("seconds", F.lit(1)) - F.get("seconds", F.lit(0)), F.lit(0.0))
     last = F.element_at("seconds", -1)
     tail = F.when(more > 0, F.transform(F.sequence(F.lit(1), more), lambda k: last + k * step)).otherwise(F.array().cast("array<double>"))
+    # Lengthened before the signal is, from whose size it is told.
+    w = w.withColumn("seconds", F.concat("seconds", tail))
     w = w.withColumn("signal", F.concat(F.transform("signal", lambda x: x - F.col("__m")), F.array_repeat(F.lit(0.0), more)))
-    return w.withColumn("seconds", F.concat("seconds", tail)).drop("__m", "__n")
+    return w.drop("__m", "__n")
 
 
 def segment_range(windows: DataFrame, n_segments: int = 10, threshold: float = 55.0) -> DataFrame:

@@ -107,6 +107,21 @@ evt AS (
 eid AS (SELECT *, (row_number() OVER (PARTITION BY sig_key ORDER BY ref_timestamp, pk, n_ev) - 1)::INTEGER AS event_id, (epoch_us(last_ts) - epoch_us(ref_timestamp)) / 1e6 AS duration_s FROM evt)
 """
 
+# Windows of unlike signals at all lags: dot products of the parts that overlap.
+ALL_PAIRS = VECTORS + """,
+ctr AS (SELECT *, list_transform(x, lambda v: v - m) AS c, len(x) AS n FROM reg),
+sim AS (
+  SELECT p.vec_id AS a, q.vec_id AS b, CASE WHEN p.sd * q.sd = 0 THEN 0 ELSE list_max(list_transform(range(1 - p.n, p.n), lambda k: abs(list_dot_product(
+    p.c[greatest(1, 1 + k) : least(p.n, p.n + k)], q.c[greatest(1, 1 - k) : least(p.n, p.n - k)])))) / (p.n * p.sd * q.sd) END AS ncc
+  FROM ctr p JOIN ctr q ON p.sig_key < q.sig_key)"""
+
+PEAK_CAPTURES = """
+ten AS (SELECT 'u' || (user_id % 10) AS sig_key, * FROM events WHERE ts IS NOT NULL),
+cap AS (SELECT DISTINCT sig_key, make_timestamp(epoch_us(ts) // 1800000000 * 1800000000) AS start_ts FROM ten WHERE event_type = 'view'),
+cov AS (
+  SELECT p.sig_key, p.ts, event_id, max(start_ts) AS start_ts FROM ten p
+  LEFT JOIN cap c ON c.sig_key = p.sig_key AND start_ts <= p.ts AND p.ts < start_ts + INTERVAL 30 MINUTE WHERE value > 150 GROUP BY 1, 2, 3)"""
+
 SQL = {
     "gap_windows": f"WITH {WINDOWS} SELECT sig_key, win_idx, start_ts, end_ts, n FROM win",
     "window_centre_pad": f"WITH {WINDOWS} SELECT sig_key, win_idx, len(x) AS padded, round(list_sum(list_transform(x, lambda v: abs(v))), 4) AS total FROM pad",
@@ -172,4 +187,17 @@ SQL = {
     "dates_without_events": """WITH d AS (SELECT o_orderdate::DATE AS date, count(*) AS n FROM orders GROUP BY 1),
         g AS (SELECT unnest(generate_series((SELECT min(date) FROM d), (SELECT max(date) FROM d), INTERVAL 1 DAY))::DATE AS date)
         SELECT strftime(g.date, '%Y-%m-%d') AS date, coalesce(n, 0) AS n_orders FROM g LEFT JOIN d USING (date)""",
+    "cooccurrence": """WITH p AS (SELECT a.event_type AS cid_a, b.event_type AS cid_b, a.user_id AS ua, b.user_id AS ub, abs(epoch_us(b.ts) - epoch_us(a.ts)) AS g FROM events a JOIN events b
+          ON b.ts BETWEEN a.ts - INTERVAL 30 SECOND AND a.ts + INTERVAL 30 SECOND AND a.user_id <> b.user_id AND (a.event_type, a.event_id) < (b.event_type, b.event_id))
+        SELECT cid_a, cid_b, count(*) AS n_pairs, count(DISTINCT (ua, ub)) AS n_signals, round(sum(g) / count(*) / 1e6, 4) AS mean_gap_s, min(g) / 1e6 AS least_gap_s FROM p GROUP BY 1, 2""",
+    "clicks_before_sales": """SELECT s.client_id, sale_id, sold_at, count(*) AS n_clicks, max(ts) AS last_click, round(sum(value), 2) AS value
+        FROM sales s JOIN clicks c ON c.client_id = s.client_id AND c.ts BETWEEN sold_at - INTERVAL 6 HOUR AND sold_at GROUP BY 1, 2, 3""",
+    "peak_capture": f"WITH {PEAK_CAPTURES} SELECT sig_key, ts, event_id, start_ts FROM cov",
+    "peak_extract": f"""WITH {PEAK_CAPTURES} SELECT c.sig_key, c.ts, start_ts, count(*) AS n, round(sum(e.value), 4) AS total, round(sum((epoch_us(e.ts) - epoch_us(c.ts)) / 1e6), 3) AS offsets
+        FROM (SELECT DISTINCT sig_key, ts, start_ts FROM cov) c JOIN ten e ON e.sig_key = c.sig_key AND e.ts BETWEEN c.ts - INTERVAL 600 SECOND AND c.ts + INTERVAL 600 SECOND AND e.ts >= start_ts AND e.ts < start_ts + INTERVAL 30 MINUTE
+        GROUP BY 1, 2, 3""",
+    "shared_types": f"WITH {ALL_PAIRS} SELECT a.sig_key AS sig_key_a, a.win_idx AS cid_a, b.sig_key AS sig_key_b, b.win_idx AS cid_b, round(ncc, 5) AS ncc FROM sim JOIN reg a ON a.vec_id = sim.a JOIN reg b ON b.vec_id = sim.b WHERE ncc >= 0.3",
+    "registry_match": f"""WITH {ALL_PAIRS}, two AS (SELECT a AS id, b AS type_id, ncc FROM sim UNION ALL SELECT b, a, ncc FROM sim),
+        one AS (SELECT * FROM two QUALIFY row_number() OVER (PARTITION BY id ORDER BY ncc DESC, type_id) = 1)
+        SELECT vec_id AS id, CASE WHEN ncc >= 0.45 THEN type_id END AS type_id, round(ncc, 5) AS ncc FROM reg LEFT JOIN one ON one.id = vec_id""",
 }

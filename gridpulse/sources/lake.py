@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 METRICS = ("min", "max", "moy", "efficace")
-OSCILLO = "t string, v1 float, v2 float, v3 float"
-TRMS = "t string, " + ", ".join(f"{m}{v} float" for v in (1, 2, 3) for m in METRICS)
+VALUES = {"oscillo": ["v1", "v2", "v3"], "TRMS": [f"{m}{v}" for v in (1, 2, 3) for m in METRICS]}
+PARTS = ["kind", "boitier", "voie", "date"]
 
 
 def with_path(df: DataFrame, path: str = "path") -> DataFrame:
@@ -29,12 +29,15 @@ def parsed_time(text: Column) -> Column:
 
 
 def raw_rows(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
-    """Lines of all ``.txt`` files of a kind with path, ``ts`` (null if it can't be read) and ``tie``, their order."""
-    schema = OSCILLO if kind == "oscillo" else TRMS
-    raw = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").csv(root)
+    """Lines of all ``.txt`` files of a kind with path, ``ts`` (null if it can't be read), values, ``bad_values`` (texts that are no numbers) and ``tie``, their order."""
+    names = VALUES[kind]
+    raw = spark.read.schema(", ".join(f"{c} string" for c in ["t", *names])).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").csv(root)
     at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     raw = with_path(raw.select("*", F.col("_metadata.file_path").alias("path"), at.alias("tie"))).where(F.col("kind") == kind)
-    return raw.withColumn("ts", parsed_time(F.col("t")))
+    number = lambda c: F.btrim(c).try_cast("float")
+    bad = sum((F.col(c).isNotNull() & (F.btrim(c) != "") & number(c).isNull()).cast("int") for c in names)
+    raw = raw.withColumn("bad_values", bad).withColumn("ts", parsed_time(F.col("t")))
+    return raw.withColumns({c: number(c) for c in names})
 
 
 def read_text(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
@@ -49,15 +52,16 @@ def rejected(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame
 
 
 def file_status(spark: SparkSession, root: str, kind: str = "oscillo") -> DataFrame:
-    """Per file ``path, lines, bad, status``: 'ok', 'partial', or 'failed' where no line can be read."""
-    n = raw_rows(spark, root, kind).groupBy("path").agg(F.count("*").alias("lines"), F.count(F.when(F.col("ts").isNull(), 1)).alias("bad"))
-    return n.withColumn("status", F.when(F.col("bad") == 0, "ok").when(F.col("bad") < F.col("lines"), "partial").otherwise("failed"))
+    """Per file ``path, lines, bad, bad_values, status``: 'ok', 'partial' (some lines or values can't be read), or 'failed' where no line can."""
+    n = raw_rows(spark, root, kind).groupBy("path").agg(F.count("*").alias("lines"), F.count(F.when(F.col("ts").isNull(), 1)).alias("bad"), F.sum("bad_values").alias("bad_values"))
+    return n.withColumn("status", F.when(F.col("bad") == F.col("lines"), "failed").when((F.col("bad") > 0) | (F.col("bad_values") > 0), "partial").otherwise("ok"))
 
 
 def read_loose(spark: SparkSession, root: str, channel: int = 0) -> DataFrame:
-    """``sig_key, ts, tie, signal`` of loose ``.txt`` and ``.csv`` files, a signal a file.
+    """``sig_key, file, ts, tie, signal`` of loose ``.txt`` and ``.csv`` files: one signal, named by the folder.
 
-    The separator is the one of comma, semicolon, tab, bar and blank that is most
+    Windows are cut per ``file`` and numbered in the order of their paths, so that chains,
+    padding and types run over all files, and a file may pass midnight. The separator is the one of comma, semicolon, tab, bar and blank that is most
     common in a file's first line; column 0 is the time; the channel counts columns
     in which every value is a number. A file with a time that can't be read, or with too few
     such columns, contributes nothing.
@@ -74,7 +78,7 @@ def read_loose(spark: SparkSession, root: str, channel: int = 0) -> DataFrame:
     columns = cells.join(good, "path", "left_semi").select("path", F.posexplode("v").alias("pos", "x")).where("pos > 0")
     columns = columns.groupBy("path", "pos").agg(F.bool_and((F.btrim("x") == "") | F.btrim("x").try_cast("double").isNotNull()).alias("number")).where("number")
     own = columns.withColumn("k", F.row_number().over(Window.partitionBy("path").orderBy("pos")) - 1).where(F.col("k") == channel).select("path", "pos")
-    out = cells.join(own, "path").select(F.col("path").alias("sig_key"), "ts", "tie", F.btrim(F.get("v", F.col("pos"))).try_cast("double").alias("signal"))
+    out = cells.join(own, "path").select(F.lit(root.rstrip("/").rsplit("/", 1)[-1]).alias("sig_key"), F.col("path").alias("file"), "ts", "tie", F.btrim(F.get("v", F.col("pos"))).try_cast("double").alias("signal"))
     return out.where("signal is not null")
 
 
@@ -86,25 +90,31 @@ def unpivot(wide: DataFrame, kind: str = "oscillo") -> DataFrame:
     return wide.select("*", F.inline(F.array(*rows)))
 
 
-def first_by_time(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each time, by the given order."""
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, "ts").orderBy(*order))).where("__r = 1").drop("__r")
-
-
 def merge(new: DataFrame, existing: DataFrame | None, keys: list[str], dedup_on_create: bool = False) -> DataFrame:
-    """Existing rows win over new ones at the same time; a first write keeps duplicates unless told otherwise."""
-    if existing is None:
-        return first_by_time(new, keys, ["tie"]) if dedup_on_create else new
-    both = existing.withColumn("__src", F.lit(0)).unionByName(new.withColumn("__src", F.lit(1)), allowMissingColumns=True)
-    return first_by_time(both, keys, ["__src", "tie"]).drop("__src")
+    """``new`` and ``existing`` rows with ``row_no``, their place among rows of one time.
+
+    Whether a write is the first is decided per target, that is per value of ``keys``: a
+    target that holds nothing yet keeps all rows (the first of each time if
+    ``dedup_on_create``); of one that exists the first row of each time stays, its own rows
+    before new ones, and those in the order in which they were written (``row_no``).
+    """
+    both = new.withColumns({"__src": F.lit(1), "__known": F.lit(dedup_on_create), "__was": F.lit(None).cast("int")})
+    if existing is not None:
+        known = existing.select(*keys).distinct().withColumn("__k", F.lit(True))
+        both = both.join(known, keys, "left").withColumn("__known", F.col("__known") | F.coalesce("__k", F.lit(False))).drop("__k")
+        was = F.col("row_no") if "row_no" in existing.columns else F.lit(None)
+        old = existing.withColumns({"__src": F.lit(0), "__known": F.lit(True), "__was": was.cast("int")}).drop("row_no")
+        both = old.unionByName(both, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, "ts").orderBy("__src", "__was", "tie")
+    both = both.withColumn("row_no", F.row_number().over(order)).where(~F.col("__known") | (F.col("row_no") == 1))
+    return both.drop("__src", "__known", "__was")
 
 
 def write(rows: DataFrame, path: str) -> None:
-    """Partitions by kind, device, channel and date, rows in order of time; only partitions that have new rows are replaced."""
-    parts = ["kind", "boitier", "voie", "date"]
-    order = ["ts"] + [c for c in ("tie",) if c in rows.columns]
-    out = rows.repartition(*parts).sortWithinPartitions(*parts, *order).drop("tie", "path")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*parts).parquet(path)
+    """Partitions by kind, device, channel and date, rows in order of time and ``row_no``; only partitions that have new rows are replaced."""
+    order = ["ts"] + [c for c in ("row_no", "tie") if c in rows.columns]
+    out = rows.repartition(*PARTS).sortWithinPartitions(*PARTS, *order).drop("tie", "path")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*PARTS).parquet(path)
 
 
 def scan(spark: SparkSession, path: str, boitier: str, voie: int, dates: list[str], kind: str = "oscillo") -> DataFrame:
@@ -150,7 +160,7 @@ def existing(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame | No
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    return rows.join(F.broadcast(parts), parts.columns, "left_semi")
+    return rows.join(parts, parts.columns, "left_semi")
 
 
 def write_aside(rows: DataFrame, path: str) -> None:
@@ -161,21 +171,3 @@ def write_aside(rows: DataFrame, path: str) -> None:
     write(spark.read.parquet(aside), path)
     where = spark._jvm.org.apache.hadoop.fs.Path(aside)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def read_registry(spark: SparkSession, path: str) -> list[tuple[int, list[float]]]:
-    """``type_id, window`` of all known types in order; none where there is no registry. One row a type."""
-    try:
-        return [(r["type_id"], list(r["window"])) for r in spark.read.parquet(path).orderBy("type_id").toLocalIterator()]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return []
-
-
-def write_registry(spark: SparkSession, path: str, known: list[tuple[int, list[float]]]) -> None:
-    """Append the types that the registry does not have yet."""
-    have = {t for t, _ in read_registry(spark, path)}
-    new = [(t, w) for t, w in known if t not in have]
-    if new:
-        spark.createDataFrame(new, "type_id int, window array<float>").coalesce(1).write.mode("append").parquet(path)

@@ -1,10 +1,13 @@
 """Kernels with answers worked out by hand."""
 
+import time
+
 import numpy as np
 import pytest
 
 from gridpulse.functions import signal as S
-from gridpulse.operators import events, windows
+from gridpulse.operators import windows
+from gridpulse.sources import registry
 
 
 def test_correlation():
@@ -36,8 +39,68 @@ def test_peaks_and_linkage():
 
 def test_registry():
     a, b = [0.0, 1, 0, 2, 0, 3, 1, 0], [5.0, 1, 4, 1, 9, 2, 6, 5]
-    names, known = events.register([], [("x", a), ("y", [-v for v in a]), ("z", b)], 0.95)
-    assert names == [("x", 0), ("y", 0), ("z", 1)] and len(known) == 2
+    ids, new = registry.fold([("x", a, None), ("y", [-v for v in a], None), ("z", b, None)], [], -1, 0.95)
+    assert ids == {"x": 0, "y": 0, "z": 1} and [t for t, _ in new] == [0, 1]
+    # A type known before wins a tie over one that came since; equal similarities go to the lower id.
+    assert registry.fold([("x", a, (1.0, 7))], [(9, a)], 9, 0.95)[0] == {"x": 7}
+    assert registry.fold([("x", a, None)], [(3, a), (5, a)], 5, 0.95)[0] == {"x": 3}
+
+
+def test_linkage_is_the_plain_one():
+    """Merging the closest pair of the whole matrix each time, with ties in it."""
+
+    def plain(d, cut):
+        d, n = d.copy(), len(d)
+        np.fill_diagonal(d, np.inf)
+        label, size = np.arange(n), np.ones(n)
+        while n > 1:
+            i, j = sorted(divmod(int(d.argmin()), n))
+            if not d[i, j] <= cut:
+                break
+            d[i] = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
+            d[:, i] = d[i]
+            d[i, i] = d[j] = d[:, j] = np.inf
+            size[i] += size[j]
+            label[label == j] = i
+        seen = {}
+        return [seen.setdefault(int(x), len(seen)) for x in label]
+
+    rng = np.random.default_rng(4)
+    for k in range(120):
+        n = int(rng.integers(0, 25))
+        d = rng.random((n, n))
+        d = d + d.T
+        d = np.round(d * 3) / 3 if k % 2 else d
+        cut = float(rng.random() * 2)
+        assert S.average_linkage(d, cut).tolist() == plain(d, cut)
+
+
+def test_linkage_of_ten_thousand():
+    rng = np.random.default_rng(5)
+    x = np.sort(rng.random(10_000)).astype("float32")
+    began = time.time()
+    labels = S.average_linkage(np.abs(x[:, None] - x[None, :]), 0.001)
+    assert time.time() - began < 60 and labels.max() > 300 and (np.diff(labels) >= 0).all()
+
+
+def test_blocks_of_pairs_are_all_pairs():
+    """Windows of several lengths, empty and constant ones: pairs by bound and by blocks as one by one."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=40)
+    xs = [rng.normal(size=n) if k % 3 else np.roll(base[:n], k) + rng.normal(0, 0.2, n) for k, n in enumerate([16, 16, 40, 33, 0, 16, 40, 1])] + [np.ones(16), None]
+    for least in (0.0, 0.5):
+        i, j, r = S.full_pairs(xs, xs, least)
+        got = {(a, b): c for a, b, c in zip(i, j, r)}
+        want = {}
+        for a, x in enumerate(xs):
+            for b, y in enumerate(xs):
+                n = min(len(x) if x is not None else 0, len(y) if y is not None else 0)
+                if n:
+                    want[a, b] = S.ncc_full(np.array([x[:n]]), np.array([y[:n]]))[0]
+        assert got == pytest.approx({k: v for k, v in want.items() if v >= least}, abs=1e-9)
+    x = rng.normal(size=(7, 12))
+    m = S.bounded_matrix(x, 4)
+    assert m == pytest.approx(np.array([[0 if a == b else S.ncc_bounded(x[[min(a, b)]], x[[max(a, b)]], 4)[0] for b in range(7)] for a in range(7)]), abs=1e-9)
 
 
 def test_windows(spark):

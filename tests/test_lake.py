@@ -11,6 +11,7 @@ from gridpulse import cli
 from gridpulse.functions import sql
 from gridpulse.operators import correlate, profiles, reports
 from gridpulse.sources import lake
+from gridpulse.sources.registry import Conflict, Registry
 from gridpulse.streaming import sessions
 
 
@@ -51,13 +52,93 @@ def test_ingest_twice(spark, tmp_path):
         lake.scan(spark, f"{target}/oscillo", "boitier_1", 1, ["2024-01-02", "2024-01-03"])
 
 
+def test_first_write_is_decided_per_target(spark, tmp_path):
+    """A new date in a lake that exists keeps its equal times, as the first date did."""
+    for day in ("2024-01-02", "2024-01-03"):
+        write(tmp_path / day / f"boitier_1/{day}_x.txt", [f"{day} 00:00:00,1,2,3", f"{day} 00:00:00,4,5,6"])
+        cli.ingest(spark, f"{tmp_path}/{day}", f"{tmp_path}/lake", ("oscillo",))
+    count = lambda: {str(r["date"]): r["count"] for r in spark.read.parquet(f"{tmp_path}/lake/oscillo").where("voie = 1").groupBy("date").count().collect()}
+    assert count() == {"2024-01-02": 2, "2024-01-03": 2}
+    cli.ingest(spark, f"{tmp_path}/2024-01-03", f"{tmp_path}/lake", ("oscillo",))
+    assert count() == {"2024-01-02": 2, "2024-01-03": 1}
+    cli.ingest(spark, f"{tmp_path}/2024-01-02", f"{tmp_path}/lake2", ("oscillo",), dedup_on_create=True)
+    assert spark.read.parquet(f"{tmp_path}/lake2/oscillo").count() == 3
+
+
+def test_order_of_equal_times_is_kept(spark, tmp_path):
+    """Of 500 equal times in several files of a partition, whatever their order, the first written stays when they are merged again."""
+    t = dt.datetime(2024, 1, 2)
+    kind = "kind string, boitier string, voie int, date date, ts timestamp_ntz, tie long, signal float"
+    first = spark.createDataFrame([("oscillo", "boitier_1", 1, t.date(), t, i, float(i)) for i in range(500)], kind)
+    rows = lake.merge(first.orderBy(F.desc("tie")), None, lake.PARTS)
+    assert {(r["row_no"], r["signal"]) for r in rows.collect()} == {(i + 1, float(i)) for i in range(500)}
+    shuffled = rows.drop("tie").repartition(7, F.xxhash64("signal"))
+    shuffled.write.partitionBy(*lake.PARTS).parquet(f"{tmp_path}/lake")
+    new = spark.createDataFrame([("oscillo", "boitier_1", 1, t.date(), t, 0, -1.0)], kind)
+    old = lake.existing(spark, f"{tmp_path}/lake", new.select(*lake.PARTS).distinct())
+    assert [r["signal"] for r in lake.merge(new, old, lake.PARTS).collect()] == [0.0]
+
+
+def test_values_that_are_no_numbers_are_reported(spark, tmp_path):
+    write(tmp_path / "in" / "boitier_1" / "2024-01-02_x.txt", ["2024-01-02 00:00:00,1,oops,3", "2024-01-02 00:00:01,1, 2 ,"])
+    s = lake.file_status(spark, f"{tmp_path}/in").collect()[0]
+    assert (s["lines"], s["bad"], s["bad_values"], s["status"]) == (2, 0, 1, "partial")
+    assert sorted((r["voie"], r["signal"]) for r in lake.read_text(spark, f"{tmp_path}/in").where("signal is not null").collect()) == [(1, 1), (1, 1), (2, 2), (3, 3)]
+
+
+def test_folder_of_files_is_one_signal(spark, tmp_path):
+    """Two files, the first over midnight: windows in path order, a file's window not cut at midnight, one chain over both."""
+    wave = lambda a, k: a * np.sin(2 * np.pi * 50 * k * 0.001)
+    for name, start in (("b.csv", "2024-01-05 10:00:00"), ("a.txt", "2024-01-08 23:59:59.900")):
+        begin = dt.datetime.fromisoformat(start)
+        write(tmp_path / "folder" / name, [f"{begin + dt.timedelta(milliseconds=k)},{wave(80, k):.6f}" for k in range(200)])
+    found = profiles.analyse(lake.read_loose(spark, f"{tmp_path}/folder"), SETTINGS).collect()
+    assert [(r["sig_key"], r["window_count"], r["ref_win_idx"]) for r in found] == [("folder", 2, 0)]
+    assert found[0]["window_timestamps"] == [dt.datetime(2024, 1, 8, 23, 59, 59, 900_000), dt.datetime(2024, 1, 5, 10)]
+
+
+def test_two_writers_of_a_registry(spark, tmp_path):
+    """Both read version 1; the second finds version 2 taken, decides again and gives no id twice."""
+    x = lambda k: [float(v) for v in np.random.default_rng(k).normal(size=32)]
+    rows = lambda *ks: spark.createDataFrame([(f"n{k}", x(k)) for k in ks], "name string, window array<double>")
+    one, two = Registry(spark, f"{tmp_path}/r"), Registry(spark, f"{tmp_path}/r")
+    assert one.assign(rows(1), 0.9) == {"n1": 0}
+    commit, raced = two.commit, []
+
+    def late(base, new):
+        if not raced:
+            raced.append(one.assign(rows(2, 3), 0.9))
+        return commit(base, new)
+
+    two.commit = late
+    # n3 is new to both; the second run takes the id that the first one gave.
+    assert two.assign(rows(1, 3, 4), 0.9) == {"n1": 0, "n3": 2, "n4": 3} and raced == [{"n2": 1, "n3": 2}]
+    assert one.ids() == [0, 1, 2, 3] and one.versions() == [1, 2, 3] and one.ids(2) == [0, 1, 2]
+    with pytest.raises(Conflict):
+        one.commit(1, [(9, x(9))])
+    assert one.assign(rows(1, 2, 3, 4), 0.9) == {"n1": 0, "n2": 1, "n3": 2, "n4": 3} and one.versions() == [1, 2, 3]
+    assert not [p for p in (tmp_path / "r").iterdir() if p.name.startswith("_draft")]
+
+
+def test_many_signals_in_one_call(spark, tmp_path):
+    for b in (1, 2):
+        write(tmp_path / "in" / f"boitier_{b}" / "2024-01-02_x.txt", [f"2024-01-02 00:00:00.{k:03d},{k},{k + 1},{k + 2}" for k in range(3)])
+    cli.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/lake", ("oscillo",))
+    a = cli.parser().parse_args(["analyse", "--output", "x", "--signal", "boitier_1:1:2024-01-02", "--signal", "boitier_2:3:2024-01-02,2024-01-02", "--no-split-by-date"])
+    got = cli.signals(spark, f"{tmp_path}/lake", a.signal).orderBy("sig_key", "ts").collect()
+    assert [(r["sig_key"], r["signal"]) for r in got] == [("boitier_1/voie_1", 0), ("boitier_1/voie_1", 1), ("boitier_1/voie_1", 2), ("boitier_2/voie_3", 2), ("boitier_2/voie_3", 3), ("boitier_2/voie_3", 4)] and not a.split_by_date
+    with pytest.raises(FileNotFoundError):
+        cli.signals(spark, f"{tmp_path}/lake", [("boitier_1", 1, ["2024-01-09"])])
+
+
 def test_loose_files(spark, tmp_path):
     write(tmp_path / "x" / "a.csv", ["2024-01-01 00:00:00;on;1.5;2", "2024-01-01 00:00:01;off;2.5;3"])
     write(tmp_path / "x" / "b.txt", ["2024-01-01 00:00:00,1", "2024-01-01 00:00:01,2"])
     write(tmp_path / "x" / "c.txt", ["what,1", "2024-01-01 00:00:01,2"])
-    got = sorted((r["sig_key"][-5:], r["ts"].second, r["signal"]) for r in lake.read_loose(spark, f"{tmp_path}/x").collect())
+    got = sorted((r["file"][-5:], r["ts"].second, r["signal"]) for r in lake.read_loose(spark, f"{tmp_path}/x").collect())
+    assert {r["sig_key"] for r in lake.read_loose(spark, f"{tmp_path}/x").collect()} == {"x"}
     assert got == [("a.csv", 0, 1.5), ("a.csv", 1, 2.5), ("b.txt", 0, 1), ("b.txt", 1, 2)]
-    assert sorted((r["sig_key"][-5:], r["signal"]) for r in lake.read_loose(spark, f"{tmp_path}/x", 1).collect()) == [("a.csv", 2), ("a.csv", 3)]
+    assert sorted((r["file"][-5:], r["signal"]) for r in lake.read_loose(spark, f"{tmp_path}/x", 1).collect()) == [("a.csv", 2), ("a.csv", 3)]
 
 
 @pytest.fixture(scope="module")
@@ -107,9 +188,12 @@ def test_from_files_to_shared_types(spark, samples, tmp_path):
     assert (again["t_start"], again["t_end"]) == (p["t_start"], p["t_end"])
     # The second signal's wave is the first one's type in the registry.
     ids = [[(r["cluster_id"], r["type_id"]) for r in spark.read.parquet(f"{x}/registry_ids").collect()] for x in out]
-    assert ids == [[(0, 0)], [(0, 0)]] and [t for t, _ in lake.read_registry(spark, f"{tmp_path}/registry")] == [0]
+    assert ids == [[(0, 0)], [(0, 0)]] and Registry(spark, f"{tmp_path}/registry").ids() == [0]
     pairs = cli.correlate(spark, [*out, f"{tmp_path}/none"], f"{tmp_path}/pairs", 0.9).orderBy("pair_idx").collect()
     assert {(r["cid_a"], r["cid_b"]) for r in pairs} == {(0, 0), (1, 1)} and all(r["count_a"] == (2 if r["cid_a"] == 0 else 1) for r in pairs) and [r["ncc"] for r in pairs] == sorted((r["ncc"] for r in pairs), reverse=True)
+    # Both signals' events of one type start together.
+    together = {(r["cid_a"], r["cid_b"]): (r["n_pairs"], r["least_gap_s"]) for r in spark.read.parquet(f"{tmp_path}/pairs-cooccurrence").collect()}
+    assert together == {("boitier_1/voie_1/0", "boitier_2/voie_1/0"): (2, 0.0), ("boitier_1/voie_1/1", "boitier_2/voie_1/1"): (1, 0.0)}
     assert cli.correlate(spark, out[:1], f"{tmp_path}/pairs1") is None
     sql.register(spark)
     names = sql.views(spark, out[0], "one_")

@@ -118,14 +118,14 @@ def test_one_signal_is_spread(spark):
     df = spark.range(200_000).select(F.lit("a").alias("sig_key"), F.timestamp_micros(F.col("id") * 1000).cast("timestamp_ntz").alias("ts"), F.col("id").alias("tie"), F.col("id").cast("double").alias("signal"))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")  # so few rows would be broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # so few rows would be broadcast
     try:
         runs = windows.gap_runs(df, ["sig_key"], 0.5, 5.0)
         parts = runs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("grp").alias("g")).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(parts) == 8 and max(r["n"] for r in parts) < 80_000 and {r["g"] for r in parts} == {0}
 
 

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions import signal as S
+from gridpulse.functions import tables
 from gridpulse.operators import correlate as C
 from gridpulse.operators import events as E
 from gridpulse.operators import profiles as P
 from gridpulse.operators import reports as R
+from gridpulse.operators import ruptures as U
 from gridpulse.operators import temporal as T
 from gridpulse.operators import windows as W
 from gridpulse.sources import lake
@@ -342,7 +344,48 @@ def peak_extract(spark, d):
     return out.select("sig_key", "ts", "start_ts", F.col("n").cast("long").alias("n"), F.round(total("signal"), 4).alias("total"), F.round(total("offset_s"), 3).alias("offsets"))
 
 
-QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity, cooccurrence, clicks_before_sales, peak_capture, peak_extract]
+def filtered_events(spark, d):
+    """Chains and similarities of low-passed windows (below 800 Hz); references and strongest frequencies of the raw ones."""
+    v = vectors(spark, d).withColumn("filtered", S.low_pass_udf(800.0)("signal", "seconds"))
+    c = E.chain(v, SIMILAR, by="filtered")
+    m = E.metrics(c, E.references(c), by="filtered").withColumn("freqs", S.spectrum_udf(4)("signal", "seconds"))
+    return m.select("sig_key", "event_idx", "win_idx", "ref_idx", F.round("ncc_vs_ref", 5).alias("ncc_vs_ref"), F.element_at("freqs", 1).alias("dom_freq"), F.element_at("freqs", 4).alias("fourth_freq"))
+
+
+def window_shapes(spark, d):
+    v = vectors(spark, d).select("vec_id", S.shape_udf()("signal", "seconds").alias("s"))
+    return v.select("vec_id", F.round("s.entropy", 5).alias("entropy"), F.round("s.dominant", 5).alias("dominant"), F.round("s.autocorrelation", 5).alias("autocorrelation"), "s.is_sine")
+
+
+def severity_by_axes(spark, d):
+    """Anomalous windows as events; those of one length are a type, and their mean stands for a frequency."""
+    w = W.segment_range(W.centre_pad(event_windows(spark, d)), SEGMENTS, THRESHOLD)
+    w = w.select("sig_key", F.col("win_idx").alias("event_id"), F.col("n").alias("cid"), F.round("mean_range", 4).alias("intensity"), ((W.micros("end_ts") - W.micros("start_ts")) / 1e6).alias("persistence"), (F.col("n") % 7).alias("frequency"), "is_anomaly")
+    out = R.severity_axes(w.where("is_anomaly").drop("is_anomaly"), w.where("not is_anomaly").select("sig_key", "intensity"))
+    return out.select("sig_key", "event_id", "score", "level", "recurrence", F.round("z", 3).alias("z"))
+
+
+def gap_windows_sql(spark, d):
+    """The windows of ``gap_windows`` by the table function."""
+    tables.register(spark)
+    samples(spark, d).createOrReplaceTempView("event_samples")
+    return spark.sql(f"SELECT sig_key, win_idx, start_ts, end_ts, n FROM gap_windows(TABLE(SELECT * FROM event_samples) PARTITION BY sig_key ORDER BY (ts, tie), gap_s => {GAP_S}, min_len => {MIN_LEN})")
+
+
+def event_chain_sql(spark, d):
+    """The events of ``event_chain`` by the table function."""
+    tables.register(spark)
+    vectors(spark, d).select("sig_key", "win_idx", "regular", "signal").createOrReplaceTempView("vector_windows")
+    return spark.sql(f"SELECT sig_key, win_idx, event_idx FROM event_chain(TABLE(SELECT * FROM vector_windows) PARTITION BY sig_key ORDER BY win_idx, threshold => {SIMILAR})")
+
+
+def ruptures(spark, d):
+    """Lasting changes of the totals of sales by status."""
+    s = table(spark, d, "sales").where("sold_at is not null and total is not null").select(F.coalesce("status", F.lit("none")).alias("sig_key"), F.col("sold_at").alias("ts"), F.struct("sale_id", "arrived_at").alias("tie"), F.col("total").alias("value"))
+    return U.ruptures(s, 16, 48, 1.2).select("sig_key", "row_no", F.round("jump", 4).alias("jump"), F.round("gain", 2).alias("gain"))
+
+
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity, cooccurrence, clicks_before_sales, peak_capture, peak_extract, filtered_events, window_shapes, severity_by_axes, gap_windows_sql, event_chain_sql, ruptures]
 
 
 def queries():

@@ -263,3 +263,49 @@ def peaks_udf(width: int = 1, ratio: float = 400.0):
         return signal.map(lambda x: two_means_peaks(np.asarray(x, float), width, ratio))
 
     return run
+
+
+# Entropy, dominant ratio and autocorrelation of noise and of a sine.
+NOISE, SINE = (0.95, 0.002, 0.03), (0.002, 0.99, 0.95)
+
+
+def shapes(x: np.ndarray, dt: np.ndarray, low_s: float = 0.001, high_s: float = 0.05) -> np.ndarray:
+    """Per row: spectral entropy over its greatest, the share of the strongest frequency, and the greatest autocorrelation at lags from ``low_s`` to ``high_s``.
+
+    The mean is left out of all three; zeros for constant windows, and an autocorrelation of
+    0 where no lag lies in the range.
+    """
+    n = x.shape[1]
+    out = np.zeros((len(x), 3))
+    if n < 3:
+        return out
+    c = x - x.mean(1, keepdims=True)
+    power = np.abs(np.fft.rfft(c, axis=1))[:, 1:] ** 2
+    total = power.sum(1)
+    live = (c**2).sum(1) > 1e-12 * np.maximum((x**2).sum(1), 1e-300)
+    p = power / np.where(live, total, 1.0)[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out[:, 0] = -np.where(p > 0, p * np.log(p), 0.0).sum(1) / np.log(p.shape[1])
+    out[:, 1] = p.max(1)
+    size = 1 << (2 * n - 1).bit_length()
+    r = np.fft.irfft(np.abs(np.fft.rfft(c, size)) ** 2, size)[:, :n] / np.where(live, (c**2).sum(1), 1.0)[:, None]
+    for k in range(len(x)):
+        if dt[k] > 0:
+            lags = np.arange(int(np.ceil(low_s / dt[k] - 1e-9)), min(int(np.floor(high_s / dt[k] + 1e-9)), n - 1) + 1)
+            out[k, 2] = r[k, lags[lags > 0]].max(initial=0.0) if len(lags) else 0.0
+    return np.where(live[:, None], out, 0.0)
+
+
+def shape_udf(low_s: float = 0.001, high_s: float = 0.05):
+    """``entropy, dominant, autocorrelation`` and ``is_sine`` (nearer to a sine than to noise) of ``signal`` at ``seconds``."""
+
+    @F.pandas_udf("entropy double, dominant double, autocorrelation double, is_sine boolean")
+    def run(signal: pd.Series, seconds: pd.Series) -> pd.DataFrame:
+        out = np.zeros((len(signal), 3))
+        for at, x, t in by_length(signal, seconds):
+            n = x.shape[1]
+            out[at] = shapes(x, (t[:, -1] - t[:, 0]) / (n - 1) if n > 1 else np.zeros(len(at)), low_s, high_s)
+        far = [((out - np.array(ref)) ** 2).sum(1) for ref in (NOISE, SINE)]
+        return pd.DataFrame({"entropy": out[:, 0], "dominant": out[:, 1], "autocorrelation": out[:, 2], "is_sine": far[1] < far[0]})
+
+    return run

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from gridpulse.functions import signal as S
+from gridpulse.functions import tables
 
 
 def register(spark: SparkSession, cutoff_hz: float = 1_000.0, search_width: int = 50, separation: float = 400.0) -> None:
-    """``ncc``, ``ncc_full``, ``dominant_frequencies``, ``low_pass``, ``peak_count`` for use in ``spark.sql``."""
+    """``ncc``, ``ncc_full``, ``dominant_frequencies``, ``low_pass``, ``peak_count``, ``shape`` and the table functions for use in ``spark.sql``."""
+    tables.register(spark)
+    spark.udf.register("shape", S.shape_udf())
     spark.udf.register("ncc", S.ncc_udf(False))
     spark.udf.register("ncc_full", S.ncc_udf(True))
     spark.udf.register("dominant_frequencies", S.spectrum_udf(4))

@@ -115,6 +115,19 @@ sim AS (
     p.c[greatest(1, 1 + k) : least(p.n, p.n + k)], q.c[greatest(1, 1 - k) : least(p.n, p.n - k)])))) / (p.n * p.sd * q.sd) END AS ncc
   FROM ctr p JOIN ctr q ON p.sig_key < q.sig_key)"""
 
+# The same windows without what lies above 800 Hz, ten bins of sixty-four; the raw greatest value stays.
+LOW = """
+vec AS (
+  SELECT 'l' || label AS sig_key, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS win_idx,
+    list_transform(embedding, lambda v: v::DOUBLE) AS raw
+  FROM embeddings),
+ker AS (SELECT m - 63 AS d, (1 + 2 * sum(cos(2 * pi() * g * (m - 63) / 64))) / 64 AS c FROM range(0, 127) AS a(m), range(1, 11) AS b(g) GROUP BY m),
+one AS (SELECT vec_id, unnest(range(0, 64)) AS j, unnest(raw) AS v FROM vec),
+flt AS (SELECT vec_id, i, sum(v * c) AS y FROM one, range(0, 64) AS t(i) JOIN ker ON d = i - j GROUP BY 1, 2),
+arr AS (SELECT vec_id, list(y ORDER BY i) AS x FROM flt GROUP BY 1),
+reg AS (SELECT *, list_max(raw) < 2.2 AS regular, list_avg(x) AS m, list_max(raw) AS top, list_stddev_pop(x) AS sd FROM vec JOIN arr USING (vec_id))
+"""
+
 PEAK_CAPTURES = """
 ten AS (SELECT 'u' || (user_id % 10) AS sig_key, * FROM events WHERE ts IS NOT NULL),
 cap AS (SELECT DISTINCT sig_key, make_timestamp(epoch_us(ts) // 1800000000 * 1800000000) AS start_ts FROM ten WHERE event_type = 'view'),
@@ -200,4 +213,28 @@ SQL = {
     "registry_match": f"""WITH {ALL_PAIRS}, two AS (SELECT a AS id, b AS type_id, ncc FROM sim UNION ALL SELECT b, a, ncc FROM sim),
         one AS (SELECT * FROM two QUALIFY row_number() OVER (PARTITION BY id ORDER BY ncc DESC, type_id) = 1)
         SELECT vec_id AS id, CASE WHEN ncc >= 0.45 THEN type_id END AS type_id, round(ncc, 5) AS ncc FROM reg LEFT JOIN one ON one.id = vec_id""",
+    "gap_windows_sql": f"WITH {WINDOWS} SELECT sig_key, win_idx, start_ts, end_ts, n FROM win",
+    "event_chain_sql": f"WITH {CHAIN} SELECT sig_key, win_idx, event_idx::BIGINT AS event_idx FROM ev",
+    "window_shapes": f"""WITH {POINTS},
+        pw AS (SELECT vec_id, f, sum(v * cos(2 * pi() * f * i / 64)) ** 2 + sum(v * sin(2 * pi() * f * i / 64)) ** 2 AS p FROM pt, range(1, 33) AS g(f) GROUP BY 1, 2),
+        sh AS (SELECT *, p / sum(p) OVER (PARTITION BY vec_id) AS q FROM pw),
+        en AS (SELECT vec_id, -sum(q * ln(q)) / ln(32) AS entropy, max(q) AS dominant FROM sh GROUP BY 1),
+        ac AS (SELECT vec_id, max(list_dot_product(c[1 + k : 64], c[1 : 64 - k]) / list_dot_product(c, c)) AS r FROM (SELECT vec_id, list_transform(x, lambda v: v - m) AS c FROM reg), range(5, 64) AS g(k) GROUP BY 1)
+        SELECT vec_id, round(entropy, 5) AS entropy, round(dominant, 5) AS dominant, round(greatest(r, 0), 5) AS autocorrelation,
+          (entropy - 0.002) ** 2 + (dominant - 0.99) ** 2 + (greatest(r, 0) - 0.95) ** 2 < (entropy - 0.95) ** 2 + (dominant - 0.002) ** 2 + (greatest(r, 0) - 0.03) ** 2 AS is_sine FROM en JOIN ac USING (vec_id)""",
+    "severity_by_axes": f"""WITH {WINDOWS},
+        w AS (SELECT sig_key, win_idx, n, round(mean_range, 4) AS a, (epoch_us(end_ts) - epoch_us(start_ts)) / 1e6 AS b, (n % 7)::DOUBLE AS c, mean_range > 55 AS hit FROM seg),
+        e AS (SELECT *, count(*) OVER (PARTITION BY sig_key, n) AS d FROM w WHERE hit),
+        q AS (SELECT {", ".join(f"list_sort(list({x})) AS l{x}" for x in "abcd")}, count(*) AS m FROM e),
+        s AS (SELECT sig_key, win_idx, a, d, round({" + ".join(f"{w} * (list_count(list_filter(range(1, 100), lambda k: l{x}[ceil(k * m / 100.0)::BIGINT] <= {x})) / 99)" for w, x in zip((0.4, 0.2, 0.2, 0.2), "abcd"))}, 6) AS score FROM e, q),
+        z AS (SELECT list_sort(list(score)) AS l, count(*) AS m FROM s),
+        u AS (SELECT sig_key, avg(a) AS mean, stddev_samp(a) AS sd FROM w WHERE NOT hit GROUP BY 1)
+        SELECT sig_key, win_idx AS event_id, score, CASE WHEN score > l[ceil(0.9 * m)::BIGINT] THEN 'severe' WHEN score > l[ceil(0.6 * m)::BIGINT] THEN 'moderate' ELSE 'minor' END AS level,
+          d::DOUBLE AS recurrence, round((a - mean) / nullif(sd, 0), 3) AS z FROM s CROSS JOIN z LEFT JOIN u USING (sig_key)""",
+    "filtered_events": f"""WITH {MEASURE.replace(VECTORS, LOW)},
+        sp AS (SELECT vec_id, unnest(range(0, len(raw))) AS i, unnest(raw) AS v FROM reg),
+        am AS (SELECT vec_id, f * 10.0 AS freq, sqrt(sum(v * cos(2 * pi() * f * 10 * i * 0.0002)) ** 2 + sum(v * sin(2 * pi() * f * 10 * i * 0.0002)) ** 2) AS amp FROM sp, range(1, 251) AS g(f) GROUP BY 1, 2),
+        rk AS (SELECT vec_id, freq, row_number() OVER (PARTITION BY vec_id ORDER BY amp DESC, freq) AS rank FROM am),
+        fr AS (SELECT vec_id, max(CASE WHEN rank = 1 THEN freq END) AS f1, max(CASE WHEN rank = 4 THEN freq END) AS f4 FROM rk GROUP BY 1)
+        SELECT sig_key, event_idx::BIGINT AS event_idx, win_idx, ref_idx, round(ncc_vs_ref, 5) AS ncc_vs_ref, f1 AS dom_freq, f4 AS fourth_freq FROM ms JOIN fr USING (vec_id)""",
 }

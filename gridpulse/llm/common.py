@@ -118,6 +118,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 #: Sets of at most so many elements in all (8 bytes each) are broadcast to the pairs; beyond, both shuffle.
 BROADCAST_ELEMENTS = 500_000
 
+#: Members of a bucket that meet in one task.
+MEET = 1_000
+
 Near = tuple[DataFrame, Callable[[Column, Column], Column]]
 
 
@@ -138,8 +141,8 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
     in a group of edited copies is the original, and meets all others: n - 1 pairs.
     Then the same is done for the most met member outside the leader's component.
     What is left open, members of unlike components of one bucket, meets in a join
-    on the key that skew handling can split and whose condition is the test itself:
-    a pair is looked at in its least common bucket, unless one component holds both,
+    on the key and on pairs of blocks of at most about ``MEET`` members, whose condition
+    is the test itself: a pair is looked at in its least common bucket, unless one component holds both,
     signatures are too far apart (``near``: ``id, sig`` and a condition on two
     ``sig``), or the distances to the bucket's leader differ by more than
     ``1 - threshold`` (a metric); only links come out. So no link is left out unless
@@ -183,21 +186,33 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
         members = cut(members.drop("comp").join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root"), "classed")
         mixed = members.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
         members = swap(members, members.join(small(cut(mixed, "mixed")), "key"), "open")
+        members_cut = members
         if is_empty(members):
+            release(found, lead, members)
             return links
+    # Every two blocks of a bucket meet under a key of their own, so no bucket is one task.
+    parts = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(MEET)).cast("int").alias("parts"))
+    members = members.join(parts, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     own = members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(found, "id")
     own = cut(own.select("id", "keys", expand(F.col("s")).alias("s")), "open-sets")
-    open_ = members.join(own, "id")
+    open_ = members.join(own, "id").withColumn("n", F.size("s"))
     if near:
         open_ = open_.join(near[0], "id")
-    a, b = (open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by"))) for k in "ab")
-    may = (F.col("key_a") == F.col("key_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b"))
+    side = lambda k, i, j: open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by", "parts", "block")), i.alias(f"i_{k}"), j.alias(f"j_{k}"))
+    a = side("a", F.col("block"), F.explode(F.sequence(F.col("block"), F.col("parts") - 1)))
+    b = side("b", F.explode(F.sequence(F.lit(0), F.col("block"))), F.col("block"))
+    may = (F.col("key_a") == F.col("key_b")) & (F.col("i_a") == F.col("i_b")) & (F.col("j_a") == F.col("j_b"))
+    may = may & ((F.col("i_a") < F.col("j_b")) | (F.col("id_a") < F.col("id_b"))) & (F.col("comp_a") != F.col("comp_b"))
+    # Sizes alone tell of most that they are unlike.
+    may = may & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9)
     may = may & F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) <= 1 - threshold + 1e-9, F.lit(True))
     if near:
         may = may & near[1](F.col("sig_a"), F.col("sig_b"))
     may = may & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key_a")) & (jaccard("s_a", "s_b") >= threshold)
-    last = a.join(b, may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    return cut(links.union(last), "links")
+    last = a.join(b, may).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+    out = cut(links.union(last), "links")
+    release(found, lead, tried, links, own, members_cut)
+    return out
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -250,3 +250,40 @@ def test_toxicity_without_labels_or_rows(corpus):
     docs, labels = corpus
     assert {r["score"] for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.5}
     assert toxicity.judge(docs.where("false"), labels).count() == 0
+
+
+# --- links of a bucket
+
+
+def test_open_bucket_is_split_into_blocks(spark, monkeypatch):
+    """One bucket of ids below the limit to their leaders: every link among them is found in blocks of twenty, none without one."""
+    from gridpulse.llm import common
+
+    monkeypatch.setattr(common, "MEET", 20)
+    rng = random.Random(21)
+    base = list(range(1000, 1060))
+    sets = {}
+    for i in range(150):
+        s = rng.sample(base, 36) + [10_000 + 100 * i + k for k in range(4)]
+        sets[i] = s
+        if i % 3 == 0:
+            sets[1000 + i] = s[:-1] + [7]
+    found = spark.createDataFrame(list(sets.items()), "id long, s array<long>")
+    buckets = spark.createDataFrame([("hot", i) for i in sets] + [("cold", i) for i in list(sets)[:30]], "key string, id long")
+    links = {(r["a"], r["b"]) for r in common.class_links(buckets, lambda ids: found.join(ids, "id", "left_semi"), 0.8).collect()}
+    alike = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(set(sets[a]) & set(sets[b])) >= 0.8 * len(set(sets[a]) | set(sets[b]))}
+    assert links <= alike and len(alike) >= 50
+
+    def classes(pairs):
+        root = {i: i for i in sets}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return {i: top(i) for i in sets}
+
+    assert classes(links) == classes(alike)

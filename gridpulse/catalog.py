@@ -352,6 +352,16 @@ def filtered_events(spark, d):
     return m.select("sig_key", "event_idx", "win_idx", "ref_idx", F.round("ncc_vs_ref", 5).alias("ncc_vs_ref"), F.element_at("freqs", 1).alias("dom_freq"), F.element_at("freqs", 4).alias("fourth_freq"))
 
 
+def occurrence_bins(spark, d):
+    """Windows of regular and of peak events per signal and week."""
+    return R.occurrence(found_events(spark, d), 10_080, "is_peak")
+
+
+def timeline_bars(spark, d):
+    w = event_windows(spark, d).select("sig_key", F.col("win_idx").alias("event_id"), "start_ts", "end_ts")
+    return R.timeline(w)
+
+
 def window_shapes(spark, d):
     v = vectors(spark, d).select("vec_id", S.shape_udf()("signal", "seconds").alias("s"))
     return v.select("vec_id", F.round("s.entropy", 5).alias("entropy"), F.round("s.dominant", 5).alias("dominant"), F.round("s.autocorrelation", 5).alias("autocorrelation"), "s.is_sine")
@@ -385,7 +395,7 @@ def ruptures(spark, d):
     return U.ruptures(s, 16, 48, 1.2).select("sig_key", "row_no", F.round("jump", 4).alias("jump"), F.round("gain", 2).alias("gain"))
 
 
-QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity, cooccurrence, clicks_before_sales, peak_capture, peak_extract, filtered_events, window_shapes, severity_by_axes, gap_windows_sql, event_chain_sql, ruptures]
+QUERIES = [gap_windows, window_centre_pad, segment_range_anomaly, peak_threshold, anomalous_windows, window_energy, peak_count_2means, dft_dominant, dft_top4, lowpass, ncc_bounded, ncc_full, event_chain, event_reference, event_metrics, type_pairs, type_linkage, peak_split, peak_events, event_profile, type_labels, signal_profile, event_table, reference_gallery, type_windows, shared_pairs, shared_bars, type_pairs_skipped, trms_segments, signals_in_order, dates_without_events, profile_rollup, type_summary, overlap_histogram, burst_stats, shared_types, registry_match, gantt_bars, color_map, unpivot_channels, ingest_dedup, trms_metrics, date_union, path_metadata, severity, cooccurrence, clicks_before_sales, peak_capture, peak_extract, occurrence_bins, timeline_bars, filtered_events, window_shapes, severity_by_axes, gap_windows_sql, event_chain_sql, ruptures]
 
 
 def queries():

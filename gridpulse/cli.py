@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridpulse.operators import correlate as C
 from gridpulse.operators import profiles as P
 from gridpulse.operators import temporal as T
-from gridpulse.sources import lake
+from gridpulse.sources import lake, pages
 from gridpulse.sources.registry import Registry
 
 
@@ -57,7 +57,7 @@ def signals(spark: SparkSession, target: str, wanted: list[Wanted]) -> DataFrame
     return out
 
 
-def analyse(spark: SparkSession, samples: DataFrame, output: str, settings: P.Settings = P.Settings(), registry: str | None = None, registry_threshold: float = 0.8, dates: list[str] | None = None) -> DataFrame:
+def analyse(spark: SparkSession, samples: DataFrame, output: str, settings: P.Settings = P.Settings(), registry: str | None = None, registry_threshold: float = 0.8, dates: list[str] | None = None, bins_min: int = 10) -> DataFrame:
     """Profiles, type windows and the event table of all signals in ``samples`` under ``output``; registry ids if a registry is named.
 
     ``dates`` fixes the order of windows where it is not that of time.
@@ -68,11 +68,13 @@ def analyse(spark: SparkSession, samples: DataFrame, output: str, settings: P.Se
     lake.write_profile(P.profile(found), f"{output}/profile")
     lake.write_type_windows(P.type_windows(found), f"{output}/type_windows")
     P.event_table(found).write.mode("overwrite").parquet(f"{output}/event_table")
+    pages.write(pages.signal_pages(found, bins_min), f"{output}/report")
     if registry:
         own = P.arriving_types(found)
         ids = Registry(spark, registry).assign(own, registry_threshold)
         known = spark.createDataFrame(sorted(ids.items()), "name string, type_id int")
         own.join(known, "name").select("sig_key", "cluster_id", "type_id").write.mode("overwrite").parquet(f"{output}/registry_ids")
+        pages.write(pages.registry_page(Registry(spark, registry).types()), f"{output}/registry_report")
     return found
 
 
@@ -94,6 +96,7 @@ def correlate(spark: SparkSession, outputs: list[str], target: str, threshold: f
     if pairs is not None:
         pairs.write.mode("overwrite").parquet(target)
         pairs = spark.read.parquet(target)
+        pages.write(pages.correlation_page(pairs, windows.groupBy("sig_key", "cid").agg(F.min_by("window", "day").alias("window"))), f"{target}-report")
         together = found.select("sig_key", F.concat_ws("/", "sig_key", F.col("cluster_id").cast("string")).alias("cid"), "event_id", F.col("ref_timestamp").alias("ts"))
         T.cooccurrence(together, corr_window_s).write.mode("overwrite").parquet(f"{target}-cooccurrence")
     return pairs
@@ -123,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--output", required=True)
     p.add_argument("--registry")
     p.add_argument("--registry-threshold", type=float, default=0.8)
+    p.add_argument("--bins-min", type=int, default=10, help="minutes of a bin in the report of types")
     for f in dataclasses.fields(P.Settings):
         if f.type != "bool":
             p.add_argument("--" + f.name.replace("_", "-"), type={"int": int, "float": float}[f.type], default=f.default)
@@ -146,7 +150,7 @@ def main(argv: list[str] | None = None) -> int:
         wanted = a.signal or [(a.boitier, a.voie, a.dates)]
         samples = lake.read_loose(spark, a.files, a.channel) if a.files else signals(spark, a.lake, wanted)
         # All signals are numbered by one order of dates; where they name the same dates in different orders, the first counts.
-        analyse(spark, samples, a.output, s, a.registry, a.registry_threshold, None if a.files else list(dict.fromkeys(d for *_, dates in wanted for d in dates)))
+        analyse(spark, samples, a.output, s, a.registry, a.registry_threshold, None if a.files else list(dict.fromkeys(d for *_, dates in wanted for d in dates)), a.bins_min)
         return 0
     return int(correlate(spark, a.outputs, a.target, a.threshold, a.corr_window_s) is None)
 

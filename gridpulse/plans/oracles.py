@@ -237,4 +237,11 @@ SQL = {
         rk AS (SELECT vec_id, freq, row_number() OVER (PARTITION BY vec_id ORDER BY amp DESC, freq) AS rank FROM am),
         fr AS (SELECT vec_id, max(CASE WHEN rank = 1 THEN freq END) AS f1, max(CASE WHEN rank = 4 THEN freq END) AS f4 FROM rk GROUP BY 1)
         SELECT sig_key, event_idx::BIGINT AS event_idx, win_idx, ref_idx, round(ncc_vs_ref, 5) AS ncc_vs_ref, f1 AS dom_freq, f4 AS fourth_freq FROM ms JOIN fr USING (vec_id)""",
+    "occurrence_bins": f"""WITH {EVENTS},
+        en AS (SELECT sig_key, floor(epoch_us(min(ref_timestamp)) / 604800000000)::BIGINT AS lo, ceil(epoch_us(max(last_ts)) / 604800000000)::BIGINT AS hi FROM eid GROUP BY 1),
+        gr AS (SELECT sig_key, is_peak, unnest(range(lo, hi)) AS k FROM (SELECT DISTINCT sig_key, pk = 1 AS is_peak FROM eid) JOIN en USING (sig_key)),
+        ct AS (SELECT sig_key, pk = 1 AS is_peak, floor(epoch_us(start_ts) / 604800000000)::BIGINT AS k, count(*) AS n FROM mem GROUP BY 1, 2, 3)
+        SELECT sig_key, is_peak, make_timestamp(k * 604800000000) AS bin, coalesce(n, 0) AS n FROM gr LEFT JOIN ct USING (sig_key, is_peak, k)""",
+    "timeline_bars": f"""WITH {WINDOWS}, e AS (SELECT sig_key, win_idx, epoch_us(start_ts) // 1000000 AS a, epoch_us(end_ts) // 1000000 AS b FROM win), w AS (SELECT min(a) AS lo, greatest(max(b) - min(a), 1) AS span FROM e)
+        SELECT sig_key, win_idx AS event_id, make_timestamp(a * 1000000) AS start_ts, round((a - lo) * 1200.0::DOUBLE / span, 3) AS left_px, round(greatest(greatest(b - a, 0.003::DOUBLE * span) * 1200 / span, 4), 3) AS bar_px FROM e, w""",
 }

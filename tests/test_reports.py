@@ -121,3 +121,35 @@ def test_shared_types_bars_and_linkage(spark):
             clusters[a] += clusters.pop(b)
         label = {i: k for k, c in enumerate(sorted(clusters, key=min)) for i in c}
         assert [got[key, i] for i in ids] == [label[k] for k in range(len(ids))]
+
+
+def test_pages(spark, tmp_path):
+    """A page a signal with its types and events, names escaped; a page of pairs with the link that bars carry."""
+    from gridpulse.sources import pages
+
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    kind = "sig_key string, event_id int, cluster_id int, type_label string, ref_timestamp timestamp_ntz, window_timestamps array<timestamp_ntz>, window_count int, duration_s double, dom_freqs array<double>, ncc_vs_ref array<double>, ref_window array<double>"
+    rows = [
+        ("a<b", 0, 0, "Type 0", at(3), [at(3), at(11)], 2, 480.0, [50.0, 60.0], [0.0, 0.9], [float(v) for v in range(1000)]),
+        ("a<b", 1, 1, "type : pic", at(25), [at(25)], 1, 0.0, [0.0], [1.0], [1.0, 1.0]),
+        ("c", 0, 0, "Type 0", at(10), [at(10)], 1, 0.0, [10.0], [0.0], [1.0, -1.0, 2.0]),
+    ]
+    found = spark.createDataFrame(rows, kind)
+    bins = {(r["sig_key"], r["cluster_id"], r["bin"]): r["n"] for r in reports.occurrence(found, 10).collect()}
+    # The only window of the second signal lies on an edge: its grid is empty.
+    assert bins == {("a<b", 0, at(0)): 1, ("a<b", 0, at(10)): 1, ("a<b", 0, at(20)): 0, ("a<b", 1, at(0)): 0, ("a<b", 1, at(10)): 0, ("a<b", 1, at(20)): 1}
+    types = {(r["sig_key"], r["cluster_id"]): (r["n_events"], r["n_windows"], r["first_ts"], r["first_event"]) for r in reports.type_report(found).collect()}
+    assert types == {("a<b", 0): (1, 2, at(3), 0), ("a<b", 1): (1, 1, at(25), 1), ("c", 0): (1, 1, at(10), 0)}
+    pages.write(pages.signal_pages(found), f"{tmp_path}/report")
+    folders = sorted(p for p in (tmp_path / "report").iterdir() if p.is_dir())
+    assert len(folders) == 2
+    files = list(folders[0].glob("*.txt"))
+    text = files[0].read_text()
+    assert len(files) == 1 and text.startswith("<!doctype html>") and "<h1>a&lt;b</h1>" in text and text.count("<tr>") == 4 and text.count("<polyline") == 2 and text.count("<rect") == 3
+    assert text.index("Type 0") < text.index("type : pic") < text.index("0.45") and all(0 <= float(y) <= pages.HEIGHT for x in text.split('points="')[1:] for y in (q.split(",")[1] for q in x.split('"')[0].split()))
+    pairs = spark.createDataFrame([("a<b", 0, 1, "c", 0, 1, 0.9, 0)], "sig_key_a string, cid_a int, count_a long, sig_key_b string, cid_b int, count_b long, ncc double, pair_idx int")
+    bars = found.select("sig_key", F.col("cluster_id").alias("cid"), "event_id")
+    assert {(r["sig_key"], r["cid"]): r["pair_idx"] for r in reports.linked(bars, pairs).collect()} == {("a<b", 0): 0, ("a<b", 1): None, ("c", 0): 0}
+    windows = found.select("sig_key", F.col("cluster_id").alias("cid"), F.col("ref_window").alias("window"))
+    lines = [r["value"] for r in pages.correlation_page(pairs, windows).collect()]
+    assert lines[1].count("<polyline") == 2 and "0.9000" in lines[1]

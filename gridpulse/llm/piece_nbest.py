@@ -7,7 +7,9 @@ feed that no longer piece holds is a chunk of its own. A chunk's lattice is sear
 for a backward A* search, which yields segmentations best first. States point back
 to their parents, and a place is opened at most n times, since only its n best
 ends can take part, so a chunk of L characters costs at most n * L steps whatever its
-ties. Chunks are remembered; the new ones of a batch are searched together, by the
+ties. The most frequent chunks of all texts are counted, searched once, spread over
+the cluster, and handed to every worker (at most ``SHARED``, which bounds that broadcast;
+whether a chunk is among them changes no result). Others are remembered; the new ones of a batch are searched together, by the
 same scores from both ends: the best segmentation is made of the pieces that lose
 nothing, and the second loses what the best of all other pieces does. Segmentations of a text combine those of its chunks, which are
 independent: only the n - 1 chunks whose second choice loses least can take part in
@@ -29,6 +31,7 @@ import hashlib
 import heapq
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -39,13 +42,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .common import narrow_batches
+from .common import cut, narrow_batches, release
 from .lm_scoring import Lattice
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Chunks that a worker remembers; the older half goes when it is full.
 REMEMBERED = 600_000
+#: At most so many frequent chunks, of at most 64 characters, are searched once and broadcast.
+SHARED = 300_000
 #: Totals nearer than this are compared by the rules for equal scores.
 TIE = 1e-6
 MARK = "▁"
@@ -106,6 +111,8 @@ class Pieces:
         values = {i: v for v, i in self.bytes.items()}
         #: What each piece stands for in UTF-8.
         self.raw = [bytes([values[i]]) if i in values else name.encode() for i, name in enumerate(self.names)]
+        self.source: str | None = None
+        self.shared: dict[str, Best] = {}
         self.new: dict[str, Best] = {}
         self.old: dict[str, Best] = {}
         self.spare: dict[str, int] = {}
@@ -216,16 +223,19 @@ class Pieces:
     def learn(self, texts: list[str]) -> list[list[str]]:
         """Chunks of the texts; those that are new and short are searched together and remembered."""
         parts = [self.chunks(x) for x in texts]
-        new = {c for x in parts for c in x if len(c) <= 64 and c not in self.new and c not in self.old}
+        new = {c for c in set(itertools.chain.from_iterable(parts)) if len(c) <= 64 and c not in self.shared and c not in self.new and c not in self.old}
         if len(self.new) + len(new) > REMEMBERED // 2:
             new |= {c for x in parts for c in x if c in self.old}
             self.old, self.new, self.spare, self.many = self.new, {}, {}, {}
         if new:
             words = sorted(new)
-            for c, hit in zip(words, self.together(words)):
-                self.new[c] = self.tied(c) if hit is None else hit
+            self.new.update(zip(words, self.firsts(words)))
         return parts
 
+    def firsts(self, words: list[str]) -> list[Best]:
+        """``first`` of many chunks."""
+        return [self.tied(c) if hit is None else hit for c, hit in zip(words, self.together(words))]
+
     def together(self, words: list[str]) -> list[Best | None]:
         """``first`` of many chunks at once; None where two segmentations are equally good."""
         buf, off = K.buffers(pa.array(words, pa.string()))
@@ -294,8 +304,8 @@ class Pieces:
     def search(self, text: str, n: int, chunks: list[str] | None = None) -> tuple[list[Path_], bool]:
         """The n best segmentations of a whole text, and whether the best decodes to it."""
         chunks = self.chunks(text) if chunks is None else chunks
-        known, recall = self.new.get, self.recall
-        got = [known(c) or recall(c) for c in chunks]
+        shared, known, recall = self.shared.get, self.new.get, self.recall
+        got = [shared(c) or known(c) or recall(c) for c in chunks]
         scores, parts, losses, good = zip(*got)
         first = b"".join(parts)
         total, size, decodes = float(sum(scores)), len(first) // 4, all(good)
@@ -348,9 +358,51 @@ ENCODED = "scores array<double>, pieces array<array<int>>"
 DIGEST = "n_pieces long, scores array<double>, pieces_sha256 array<string>, decodes boolean"
 
 
-def encoder(path: str, n: int, digest: bool, column: int):
+def chunk_counts(docs: DataFrame) -> DataFrame:
+    """``chunk, n`` of ``text``, for chunks after a single blank or a line feed; others are not worth knowing beforehand."""
+    word = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), " ")).alias("w")).where(F.length("w") < 64)
+    plain = word.where(~F.contains("w", F.lit("\n"))).groupBy("w").agg(F.count("*").alias("n")).select(F.concat(F.lit(MARK), "w").alias("chunk"), "n")
+    parts = word.where(F.contains("w", F.lit("\n"))).select(F.posexplode(F.split("w", "\n")).alias("i", "w")).where("w <> ''")
+    broken = parts.groupBy(F.when(F.col("i") == 0, F.concat(F.lit(MARK), "w")).otherwise(F.col("w")).alias("chunk")).agg(F.count("*").alias("n"))
+    return plain.union(broken).groupBy("chunk").agg(F.sum("n").alias("n"))
+
+
+BEST = "chunk string, score double, pieces binary, loss double, decodes boolean"
+
+
+def frequent(docs: DataFrame, path: str, most: int = SHARED) -> list[tuple[str, Best]]:
+    """The most frequent chunks that occur twice or more, with what ``first`` says of each: all above a count, which leaves at most ``most``."""
+    counts = cut(chunk_counts(docs).where("n > 1"), "chunks")
+    # Chunks by count on a coarse scale, some hundred rows: the least step with at most ``most`` chunks from it on.
+    step = F.floor(8 * F.log2(F.col("n").cast("double"))).cast("int")
+    sizes = sorted(((r["s"], r["k"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("k")).collect()), reverse=True)
+    total, least = 0, None
+    for s, k in sizes:
+        total += k
+        if total > most:
+            break
+        least = s
+    if least is None:
+        release(counts)
+        return []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pieces(path)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            cols = list(zip(*held.firsts(words))) if words else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.bool_())], names=["chunk", "score", "pieces", "loss", "decodes"])
+
+    found = counts.where(step >= least).select("chunk").mapInArrow(run, BEST).toArrow()
+    release(counts)
+    return list(zip(found["chunk"].to_pylist(), zip(*(found[c].to_pylist() for c in ("score", "pieces", "loss", "decodes")))))
+
+
+def encoder(path: str, n: int, digest: bool, column: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pieces(path)
+        if held.source != shared.value[0]:
+            held.source, held.shared = shared.value[0], dict(shared.value[1])
         kinds = [("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())), ("pieces_sha256", pa.list_(pa.string())), ("decodes", pa.bool_())] if digest else [("scores", pa.list_(pa.float64())), ("pieces", pa.list_(pa.list_(pa.int32())))]
         for batch in batches:
             rows = []
@@ -368,18 +420,23 @@ def encoder(path: str, n: int, digest: bool, column: int):
     return run
 
 
+def handed(docs: DataFrame, path: str):
+    """``frequent`` chunks as a broadcast, under a name of their own."""
+    return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, frequent(docs.select("text"), path)))
+
+
 def encode(docs: DataFrame, n: int = N_BEST, path: str = PIECES) -> DataFrame:
     """``docs`` with ``scores`` and ``pieces`` of the n best segmentations of ``text``."""
     narrow_batches(docs.sparkSession)
     docs = docs.drop("scores", "pieces")
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(ENCODED).fields)
-    return docs.mapInArrow(encoder(path, n, False, docs.columns.index("text")), schema)
+    return docs.mapInArrow(encoder(path, n, False, docs.columns.index("text"), handed(docs, path)), schema)
 
 
 def encode_digests(docs: DataFrame, n: int = N_BEST, path: str = PIECES) -> DataFrame:
     """``doc_id`` with the number of pieces of the best, all n scores, hashes of the n piece lists, and whether the best decodes to the text."""
     narrow_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encoder(path, n, True, 1), f"doc_id long, {DIGEST}")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encoder(path, n, True, 1, handed(docs, path)), f"doc_id long, {DIGEST}")
 
 
 def decode(encoded: DataFrame, path: str = PIECES) -> DataFrame:

@@ -14,7 +14,8 @@ every executor; every other occurrence is joined with the full table of words.
 Defined cases: null text is empty (its only token is the end); without training
 rows all counts are 0 and pieces keep their first probabilities; a row repeated
 in full trains as often as it occurs and has as many rows in the result; a null
-``doc_id`` is never held out; an empty table gives an empty result.
+``doc_id`` is never held out; an empty table gives an empty result. A very long word takes
+time in proportion to its bytes, some seconds a megabyte and pass.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT, ROUNDS, HELD = 100_000, 3, 10
 #: Distinct words that one task holds before it hands them on.
 HELD_WORDS = 300_000
+#: Depths of a lattice with fewer edges are not worth a step over arrays.
+FEW_EDGES = 64
 U = np.uint64
 MARK = "▁".encode()
 
@@ -121,14 +124,38 @@ class Lattice:
         order = np.argsort(depth * nodes + b)
         a, b, depth, w = a[order], b[order], depth[order], w[order]
         cuts = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]) if len(depth) else np.zeros(0, np.int64)
-        for lo, hi in zip(cuts, np.r_[cuts[1:], len(depth)]):
+        ends = np.r_[cuts[1:], len(depth)]
+        # From here on all depths have few edges, as where one word is much longer than the others: those go one by one.
+        many = np.flatnonzero(ends - cuts >= FEW_EDGES)
+        tail = int(many[-1]) + 1 if len(many) else 0
+        for lo, hi in zip(cuts[:tail], ends[:tail]):
             x, t = out[a[lo:hi]] + w[lo:hi], b[lo:hi]
             first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
             top = np.maximum.reduceat(x, first)
             safe = np.where(np.isfinite(top), top, 0.0)
             with np.errstate(divide="ignore"):
                 out[t[first]] = safe + np.log(np.add.reduceat(np.exp(x - np.repeat(safe, np.diff(np.r_[first, len(x)]))), first))
-        return out
+        return out if tail == len(cuts) else one_by_one(out, a[cuts[tail] :], b[cuts[tail] :], w[cuts[tail] :])
+
+
+def one_by_one(out: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``relax`` of edges that lie by far end: some microseconds an end, whatever the length of the word."""
+    held, low, exp, log = out.tolist(), -math.inf, math.exp, math.log
+    at, top, total = -1, low, 0.0
+    for x, y, v in zip(a.tolist(), b.tolist(), w.tolist()):
+        if y != at:
+            if at >= 0 and top > low:
+                held[at] = top + log(total)
+            at, top, total = y, low, 0.0
+        s = held[x] + v
+        if s > top:
+            total = total * exp(top - s) + 1.0
+            top = s
+        elif s > low:
+            total += exp(s - top)
+    if at >= 0 and top > low:
+        held[at] = top + log(total)
+    return np.array(held)
 
 
 def marked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

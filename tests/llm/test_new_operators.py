@@ -287,3 +287,29 @@ def test_open_bucket_is_split_into_blocks(spark, monkeypatch):
         return {i: top(i) for i in sets}
 
     assert classes(links) == classes(alike)
+
+
+# --- very long words of the language model
+
+
+def test_one_long_word(monkeypatch):
+    """Depths with few edges, one by one, give what steps over arrays give; a megabyte without a blank ends within seconds."""
+    import time
+
+    import pyarrow as pa
+
+    from gridpulse.llm import lm_scoring
+
+    names, logp = lm_scoring.vocabulary()
+    lattice = lm_scoring.Lattice(names)
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789+/é") for _ in range(n))
+    buf, off = lm_scoring.marked(pa.array([word(k).encode() for k in (3, 900, 1, 40, 0, 2000)], pa.binary()))
+    short = lattice.forward(buf, off, logp, back=True)
+    monkeypatch.setattr(lm_scoring, "FEW_EDGES", 0)
+    plain = lattice.forward(buf, off, logp, back=True)
+    assert all(np.allclose(x, y, rtol=1e-9, atol=1e-9) for x, y in zip(short, plain))
+    monkeypatch.undo()
+    buf, off = lm_scoring.marked(pa.array([word(1_000_000).encode()], pa.binary()))
+    began = time.time()
+    assert np.isfinite(lattice.forward(buf, off, logp)).all() and time.time() - began < 20

@@ -21,6 +21,7 @@ from gridpulse.operators import ruptures as U
 from gridpulse.operators import temporal as T
 from gridpulse.operators import windows as W
 from gridpulse.sources import lake
+from gridpulse.sources.stage import staged
 
 GAP_S, MIN_LEN, SEGMENTS, THRESHOLD, PEAK, SIMILAR, TOP = 86_400, 5, 5, 55.0, 60.0, 0.3, 2.2
 
@@ -189,7 +190,7 @@ def type_windows(spark, d):
 
 
 def cross_signal(spark, d) -> tuple[DataFrame, DataFrame]:
-    e = typed_events(spark, d).persist()  # read for the summaries, the windows and the bars
+    e = staged(typed_events(spark, d))  # read for the summaries, the windows and the bars
     summaries = C.summary(e, P.type_windows(e).withColumn("day", F.lit("")))
     return e, C.shared(summaries, 0.8)
 
@@ -215,11 +216,11 @@ def trms_segments(spark, d):
 def signals_in_order(spark, d):
     """Users in the order of their first event."""
     e = table(spark, d, "events").where("ts is not null").select(F.concat(F.lit("u"), F.col("user_id")).alias("sig_key"), F.struct("ts", "event_id").alias("at"))
-    return C.first_seen(e, "sig_key", "at").select("sig_key", "rank")
+    return C.first_seen(e, "sig_key", "at", lambda at: F.to_date(at["ts"])).select("sig_key", "rank")
 
 
 def dates_without_events(spark, d):
-    """Dates from the first order to the last on which no order was placed or there are none at all in ``events``."""
+    """Dates from the first order to the last, with the orders placed on each, none included."""
     o = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     ends = o.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
     n = o.groupBy("date").agg(F.count("*").alias("n"))

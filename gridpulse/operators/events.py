@@ -65,7 +65,8 @@ BLOCK = 256
 
 def block_pairs(left: DataFrame, right: DataFrame, run, schema: str, block: int = BLOCK) -> DataFrame:
     """``run(left rows, right rows)`` on every two blocks of the sides, dealt by the hash of ``id``; each block is sent once to every block of the other side."""
-    n = [max(1, -(-d.count() // block)) for d in (left, right)]
+    sizes = [left.count()]
+    n = [max(1, -(-x // block)) for x in (sizes * 2 if left is right else [*sizes, right.count()])]
     own = lambda d, k: F.pmod(F.xxhash64("id"), F.lit(n[k])).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(n[k] - 1)))
     # Columns of their own, where both sides are one table.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.operators.windows import numbered
+from gridpulse.sources.stage import staged
 
 SCHEMA = "sig_key string, at long, steep double, row_no long, jump double, gain double"
 
@@ -98,12 +99,7 @@ def steep_ones(found: DataFrame, separation: float, rounds: int = 30) -> DataFra
     return kept.drop("low", "high")
 
 
-def ruptures(rows: DataFrame, half: int = 30, reach: int = 120, separation: float = 3.0, block: int = 250_000, cut=None) -> DataFrame:
-    """``sig_key, row_no, jump, gain``: the first row of each new level, once each, with the step of the means and the squares it saves.
-
-    ``cut`` writes the candidates once where they are too many to be found again in each round.
-    """
-    found = candidates(rows, half, reach, block)
-    found = cut(found) if cut else found.persist()
-    steep = steep_ones(found, separation)
+def ruptures(rows: DataFrame, half: int = 30, reach: int = 120, separation: float = 3.0, block: int = 250_000) -> DataFrame:
+    """``sig_key, row_no, jump, gain``: the first row of each new level, once each, with the step of the means and the squares it saves."""
+    steep = steep_ones(staged(candidates(rows, half, reach, block)), separation)
     return steep.groupBy("sig_key", "row_no").agg(F.max_by("jump", "gain").alias("jump"), F.max("gain").alias("gain"))

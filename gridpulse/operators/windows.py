@@ -20,25 +20,38 @@ def in_stretches(rows: DataFrame, keys: list[str], stretch_s: float) -> tuple[Da
     return rows.where(" and ".join(f"{c} is not null" for c in [*keys, "ts"])).withColumn("__part", part), [*keys, "__part"]
 
 
-def gap_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> DataFrame:
-    """``rows`` (``keys, ts, tie``) with ``grp``, which grows by one where more than ``gap_s`` has passed since the row before.
+def pieces_of_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``rows`` with ``__run``, the run within their stretch; one row for each such piece with its ``grp``; the columns of a stretch.
 
-    Rows are compared within stretches of time; what a stretch adds is its jumps and the gap
-    to the one before, summed over one row a stretch. So a signal is spread over its
-    stretches and only their ends meet. Rows without a key or a time are left out.
+    Rows are compared within stretches of time. A piece goes on with the run of the one
+    before it unless more than ``gap_s`` lies between, which is told from one row a piece. So
+    a signal is spread over its stretches and only their ends meet. Rows without a key or a time are left out.
     """
-    s, cell = in_stretches(rows, keys, stretch_s or gap_s * STRETCH)
-    order = Window.partitionBy(*cell).orderBy("ts", "tie")
     gap = int(gap_s * 1e6)
-    jump = F.coalesce((micros("ts") - F.lag(micros("ts")).over(order) > gap).cast("long"), F.lit(0))
-    s = s.withColumn("__jump", jump)
-    ends = s.groupBy(*cell).agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("__jump").alias("jumps"))
-    before = Window.partitionBy(*keys).orderBy("__part")
-    parted = F.coalesce((micros("first") - micros("last_before") > gap).cast("long"), F.lit(0))
-    ends = ends.withColumn("last_before", F.lag("last").over(before)).withColumn("jumps_before", F.coalesce(F.lag("jumps").over(before), F.lit(0)))
-    ends = ends.select(*cell, F.sum(parted + F.col("jumps_before")).over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("__base"))
-    s = s.withColumn("__run", F.sum("__jump").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.join(ends, cell).withColumn("grp", F.col("__base") + F.col("__run")).drop("__jump", "__run", "__base", "__part")
+
+    def within(r: DataFrame) -> DataFrame:
+        s, cell = in_stretches(r, keys, stretch_s or gap_s * STRETCH)
+        order = Window.partitionBy(*cell).orderBy("ts", "tie")
+        s = s.withColumn("__run", F.coalesce((micros("ts") - F.lag(micros("ts")).over(order) > gap).cast("long"), F.lit(0)))
+        return s.withColumn("__run", F.sum("__run").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    cell = [*keys, "__part"]
+    pieces = within(rows.select(*keys, "ts", "tie")).groupBy(*cell, "__run").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n"))
+    before = Window.partitionBy(*keys).orderBy("__part", "__run")
+    starts = F.coalesce((micros("start_ts") - F.lag(micros("end_ts")).over(before) > gap).cast("long"), F.lit(0))
+    pieces = pieces.withColumn("grp", starts).withColumn("grp", F.sum("grp").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return within(rows), pieces, cell
+
+
+def gap_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> DataFrame:
+    """``rows`` (``keys, ts, tie``) with ``grp``, which grows by one where more than ``gap_s`` has passed since the row before, stitched over stretches of time."""
+    s, pieces, cell = pieces_of_runs(rows, keys, gap_s, stretch_s)
+    return placed_runs(s, pieces, cell)
+
+
+def placed_runs(s: DataFrame, pieces: DataFrame, cell: list[str]) -> DataFrame:
+    base = pieces.groupBy(*cell).agg(F.min("grp").alias("__base"))
+    return s.join(base, cell).withColumn("grp", F.col("__base") + F.col("__run")).drop("__run", "__base", "__part")
 
 
 def numbered(rows: DataFrame, keys: list[str], stretch_s: float = 86_400.0) -> DataFrame:
@@ -52,34 +65,38 @@ def numbered(rows: DataFrame, keys: list[str], stretch_s: float = 86_400.0) -> D
 
 
 def gap_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, split_by_date: bool = True, dates: list[str] | None = None, by: str | None = None) -> DataFrame:
-    """``sig_key, win_idx, start_ts, end_ts, n, signal, seconds`` of runs without a gap above ``gap_s``.
+    """``sig_key, win_idx, start_ts, end_ts, n, longest, signal, seconds`` of runs without a gap above ``gap_s``.
 
     No run passes midnight if ``split_by_date``, or from one value of the column ``by`` to another if that is given instead.
     Windows are numbered by time; before that by the place of their date in ``dates``, or by ``by``.
-    The numbers are made from one narrow row a window.
+    Numbers, and ``longest``, the most samples of any window of the signal, are made from one narrow row a window.
     """
     split_by_date = split_by_date and by is None
     keys = ["sig_key"] + (["date"] if split_by_date else [by] if by else [])
     s = samples.select("sig_key", "ts", "tie", "signal", *([by] if by else []))
-    s = gap_runs(s.withColumn("date", F.to_date("ts")) if split_by_date else s, keys, gap_s)
-    runs = s.groupBy(*keys, "grp").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n")).where(F.col("n") >= min_len)
+    s, pieces, cell = pieces_of_runs(s.withColumn("date", F.to_date("ts")) if split_by_date else s, keys, gap_s)
+    runs = pieces.groupBy(*keys, "grp").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.sum("n").alias("n")).where(F.col("n") >= min_len)
     place = [F.array_position(F.array(*map(F.lit, dates)), F.col("date").cast("string"))] if dates and split_by_date else [by] if by else []
-    runs = runs.withColumn("win_idx", (F.row_number().over(Window.partitionBy("sig_key").orderBy(*place, "start_ts")) - 1).cast("long"))
-    w = s.groupBy(*keys, "grp").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a"))
+    own = Window.partitionBy("sig_key")
+    runs = runs.withColumn("win_idx", (F.row_number().over(own.orderBy(*place, "start_ts")) - 1).cast("long")).withColumn("longest", F.max("n").over(own))
+    w = placed_runs(s, pieces, cell).groupBy(*keys, "grp").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a"))
     w = runs.join(w, [*keys, "grp"])
     first = F.unix_micros(F.col("start_ts").cast("timestamp"))
     w = w.withColumn("signal", F.transform("a", lambda x: x["signal"].cast("double"))).withColumn("seconds", F.transform("a", lambda x: (F.unix_micros(x["ts"].cast("timestamp")) - first) / 1e6))
-    return w.select("sig_key", "win_idx", "start_ts", "end_ts", "n", "signal", "seconds")
+    return w.select("sig_key", "win_idx", "start_ts", "end_ts", "n", "longest", "signal", "seconds")
 
 
 def centre_pad(windows: DataFrame) -> DataFrame:
     """Subtract the mean, then fill with zeros to the signal's longest window; times go on at the first step.
 
-    The longest is a grouped maximum of the sizes alone, joined to the windows.
+    The longest is told by the column ``longest`` where there is one, else by a grouped maximum of the sizes alone, joined to the windows.
     """
     mean = F.aggregate("signal", F.lit(0.0), lambda a, x: a + x) / F.size("signal")
-    most = windows.groupBy("sig_key").agg(F.max("n" if "n" in windows.columns else F.size("signal")).cast("int").alias("__n"))
-    w = windows.withColumn("__m", mean).join(most, "sig_key")
+    w = windows.withColumn("__m", mean)
+    if "longest" in windows.columns:
+        w = w.withColumn("__n", F.col("longest").cast("int")).drop("longest")
+    else:
+        w = w.join(windows.groupBy("sig_key").agg(F.max(F.size("signal")).alias("__n")), "sig_key")
     more = F.col("__n") - F.size("signal")
     step = F.coalesce(F.get("seconds", F.lit(1)) - F.get("seconds", F.lit(0)), F.lit(0.0))
     last = F.element_at("seconds", -1)

@@ -13,8 +13,8 @@ A band can only collide where its shingle occurs, so texts and windows without
 any band shingle of any template skip the minima: the outcome is the same.
 
 Defined cases: null text is empty; a text under five words has one shingle of
-all its words; a template likewise; repeated rows repeat their matches; empty
-tables give an empty result.
+all its words; a template likewise; repeated rows repeat their matches, rows with a null
+``doc_id`` have theirs under it; empty tables give an empty result.
 """
 
 from __future__ import annotations

@@ -198,10 +198,15 @@ def class_links(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], thre
     open_ = members.join(own, "id").withColumn("n", F.size("s"))
     if near:
         open_ = open_.join(near[0], "id")
-    side = lambda k, i, j: open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by", "parts", "block")), i.alias(f"i_{k}"), j.alias(f"j_{k}"))
-    a = side("a", F.col("block"), F.explode(F.sequence(F.col("block"), F.col("parts") - 1)))
-    b = side("b", F.explode(F.sequence(F.lit(0), F.col("block"))), F.col("block"))
+    # One table for both sides, so that it is shuffled once: each member under the pairs of its block with every block.
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    open_ = open_.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    side = lambda k: open_.select(*(F.col(c).alias(f"{c}_{k}") for c in open_.columns if c not in ("score", "by", "parts", "other")))
+    a, b = side("a"), side("b")
     may = (F.col("key_a") == F.col("key_b")) & (F.col("i_a") == F.col("i_b")) & (F.col("j_a") == F.col("j_b"))
+    # The first member is of the first block, the second of the second one; said in one equation, which cannot be moved before the shuffle.
+    wide = F.lit(1 << 31).cast("long")
+    may = may & (F.col("block_a") * wide + F.col("block_b") == F.col("i_b") * wide + F.col("j_a"))
     may = may & ((F.col("i_a") < F.col("j_b")) | (F.col("id_a") < F.col("id_b"))) & (F.col("comp_a") != F.col("comp_b"))
     # Sizes alone tell of most that they are unlike.
     may = may & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9)

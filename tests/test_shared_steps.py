@@ -3,10 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridpulse import catalog
+from gridpulse.functions import signal as S
 from gridpulse.operators import reports
 
 DATA = "/root/testdata/sf0.001"
@@ -34,3 +36,32 @@ def test_windows_are_made_once(name, spark):
     """Neither a filter nor a second branch brings the samples, or the padding of windows, into the plan again."""
     plan = text(catalog.queries()[name](spark, DATA))
     assert "events.parquet" not in plan and "array_repeat" not in plan
+
+
+def test_pairs_of_windows_of_many_lengths():
+    """Blocks against one pair at a time: copies, constant, empty and missing windows, lengths on both sides of ``DIRECT``."""
+    rng = np.random.default_rng(2)
+    make = lambda k: [rng.normal(size=rng.choice([1, 2, 7, 8, 40, S.DIRECT + 4])) for _ in range(k)]
+    xs, ys = make(25) + [np.zeros(0), None, np.ones(8)], make(20) + [None, np.full(40, 3.0)]
+    ys += [xs[0].copy(), xs[0].copy(), 2 * xs[1] + 1]
+    forward = rng.random((len(xs), len(ys))) < 0.5
+    cut = lambda x, y: (np.asarray(x[: min(len(x), len(y))])[None], np.asarray(y[: min(len(x), len(y))])[None]) if x is not None and y is not None else (np.zeros((1, 0)),) * 2
+    bounded, full = np.zeros(forward.shape), np.full(forward.shape, -1.0)
+    for i, x in enumerate(xs):
+        for j, y in enumerate(ys):
+            a, b = cut(x, y)
+            bounded[i, j] = (S.ncc_bounded(a, b, 30) if forward[i, j] else S.ncc_bounded(b, a, 30))[0]
+            full[i, j] = S.ncc_full(a, b)[0] if a.shape[1] else -1
+    assert S.bounded_pairs(xs, ys, forward, ~forward, 30) == pytest.approx(bounded, abs=1e-9)
+    for least in (0.0, 0.05, 0.6, 0.95):
+        i, j, r = S.full_pairs(xs, ys, least)
+        assert sorted(zip(i, j)) == sorted(zip(*np.nonzero(full >= least))) and r == pytest.approx(full[i, j], abs=1e-9)
+    i, j, r = S.nearest_pairs(xs, ys)
+    best = {k: max(((round(v, 9), -n) for v, n in zip(r[i == k], j[i == k]))) for k in set(i)}
+    assert best == {k: max((round(v, 9), -n) for n, v in enumerate(row)) for k, row in enumerate(full) if row.max() >= 0}
+
+
+def test_windows_travel_in_blocks(spark):
+    """``type_pairs`` gives no pair of windows to a function of its own."""
+    plan = text(catalog.type_pairs(spark, DATA))
+    assert "EvalPython" not in plan and "SortMergeJoin" not in plan

@@ -6,6 +6,9 @@ test as a condition; a bucket that holds too many rows is split into explicit bl
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,20 +57,103 @@ def interval_join(left: DataFrame, right: DataFrame, before_s: float, after_s: f
     return a.join(b, cell).where(near).drop("__at", "__to", "__bucket", "__i", "__j")
 
 
+#: Signals are dealt into up to so many blocks, and every two blocks meet in one task.
+SIGNAL_BLOCKS = 16
+#: About so many pairs are looked at at once.
+PAIRS = 2_000_000
+
+
+def near_pairs(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, step: int):
+    """Rows of both sides, ``at[k]`` with each of ``lo[k]`` to ``hi[k]``, about ``step`` pairs at a time."""
+    n = hi - lo
+    ends = np.cumsum(n)
+    for first in range(0, int(ends[-1]) if len(ends) else 0, step):
+        last = min(first + step, int(ends[-1]))
+        k0, k1 = np.searchsorted(ends, [first, last - 1], "right")
+        k = np.arange(k0, k1 + 1)
+        left, right = np.maximum(first - (ends[k] - n[k]), 0), np.minimum(last - (ends[k] - n[k]), n[k])
+        take = right - left
+        yield np.repeat(at[k], take), np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take) + np.repeat(lo[k] + left, take)
+
+
+def count_near(us: np.ndarray, sig: np.ndarray, cid: np.ndarray, ev: np.ndarray, side: np.ndarray | None, width: int, step: int = PAIRS) -> dict[tuple[int, int], list[int]]:
+    """Per pair of types: pairs of events, pairs of signals, the sum and the least of their distances.
+
+    Rows of ``side`` False meet those of ``side`` True; without it all meet those of later signals. Signals
+    of the first side come one by one or several together, so that pairs of signals are counted once.
+    """
+    order = np.argsort(us, kind="stable")
+    us, sig, cid, ev = us[order], sig[order], cid[order], ev[order]
+    place = np.empty(len(us), np.int64)
+    place[np.lexsort((sig, ev, cid))] = np.arange(len(us))
+    rows = np.arange(len(us)) if side is None else np.flatnonzero(~side[order])
+    mates = np.arange(len(us)) if side is None else np.flatnonzero(side[order])
+    lo = np.searchsorted(us[mates], us[rows] - width, "left")
+    hi = np.searchsorted(us[mates], us[rows] + width, "right")
+    by = np.lexsort((rows, sig[rows]))
+    rows, lo, hi = rows[by], lo[by], np.maximum(hi[by], lo[by])
+    # Runs of whole signals of about ``step`` pairs; one signal may have more.
+    starts = np.flatnonzero(np.r_[True, sig[rows][1:] != sig[rows][:-1]]) if len(rows) else np.zeros(0, int)
+    total = np.r_[0, np.cumsum(hi - lo)]
+    out: dict[tuple[int, int], list[int]] = {}
+    s = int(sig.max(initial=0)) + 1
+    c = int(cid.max(initial=0)) + 1
+    while len(starts):
+        n = max(1, int(np.searchsorted(total[starts], total[starts[0]] + step, "left")))
+        a, z = starts[0], starts[n] if n < len(starts) else len(rows)
+        starts, seen = starts[n:], []
+        for p, q in near_pairs(rows[a:z], lo[a:z], hi[a:z], step):
+            q = mates[q]
+            apart = sig[p] < sig[q] if side is None else sig[p] != sig[q]
+            p, q = p[apart], q[apart]
+            back = place[q] < place[p]
+            p, q = np.where(back, q, p), np.where(back, p, q)
+            kind, gap = cid[p] * c + cid[q], np.abs(us[q] - us[p])
+            # Few types are counted by their number, many by the place among those that are met.
+            kinds, own = (np.arange(c * c), kind) if c * c <= len(kind) else np.unique(kind, return_inverse=True)
+            least = np.full(len(kinds), np.iinfo(np.int64).max)
+            np.minimum.at(least, own, gap)
+            m, t = np.bincount(own, minlength=len(kinds)), np.bincount(own, gap, minlength=len(kinds)).astype(np.int64)
+            for k in np.flatnonzero(m):
+                o = out.setdefault((int(kinds[k]) // c, int(kinds[k]) % c), [0, 0, 0, int(least[k])])
+                o[0], o[2], o[3] = o[0] + int(m[k]), o[2] + int(t[k]), min(o[3], int(least[k]))
+            seen.append(np.unique((kind * s + sig[p]) * s + sig[q]))
+        if seen:
+            for k, m in zip(*(x.tolist() for x in np.unique(np.unique(np.concatenate(seen)) // (s * s), return_counts=True))):
+                out[k // c, k % c][1] += m
+    return out
+
+
 def cooccurrence(events: DataFrame, seconds: float = 30.0) -> DataFrame:
     """Types of events that come within ``seconds`` of each other in different signals.
 
     ``events`` has ``sig_key, cid, event_id, ts``, of which ``cid, event_id, sig_key`` name an
     event. Per pair of types ``cid_a <= cid_b``: ``n_pairs`` of events, ``n_signals`` pairs of
     signals, the mean and the least distance in seconds. Each pair of events counts once.
+
+    Signals are dealt into blocks and every two blocks meet in one task, so that an event is
+    sent a bounded number of times, pairs are never shuffled, and all of a pair of signals is in one task.
     """
-    e = events.select("sig_key", "cid", "event_id", "ts").where("sig_key is not null and cid is not null")
-    pairs = interval_join(e, e, seconds, seconds)
-    a, b = (F.struct(f"cid_{k}", f"event_id_{k}", f"sig_key_{k}") for k in "ab")
-    pairs = pairs.where((F.col("sig_key_a") != F.col("sig_key_b")) & (a < b))
-    gap = F.abs(micros("ts_b") - micros("ts_a"))
-    by_signals = pairs.groupBy("cid_a", "cid_b", "sig_key_a", "sig_key_b").agg(F.count("*").alias("n"), F.sum(gap).alias("s"), F.min(gap).alias("least"))
-    out = by_signals.groupBy("cid_a", "cid_b").agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_signals"), F.sum("s").alias("s"), F.min("least").alias("least"))
+    e = events.select("sig_key", "cid", "event_id", micros("ts").alias("us")).where("sig_key is not null and cid is not null and us is not null")
+    kind = events.schema["cid"].dataType.simpleString()
+    n = int(max(2, min(SIGNAL_BLOCKS, -(-e.count() // 100_000))))
+    rows = e.withColumn("own", F.pmod(F.xxhash64("sig_key"), F.lit(n)).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    rows = rows.select("sig_key", "cid", "event_id", "us", "own", F.least("own", "o").alias("bi"), F.greatest("own", "o").alias("bj"))
+    width = round(seconds * 1e6)
+
+    def run(t: pa.Table) -> pa.Table:
+        same = t["bi"][0].as_py() == t["bj"][0].as_py()
+        code = lambda c: pc.rank(t[c].combine_chunks(), null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64) - 1
+        cid, side = code("cid"), None if same else t["own"].to_numpy() == t["bj"].to_numpy()
+        found = count_near(t["us"].to_numpy(), code("sig_key"), cid, code("event_id"), side, width)
+        place = np.zeros(int(cid.max()) + 1, np.int64)
+        place[cid] = np.arange(len(cid))
+        a, b = (t["cid"].take(pa.array([place[k[i]] for k in found], pa.int64())) for i in (0, 1))
+        return pa.table({"cid_a": a, "cid_b": b, **{c: pa.array([v[i] for v in found.values()], pa.int64()) for i, c in enumerate(("n_pairs", "n_signals", "s", "least"))}})
+
+    rows = rows.repartition(n * (n + 1) // 2, "bi", "bj")
+    found = rows.groupBy("bi", "bj").applyInArrow(run, f"cid_a {kind}, cid_b {kind}, n_pairs long, n_signals long, s long, least long")
+    out = found.groupBy("cid_a", "cid_b").agg(*(F.sum(c).alias(c) for c in ("n_pairs", "n_signals", "s")), F.min("least").alias("least"))
     return out.select("cid_a", "cid_b", "n_pairs", "n_signals", F.round(F.col("s") / F.col("n_pairs") / 1e6, 4).alias("mean_gap_s"), (F.col("least") / 1e6).alias("least_gap_s"))
 
 

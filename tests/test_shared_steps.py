@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse import catalog
 from gridpulse.functions import signal as S
-from gridpulse.operators import reports
+from gridpulse.operators import reports, temporal
 
 DATA = "/root/testdata/sf0.001"
 
@@ -65,3 +65,25 @@ def test_windows_travel_in_blocks(spark):
     """``type_pairs`` gives no pair of windows to a function of its own."""
     plan = text(catalog.type_pairs(spark, DATA))
     assert "EvalPython" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("step", [3, 50, 1_000_000])
+def test_near_events_do_not_depend_on_pieces(step):
+    """Two sides and one, one frequent signal, equal times and ids, against all pairs one by one."""
+    rng = np.random.default_rng(4)
+    n = 160
+    us, sig, cid, ev = rng.integers(0, 300, n), np.where(rng.random(n) < 0.4, 2, rng.integers(0, 7, n)), rng.integers(0, 3, n), rng.integers(0, 60, n)
+    for side in (None, sig % 2 == 1):
+        want = {}
+        for a in range(n):
+            for b in range(n):
+                met = sig[a] != sig[b] if side is None else side[a] != side[b]
+                if met and (cid[a], ev[a], sig[a]) < (cid[b], ev[b], sig[b]) and abs(us[a] - us[b]) <= 20:
+                    want.setdefault((cid[a], cid[b]), []).append((abs(us[a] - us[b]), sig[a], sig[b]))
+        got = temporal.count_near(us, sig, cid, ev, side, 20, step)
+        assert got == {k: [len(v), len({x[1:] for x in v}), sum(x[0] for x in v), min(x[0] for x in v)] for k, v in want.items()}
+
+
+def test_pairs_of_events_are_not_shuffled(spark):
+    plan = text(catalog.cooccurrence(spark, DATA))
+    assert "Join" not in plan

@@ -87,3 +87,18 @@ def test_near_events_do_not_depend_on_pieces(step):
 def test_pairs_of_events_are_not_shuffled(spark):
     plan = text(catalog.cooccurrence(spark, DATA))
     assert "Join" not in plan
+
+
+def test_linkage_holds_one_condensed_array():
+    """The same clusters as from the matrix, in a quarter of what the matrix, its clipped copy and the array took."""
+    import tracemalloc
+
+    x = np.random.default_rng(8).normal(size=(400, 32))
+    x[50:60] = x[40:50]
+    want = S.average_linkage(np.clip(1 - S.bounded_matrix(x), 0, 1), 0.6)
+    tracemalloc.start()
+    got = S.average_linkage(S.condensed_distances(x), 0.6)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tolist() == want.tolist() and len(set(got)) < 400 and most < 20 * 400**2 / 2
+    assert S.average_linkage(S.condensed_distances(x[:1]), 0.6).tolist() == [0]

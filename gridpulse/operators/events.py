@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,12 +12,18 @@ from pyspark.sql import functions as F
 from gridpulse.functions.signal import average_linkage, bounded_pairs, condensed_distances, full_pairs, ncc_udf, nearest_pairs
 
 
-def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000, by: str = "signal") -> DataFrame:
+def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000, by: str = "signal", dense: bool = False) -> DataFrame:
     """``event_idx`` for regular anomalous windows (``regular``): a window joins the event of its predecessor
-    by index if that is regular too and similar in column ``by``; similarity is to the immediate predecessor."""
+    by index if that is regular too and similar in column ``by``; similarity is to the immediate predecessor.
+
+    Where indices are ``dense``, windows that are not regular need not be given: a predecessor that is missing is none.
+    """
     order = Window.partitionBy("sig_key").orderBy("win_idx")
-    w = windows.withColumn("__prev", F.lag(by).over(order)).withColumn("__was", F.coalesce(F.lag("regular").over(order), F.lit(False)))
-    w = w.where("regular").withColumn("sim", F.when(F.col("__was"), ncc_udf(False, max_lag)("__prev", by)))
+    was = F.coalesce(F.lag("regular").over(order), F.lit(False))
+    if dense:
+        was = was & (F.lag("win_idx").over(order) == F.col("win_idx") - 1)
+    w = windows.withColumn("__prev", F.lag(by).over(order)).withColumn("__was", was)
+    w = w.where("regular").withColumn("sim", F.when(F.col("__was"), ncc_udf(False, max_lag)(F.when(F.col("__was"), F.col("__prev")), by)))
     start = (~F.coalesce(F.col("sim") >= threshold, F.lit(False))).cast("int")
     w = w.withColumn("event_idx", F.sum(start).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     return w.drop("__prev", "__was")
@@ -86,15 +93,41 @@ def type_pairs(refs: DataFrame, max_lag: int = 5000) -> DataFrame:
 
 
 def cluster_types(refs: DataFrame, threshold: float = 0.8, max_lag: int = 5000) -> DataFrame:
-    """``sig_key, event_idx, type_id`` by average linkage within each signal."""
+    """``sig_key, event_idx, type_id`` by average linkage within each signal.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("event_idx")
-        x = np.stack([np.asarray(s, float) for s in pdf["signal"]])
-        types = average_linkage(condensed_distances(x, max_lag), 1 - threshold)
-        return pd.DataFrame({"sig_key": pdf["sig_key"], "event_idx": pdf["event_idx"], "type_id": types})
+    A task takes its signals one after the other from sorted batches, so that many signals of
+    few events cost no call each, and holds one signal at a time.
+    """
 
-    return refs.select("sig_key", "event_idx", "signal").groupBy("sig_key").applyInPandas(run, "sig_key string, event_idx long, type_id long")
+    def linked(key: str | None, events: list, signals: list) -> tuple:
+        types = average_linkage(condensed_distances(np.stack(signals).astype(float), max_lag), 1 - threshold) if len(events) > 1 else np.zeros(1, np.int64)
+        return [key] * len(events), events, types
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, events, signals = None, [], []
+
+        def written(done: list) -> pa.RecordBatch:
+            keys, idx, types = zip(*done)
+            return pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in ks], pa.string()), pa.array(np.concatenate(idx), pa.int64()), pa.array(np.concatenate(types), pa.int64())], ["sig_key", "event_idx", "type_id"])
+
+        for batch in batches:
+            done, keys, idx = [], batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            rows = rows_of(pa.chunked_array([batch.column(2)]))
+            starts = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
+            for lo, hi in zip(starts, [*starts[1:], len(keys)]):
+                if events and keys[lo] != key:
+                    done.append(linked(key, events, signals))
+                    events, signals = [], []
+                key = keys[lo]
+                events += idx[lo:hi].tolist()
+                signals += rows[lo:hi]
+            if done:
+                yield written(done)
+        if events:
+            yield written([linked(key, events, signals)])
+
+    rows = refs.select("sig_key", F.col("event_idx").cast("long"), "signal")
+    return rows.repartition("sig_key").sortWithinPartitions("sig_key", "event_idx").mapInArrow(run, "sig_key string, event_idx long, type_id long")
 
 
 def profile(measured: DataFrame, types: DataFrame) -> DataFrame:

@@ -60,11 +60,12 @@ def tracked(windows: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Windows of all events: ``event`` (regular events by chaining, each peak window one of its own), ``ref_idx``, ``ncc_vs_ref``, ``dom_freqs4``.
 
     Similarity is taken on the low-passed windows, references and frequencies on the
-    raw ones. Peak windows have neither similarity nor frequency.
+    raw ones. Peak windows have neither similarity nor frequency. ``win_idx`` has no holes,
+    so only anomalous windows are classified, low-passed and kept.
     """
     # Read for the chain and the peaks; the chain for references and metrics.
-    w = staged(split(windows).withColumn("filtered", S.low_pass_udf(s.cutoff_hz)("signal", "seconds")))
-    chained = staged(E.chain(w, s.ncc_threshold, s.max_lag, "filtered"))
+    w = staged(split(windows).where("is_anomaly").withColumn("filtered", S.low_pass_udf(s.cutoff_hz)("signal", "seconds")))
+    chained = staged(E.chain(w.where("regular"), s.ncc_threshold, s.max_lag, "filtered", dense=True))
     regular = E.metrics(chained, E.references(chained), s.max_lag, "filtered").withColumn("dom_freqs4", S.spectrum_udf(4)("signal", "seconds"))
     kept = ["sig_key", "win_idx", "start_ts", "signal", "filtered", "peak_count", "peak_type", "peak_energy", "peak_forme"]
     regular = regular.select(*kept, F.struct(F.lit(0).alias("peak"), F.col("event_idx").alias("n")).alias("event"), "ref_idx", "ncc_vs_ref", "dom_freqs4")
@@ -79,7 +80,8 @@ def events(windows: DataFrame) -> DataFrame:
     ``duration_s`` is from the first to the last start.
     """
     zero4 = F.array(*(F.lit(0.0) for _ in range(4)))
-    row = F.struct("win_idx", "start_ts", F.coalesce("ncc_vs_ref", F.lit(1.0)).alias("ncc"), F.coalesce(F.get("dom_freqs4", F.lit(0)), F.lit(0.0)).alias("freq"), F.coalesce("dom_freqs4", zero4).alias("freqs4"), (F.col("win_idx") == F.col("ref_idx")).alias("is_ref"), "signal", "filtered", "peak_count", "peak_type", "peak_energy", "peak_forme")
+    is_ref = F.col("win_idx") == F.col("ref_idx")  # only its arrays travel
+    row = F.struct("win_idx", "start_ts", F.coalesce("ncc_vs_ref", F.lit(1.0)).alias("ncc"), F.coalesce(F.get("dom_freqs4", F.lit(0)), F.lit(0.0)).alias("freq"), F.coalesce("dom_freqs4", zero4).alias("freqs4"), is_ref.alias("is_ref"), F.when(is_ref, F.col("signal")).alias("signal"), F.when(is_ref, F.col("filtered")).alias("filtered"), "peak_count", "peak_type", "peak_energy", "peak_forme")
     e = windows.groupBy("sig_key", "event").agg(F.array_sort(F.collect_list(row)).alias("w"))
     ref = F.get(F.filter("w", lambda x: x["is_ref"]), F.lit(0))
     e = e.withColumn("ref", ref).withColumn("ref_timestamp", F.get("w", F.lit(0))["start_ts"]).withColumn("last", F.element_at("w", -1)["start_ts"])

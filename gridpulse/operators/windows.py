@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridpulse.sources.stage import staged
+
 
 def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
@@ -27,20 +29,24 @@ def pieces_of_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: fl
     before it unless more than ``gap_s`` lies between, which is told from one row a piece. So
     a signal is spread over its stretches and only their ends meet. Rows without a key or a time are left out.
     """
-    gap = int(gap_s * 1e6)
+    cell = [*keys, "__part"]
+    pieces = in_runs(rows.select(*keys, "ts", "tie"), keys, gap_s, stretch_s).groupBy(*cell, "__run").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n"))
+    return in_runs(rows, keys, gap_s, stretch_s), with_groups(pieces, keys, gap_s), cell
 
-    def within(r: DataFrame) -> DataFrame:
-        s, cell = in_stretches(r, keys, stretch_s or gap_s * STRETCH)
-        order = Window.partitionBy(*cell).orderBy("ts", "tie")
-        s = s.withColumn("__run", F.coalesce((micros("ts") - F.lag(micros("ts")).over(order) > gap).cast("long"), F.lit(0)))
-        return s.withColumn("__run", F.sum("__run").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
-    cell = [*keys, "__part"]
-    pieces = within(rows.select(*keys, "ts", "tie")).groupBy(*cell, "__run").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n"))
+def in_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> DataFrame:
+    """``rows`` with ``__part`` and ``__run``, the run within their stretch."""
+    s, cell = in_stretches(rows, keys, stretch_s or gap_s * STRETCH)
+    order = Window.partitionBy(*cell).orderBy("ts", "tie")
+    s = s.withColumn("__run", F.coalesce((micros("ts") - F.lag(micros("ts")).over(order) > int(gap_s * 1e6)).cast("long"), F.lit(0)))
+    return s.withColumn("__run", F.sum("__run").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def with_groups(pieces: DataFrame, keys: list[str], gap_s: float) -> DataFrame:
+    """One row a piece with ``grp``, which grows by one where more than ``gap_s`` has passed since the piece before."""
     before = Window.partitionBy(*keys).orderBy("__part", "__run")
-    starts = F.coalesce((micros("start_ts") - F.lag(micros("end_ts")).over(before) > gap).cast("long"), F.lit(0))
-    pieces = pieces.withColumn("grp", starts).withColumn("grp", F.sum("grp").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    return within(rows), pieces, cell
+    starts = F.coalesce((micros("start_ts") - F.lag(micros("end_ts")).over(before) > int(gap_s * 1e6)).cast("long"), F.lit(0))
+    return pieces.withColumn("grp", starts).withColumn("grp", F.sum("grp").over(before.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def gap_runs(rows: DataFrame, keys: list[str], gap_s: float, stretch_s: float | None = None) -> DataFrame:
@@ -74,15 +80,21 @@ def gap_windows(samples: DataFrame, gap_s: float = 0.5, min_len: int = 100, spli
     split_by_date = split_by_date and by is None
     keys = ["sig_key"] + (["date"] if split_by_date else [by] if by else [])
     s = samples.select("sig_key", "ts", "tie", "signal", *([by] if by else []))
-    s, pieces, cell = pieces_of_runs(s.withColumn("date", F.to_date("ts")) if split_by_date else s, keys, gap_s)
-    runs = pieces.groupBy(*keys, "grp").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.sum("n").alias("n")).where(F.col("n") >= min_len)
+    s = in_runs(s.withColumn("date", F.to_date("ts")) if split_by_date else s, keys, gap_s)
+    named = [*keys, "__part", "__run"]
+    # Samples are shuffled once, to their stretch; from there on they travel as one array a piece, written for the runs and the windows.
+    pieces = s.groupBy(*named).agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a"))
+    pieces = staged(pieces.withColumn("a", F.transform("a", lambda x: F.struct(F.unix_micros(x["ts"].cast("timestamp")).alias("at"), x["signal"].cast("double").alias("signal")))))
+    grouped = with_groups(pieces.drop("a"), keys, gap_s)
+    runs = grouped.groupBy(*keys, "grp").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.sum("n").alias("n")).where(F.col("n") >= min_len)
     place = [F.array_position(F.array(*map(F.lit, dates)), F.col("date").cast("string"))] if dates and split_by_date else [by] if by else []
     own = Window.partitionBy("sig_key")
     runs = runs.withColumn("win_idx", (F.row_number().over(own.orderBy(*place, "start_ts")) - 1).cast("long")).withColumn("longest", F.max("n").over(own))
-    w = placed_runs(s, pieces, cell).groupBy(*keys, "grp").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "signal"))).alias("a"))
+    w = pieces.select(*named, "a").join(grouped.select(*named, "grp"), named)
+    w = w.groupBy(*keys, "grp").agg(F.flatten(F.array_sort(F.collect_list(F.struct("__part", "__run", "a")))["a"]).alias("a"))
     w = runs.join(w, [*keys, "grp"])
     first = F.unix_micros(F.col("start_ts").cast("timestamp"))
-    w = w.withColumn("signal", F.transform("a", lambda x: x["signal"].cast("double"))).withColumn("seconds", F.transform("a", lambda x: (F.unix_micros(x["ts"].cast("timestamp")) - first) / 1e6))
+    w = w.withColumn("signal", F.transform("a", lambda x: x["signal"])).withColumn("seconds", F.transform("a", lambda x: (x["at"] - first) / 1e6))
     return w.select("sig_key", "win_idx", "start_ts", "end_ts", "n", "longest", "signal", "seconds")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse import catalog
 from gridpulse.functions import signal as S
-from gridpulse.operators import reports, temporal
+from gridpulse.operators import events, reports, temporal, windows
 
 DATA = "/root/testdata/sf0.001"
 
@@ -102,3 +102,43 @@ def test_linkage_holds_one_condensed_array():
     tracemalloc.stop()
     assert got.tolist() == want.tolist() and len(set(got)) < 400 and most < 20 * 400**2 / 2
     assert S.average_linkage(S.condensed_distances(x[:1]), 0.6).tolist() == [0]
+
+
+def test_signals_are_clustered_in_batches(spark):
+    """Many signals of few events, over the ends of batches, cost no call each; a signal's types are those it has alone."""
+    rng = np.random.default_rng(4)
+    few = [(f"s{k}", e, rng.normal(size=8).tolist()) for k in range(40) for e in range(int(rng.integers(1, 5)))]
+    rows = few + [("many", e, [float(np.sin((e % 3 + 1) * i)) for i in range(8)]) for e in range(30)] + [(None, 0, [1.0] * 8)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "sig_key string, event_idx long, signal array<double>")
+    got = events.cluster_types(df, 0.7)
+    assert "FlatMapGroupsInPandas" not in text(got)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.sig_key, r.event_idx): r.type_id for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = sorted(r[1:] for r in rows if r[0] == key)
+        types = S.average_linkage(S.condensed_distances(np.array([s for _, s in own])), 0.3)
+        want |= {(key, e): t for (e, _), t in zip(own, types.tolist())}
+    assert got == want and len({t for (k, _), t in got.items() if k == "many"}) == 3
+
+
+def test_samples_are_shuffled_once(spark):
+    """Windows are told from pieces of samples that are written once; runs that pass several stretches are put together in order."""
+    assert "events.parquet" not in text(catalog.gap_windows(spark, DATA))
+    rows = [("a", 50 * i + (i >= 300) * 1000, i) for i in range(600)]
+    df = spark.createDataFrame(rows[::-1], "sig_key string, s long, tie long").selectExpr("sig_key", "timestamp_seconds(s)::timestamp_ntz AS ts", "tie", "tie::double AS signal")
+    got = windows.gap_windows(df, 60, 1, split_by_date=False).orderBy("win_idx").collect()
+    assert [r.signal for r in got] == [[float(i) for i in range(300)], [float(i) for i in range(300, 600)]]
+    assert [r.seconds for r in got] == [[50.0 * i for i in range(300)]] * 2
+
+
+def test_chain_of_regular_windows_alone(spark):
+    """Windows that are not regular may be left out: the next one begins an event."""
+    rows = [("a", i, i not in (2, 5), [1.0, 3.0, 2.0, 0.0]) for i in range(9)]
+    df = spark.createDataFrame(rows, "sig_key string, win_idx long, regular boolean, signal array<double>")
+    pick = lambda w, dense: sorted((r.win_idx, r.event_idx) for r in events.chain(w, 0.9, dense=dense).collect())
+    assert pick(df.where("regular"), True) == pick(df, False) == [(0, 0), (1, 0), (3, 1), (4, 1), (6, 2), (7, 2), (8, 2)]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions.signal import average_linkage, bounded_pairs, condensed_distances, full_pairs, ncc_udf, nearest_pairs
+from gridpulse.sources.stage import staged
 
 
 def chain(windows: DataFrame, threshold: float = 0.8, max_lag: int = 5000, by: str = "signal", dense: bool = False) -> DataFrame:
@@ -169,6 +170,39 @@ def shared_types(summaries: DataFrame, threshold: float = 0.8) -> DataFrame:
     return rows.groupBy("bi", "bj").applyInArrow(run, ", ".join(f"{c}_{k} {kinds[c]}" for k in "ab" for c in ("sig_key", "cid")) + ", ncc double")
 
 
+def sharing(summaries: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """``sig_key, cid`` of the types that are in any pair of ``shared_types``, without a list of the pairs.
+
+    A block of windows meets itself first, which settles those that are like many others; the
+    ones left open meet all blocks.
+    """
+    own = summaries.select(F.xxhash64("sig_key", "cid").alias("id"), "sig_key", "cid", "window")
+    kinds = ", ".join(f"{c} {summaries.schema[c].dataType.simpleString()}" for c in ("sig_key", "cid"))
+    n = blocks(own.count(), BLOCK)
+
+    def within(t: pa.Table) -> pa.Table:
+        rank = np.unique(np.asarray(t["sig_key"].to_pandas()), return_inverse=True)[1]
+        windows = rows_of(t["window"])
+        i, j, _ = full_pairs(windows, windows, threshold, rank[:, None] < rank[None, :])
+        found = np.zeros(len(t), bool)
+        found[i] = found[j] = True
+        return pa.table({"sig_key": t["sig_key"], "cid": t["cid"], "found": found})
+
+    def across(a: pa.Table, b: pa.Table) -> pa.Table:
+        i = np.zeros(0, int)
+        if len(a) and len(b):
+            i = full_pairs(rows_of(a["window"]), rows_of(b["window"]), threshold, np.asarray(a["sig_key"].to_pandas())[:, None] != np.asarray(b["sig_key"].to_pandas())[None, :])[0]
+        return a.select(["sig_key", "cid"]).take(pa.array(np.unique(i), pa.int64()))
+
+    rows = own.withColumn("b", F.pmod("id", F.lit(n)).cast("int")).repartition(min(n, 1024), "b")
+    first = staged(rows.groupBy("b").applyInArrow(within, f"{kinds}, found boolean"))
+    left = own.join(first.where("not found").select("sig_key", "cid"), ["sig_key", "cid"], "left_semi")
+    m = blocks(first.where("not found").count(), BLOCK)
+    a, b = (d.select(*(F.col(c).alias(c) for c in ("id", "sig_key", "cid", "window"))) for d in (left, own))
+    more = cells(a, m, n, 0).groupBy("bi", "bj").cogroup(cells(b, m, n, 1).groupBy("bi", "bj")).applyInArrow(across, kinds)
+    return first.where("found").select("sig_key", "cid").union(more.distinct())
+
+
 def nearest_type(windows: DataFrame, registry: DataFrame, threshold: float = 0.8, apart: str | None = None) -> DataFrame:
     """Best registry type of each window ``id`` with its similarity; the lowest id on ties, null below the threshold or where there is none.
 

@@ -142,3 +142,18 @@ def test_chain_of_regular_windows_alone(spark):
     df = spark.createDataFrame(rows, "sig_key string, win_idx long, regular boolean, signal array<double>")
     pick = lambda w, dense: sorted((r.win_idx, r.event_idx) for r in events.chain(w, 0.9, dense=dense).collect())
     assert pick(df.where("regular"), True) == pick(df, False) == [(0, 0), (1, 0), (3, 1), (4, 1), (6, 2), (7, 2), (8, 2)]
+
+
+@pytest.mark.parametrize("block", [8, 2048])
+def test_types_that_are_shared_without_their_pairs(spark, monkeypatch, block):
+    """Those of all pairs, whether they meet in a block of their own or across; most are alike, some like one other, some like none."""
+    monkeypatch.setattr(events, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    base, odd = rng.normal(size=12), rng.normal(size=(6, 30))
+    rows = [(f"s{k % 7}", k, (base + rng.normal(size=12) * 0.1).tolist()) for k in range(40)]
+    rows += [(f"s{k}", 100 + k, odd[k % 3].tolist()) for k in range(6)] + [("s0", 200 + k, odd[3].tolist()) for k in range(2)] + [("s1", 300, [1.0] * 9)]
+    df = spark.createDataFrame(rows, "sig_key string, cid long, window array<double>")
+    pairs = events.shared_types(df, 0.8).collect()
+    want = {(r[f"sig_key_{k}"], r[f"cid_{k}"]) for r in pairs for k in "ab"}
+    got = [(r.sig_key, r.cid) for r in events.sharing(df, 0.8).collect()]
+    assert sorted(got) == sorted(want) and 46 <= len(want) < len(rows)

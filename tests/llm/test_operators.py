@@ -198,6 +198,19 @@ def test_passages(docs, rows, empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
 
+def test_passages_behind_a_notice(spark):
+    """A notice connects three texts; what two of them share behind it, in a bucket that the third leads, is compared too."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    notice, shared = words(60), words(55)
+    rows = [(k, " ".join(notice + words(70 + 9 * (k == 2)) + (shared if k else words(55)))) for k in range(3)]
+    body = spark.createDataFrame(rows, "doc_id long, text string")
+    members = [(key, k, c + 9 * (k == 2 and key), 0) for key, c in ((0, 3), (1, 133)) for k in range(3)]
+    members = common.cut(spark.createDataFrame(members, "key long, id long, c int, sketch long"), "members")
+    got = substring_dedup.met_passages(members, body, 46, 0.8, 10).collect()
+    assert {(r["a"], r["b"], r["a_start"], r["b_start"], r["similarity"]) for r in got if r["a_start"] > 60} == {(1, 2, 130, 139, 1.0)}
+
+
 def test_passage_recall(spark):
     """Planted passages of 50 to 120 words, exact and edited, each in two texts of their own."""
     rng = random.Random(21)

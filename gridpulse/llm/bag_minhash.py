@@ -12,7 +12,7 @@ The dyadic levels of a shingle are independent processes, not split from a paren
 which gives the same law for the earliest times.
 
 Copies (equal multisets) are one class before any comparison. Bands of the
-signatures form buckets, ``class_links`` pairs within them, pairs of which too many
+signatures form buckets, ``class_roots`` pairs within them, pairs of which too many
 components differ (four bits of each are kept) go no further, and the exact weighted
 Jaccard over the whole texts decides. A pair at similarity 0.8 shares a bucket with
 probability 0.998 and passes the count of components with 0.9998; both rise with
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import class_links, components, cut, narrow_batches, only, texts
+from .common import class_roots, cut, narrow_batches, only, texts
 
 BANDS, ROWS = 21, 6
 SIMILARITY = 0.8
@@ -163,8 +163,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     first = cut(signed.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "first")
     own = signed.withColumnRenamed("doc_id", "id").join(first.select("id", "d1", "d2"), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id"])
     own = cut(own.select("id", "bands", "sig"), "own")
-    links = class_links(own.select("id", F.explode("bands").alias("key")), expanded(docs), similarity, (own.select("id", "sig"), alike(bands * rows, similarity)))
-    roots = components(links)
+    roots = class_roots(own.select("id", F.explode("bands").alias("key")), expanded(docs), similarity, (own.select("id", "sig"), alike(bands * rows, similarity)))
     classes = first.join(roots.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "copies", F.coalesce("root", "id").alias("class_id"))
     classes = cut(classes, "classes")
     sizes = classes.groupBy("class_id").agg(F.sum("copies").alias("class_size"))

@@ -18,8 +18,8 @@ limit take both kinds, so similar lines share one whatever their lengths. ``rows
 grows by one with each tenfold of documents beyond ``BASE_DOCS`` (counted first), and
 the bands with it, because chance meetings grow with the square of the lines.
 
-``class_links`` compares within buckets by exact Jaccard similarity, ``components``
-is a distributed union-find, and one line of each component stays: the first by
+``class_roots`` compares within buckets by exact Jaccard similarity and contracts the
+links by a distributed union-find, and one line of each component stays: the first by
 ``doc_id`` and line number. Recall at similarity 0.8 is held against brute force in
 the tests.
 
@@ -35,7 +35,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import class_links, components, cut, release, small, texts
+from .common import class_roots, cut, release, small, texts
 
 SIMILARITY = 0.8
 #: Rows of a band, up to so many documents.
@@ -110,7 +110,7 @@ def line_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     buckets = bands(every.select(F.col("h1").alias("id"), "line"), rows, parts)
     buckets = cut(buckets, "line-bands")
     every = cut(every.drop("line"), "line-hashes")
-    roots = components(class_links(buckets, contents(docs), similarity, expand=lambda line: distinct(shingles(line))))
+    roots = class_roots(buckets, contents(docs), similarity, expand=lambda line: distinct(shingles(line)))
     release(buckets)
     own = F.struct("doc_id", "line_no")
     # 2**32 lines a document at most; a decimal keeps the minimum in the hash aggregate.

@@ -556,3 +556,42 @@ def test_lines_of_few_shingles_meet_at_any_length(spark):
     table = spark.createDataFrame([(100 * g + i, x) for g, group in enumerate(groups) for i, x in enumerate(group)], "doc_id long, text string")
     got = {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.line_classes(table).collect()}
     assert got == {100 * g + i: 100 * g for g, group in enumerate(groups) for i in range(len(group))}
+
+
+def test_links_are_contracted_once(spark, monkeypatch):
+    """Turns after the first contract only what their own links connect, stars need no round, and no pairs come out that signatures tell apart."""
+    rng = random.Random(5)
+    written = []
+    own = common.cut
+    monkeypatch.setattr(common, "cut", lambda df, name: written.append((name, out := own(df, name))) or out)
+    monkeypatch.setattr(common, "release", lambda *_: None)
+    sets = {}
+    for g in range(40):
+        base = [rng.randrange(-(2**63), 2**63) for _ in range(100)]
+        for k in range(6):
+            sets[100 * g + k] = base[:96] + [rng.randrange(2**60) for _ in range(4)]
+    found = spark.createDataFrame(list(sets.items()), "id long, s array<long>")
+    # Pairs of groups share a bucket, and one bucket holds all.
+    buckets = spark.createDataFrame([(i // 200, i) for i in sets] + [(-1, i) for i in sets], "key long, id long")
+    roots = {r["node"]: r["root"] for r in common.class_roots(buckets, lambda ids: found.join(ids, "id", "left_semi"), 0.8).collect()}
+    assert roots == {i: i - i % 100 for i in sets if i % 100}
+    assert sum(df.count() for name, df in written if name == "edges") <= 3 * len(sets)
+    assert max(df.count() for name, df in written if name in ("pairs", "met")) <= 4 * len(sets)
+
+
+def test_odd_bits_keep_all_alike(spark):
+    """No pair of similarity 0.8 is told apart by its signatures, whatever its size; unlike ones are."""
+    rng = random.Random(6)
+    sets = {}
+    for i, n in enumerate([1, 2, 5, 9, 30, 120, 600, 2000] * 4):
+        base = [rng.randrange(-(2**63), 2**63) for _ in range(n)]
+        sets[3 * i], sets[3 * i + 1] = base, base[n // 10 :] + [rng.randrange(2**62) for _ in range(n // 12)]
+        sets[3 * i + 2] = [rng.randrange(2**62) for _ in range(n)]
+    elements = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s], "id long, x long")
+    sig, may = common.odd_bits(elements, 0.8)
+    a, b = (sig.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
+    near = {(r["a"], r["b"]) for r in a.crossJoin(b).where("a < b").where(may(F.col("sig_a"), F.col("sig_b"))).collect()}
+    j = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    alike = {(a, b) for a in sets for b in sets if a < b and j(sets[a], sets[b]) >= 0.8}
+    assert len(alike) >= 25 and alike <= near
+    assert not {(a, b) for a, b in near - alike if len(sets[a]) >= 30}

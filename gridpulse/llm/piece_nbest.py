@@ -111,6 +111,7 @@ class Pieces:
         values = {i: v for v, i in self.bytes.items()}
         #: What each piece stands for in UTF-8.
         self.raw = [bytes([values[i]]) if i in values else name.encode() for i, name in enumerate(self.names)]
+        self.raw_size = np.array([len(x) for x in self.raw])
         self.source: str | None = None
         self.shared: dict[str, Best] = {}
         self.new: dict[str, Best] = {}
@@ -223,12 +224,13 @@ class Pieces:
     def learn(self, texts: list[str]) -> list[list[str]]:
         """Chunks of the texts; those that are new and short are searched together and remembered."""
         parts = [self.chunks(x) for x in texts]
-        new = {c for c in set(itertools.chain.from_iterable(parts)) if len(c) <= 64 and c not in self.shared and c not in self.new and c not in self.old}
+        new = set(itertools.chain.from_iterable(parts)).difference(self.shared).difference(self.new).difference(self.old)
+        new = {c for c in new if len(c) <= 64}
         if len(self.new) + len(new) > REMEMBERED // 2:
             new |= {c for x in parts for c in x if c in self.old}
             self.old, self.new, self.spare, self.many = self.new, {}, {}, {}
         if new:
-            words = sorted(new)
+            words = list(new)
             self.new.update(zip(words, self.firsts(words)))
         return parts
 
@@ -265,9 +267,14 @@ class Pieces:
         path = path[np.argsort(start[path], kind="stable")]
         count = np.where(piece[path] < 0, (end - start)[path], 1)
         at = np.repeat(start[path] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        ids = np.where(np.repeat(piece[path] < 0, count), self.byte_ids[buf[np.minimum(at, len(buf) - 1)]], np.repeat(piece[path], count)).astype("<i4").tobytes()
+        every = np.where(np.repeat(piece[path] < 0, count), self.byte_ids[buf[np.minimum(at, len(buf) - 1)]], np.repeat(piece[path], count)).astype("<i4")
+        # Words with one best segmentation decode to themselves if their pieces do one after another and fill each word.
+        of = np.repeat(word[path], count)
+        filled = np.bincount(of, self.raw_size[every], len(words))[single] == np.diff(off)[single]
+        right = bool(filled.all()) and self.join(every[single[of]].tobytes()) == buf[np.repeat(single, np.diff(off))].tobytes()
+        ids = every.tobytes()
         ends = (4 * np.r_[0, np.cumsum(np.bincount(word[path], count, len(words)))]).astype(np.int64).tolist()
-        return [(t, ids[a:b], x, self.join(ids[a:b]) == w.encode()) if ok else None for w, t, x, ok, a, b in zip(words, total.tolist(), second.tolist(), single.tolist(), ends, ends[1:])]
+        return [(t, ids[a:b], x, right or self.join(ids[a:b]) == w.encode()) if ok else None for w, t, x, ok, a, b in zip(words, total.tolist(), second.tolist(), single.tolist(), ends, ends[1:])]
 
     def more(self, chunk: str) -> int:
         """Pieces that the second best segmentation of a chunk has more than the best."""
@@ -289,8 +296,10 @@ class Pieces:
     def chunks(self, text: str) -> list[str]:
         if "  " in text or MARK in text or text[:1] == " ":
             parts = CHUNK.findall(MARK + text.replace(" ", MARK))
+        elif self.lone and "\n" in text:
+            return [x for x in (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ") if x]
         else:
-            parts = [MARK + x for x in text.split(" ")]
+            return (MARK + text.replace(" ", f" {MARK}")).split(" ")
         if not self.lone or "\n" not in text:
             return parts
         out: list[str] = []
@@ -304,16 +313,19 @@ class Pieces:
     def search(self, text: str, n: int, chunks: list[str] | None = None) -> tuple[list[Path_], bool]:
         """The n best segmentations of a whole text, and whether the best decodes to it."""
         chunks = self.chunks(text) if chunks is None else chunks
-        shared, known, recall = self.shared.get, self.new.get, self.recall
-        got = [shared(c) or known(c) or recall(c) for c in chunks]
+        got = list(map(self.shared.get, chunks))
+        if None in got:
+            known, recall = self.new.get, self.recall
+            got = [hit or known(c) or recall(c) for hit, c in zip(got, chunks)]
         scores, parts, losses, good = zip(*got)
         first = b"".join(parts)
         total, size, decodes = float(sum(scores)), len(first) // 4, all(good)
-        least = sorted(losses)[: n - 1] if n > 1 else []
+        lost = np.array(losses)
+        least = (np.sort(np.partition(lost, n - 2)[: n - 1]) if len(lost) >= n > 1 else np.sort(lost)[: n - 1]).tolist()
         if not least or least[0] == INF:
             return [(total, size, first)], decodes
         most = min(least[-1], 1e300)
-        weak = [k for k, loss in enumerate(losses) if loss <= most]
+        weak = np.flatnonzero(lost <= most).tolist()
         if len(weak) >= n:
             weak = sorted(weak, key=lambda k: (losses[k], self.more(chunks[k]), -k))[: n - 1]
         # Combinations: loss, pieces more, ranks by chunk from the first on; least first.
@@ -323,14 +335,17 @@ class Pieces:
         for paths in options:
             s0, c0, _ = paths[0]
             sums = sorted([(loss + s0 - s, more + c - c0, (*use, q)) for loss, more, use in sums for q, (s, c, _) in enumerate(paths)])[:n]
-        ends = list(itertools.accumulate(map(len, parts), initial=0))
+        starts, at, last = [], 0, 0
+        for k in weak:
+            at, last = at + sum(map(len, parts[last:k])), k
+            starts.append(at)
         out = []
         for loss, more, use in sums:
             pieces, at = [], 0
-            for k, q, paths in zip(weak, use, options):
+            for k, q, start, paths in zip(weak, use, starts, options):
                 if q:
-                    pieces += [first[at : ends[k]], paths[q][2]]
-                    at = ends[k + 1]
+                    pieces += [first[at:start], paths[q][2]]
+                    at = start + len(parts[k])
             out.append((total - loss, size + more, b"".join([*pieces, first[at:]])))
         return out, decodes
 

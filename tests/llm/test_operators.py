@@ -595,3 +595,25 @@ def test_odd_bits_keep_all_alike(spark):
     alike = {(a, b) for a in sets for b in sets if a < b and j(sets[a], sets[b]) >= 0.8}
     assert len(alike) >= 25 and alike <= near
     assert not {(a, b) for a, b in near - alike if len(sets[a]) >= 30}
+
+
+def test_pieces_of_a_batch_are_decoded_at_once(monkeypatch):
+    """Chunks with line feeds, blanks, marks, bytes and ties give what single searches give; a batch needs no check per chunk."""
+    texts = ["", " ", "a", "a ", " a", "a\nb", "a\n b", "\n", "\n\na", "a \n", "a  b\n\n c", "▁x y", "plain words without more", "\x00 \U0001f9ea zz\n", "ab " * 50, "é ü\tß\r\n x"]
+    texts += [f"word{i} and w{i}x{i} or {i * 7919}" for i in range(200)]
+    calls = []
+    own = piece_nbest.Pieces.join
+    monkeypatch.setattr(piece_nbest.Pieces, "join", lambda self, p: calls.append(1) or own(self, p))
+    held = piece_nbest.Pieces(piece_nbest.PIECES)
+    parts = held.learn(texts)
+    assert len(calls) < len(held.new) / 4
+    alone = piece_nbest.Pieces(piece_nbest.PIECES)
+    for text, chunks in zip(texts, parts):
+        spaced = piece_nbest.CHUNK.findall(piece_nbest.MARK + text.replace(" ", piece_nbest.MARK))
+        split = [y for x in spaced for y in (re.split("(\n)", x) if alone.lone else [x]) if y]
+        assert chunks == split
+        for chunk in chunks:
+            one, two = held.new[chunk], alone.first(chunk)
+            assert (one[1], one[3]) == (two[1], two[3]) and (one[2] == two[2] or abs(one[2] - two[2]) < 1e-6)
+        assert held.search(text, 4, chunks)[1] == alone.search(text, 4)[1]
+        assert [p for _, _, p in held.search(text, 4, chunks)[0]] == [p for _, _, p in alone.search(text, 4)[0]]

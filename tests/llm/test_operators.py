@@ -232,6 +232,44 @@ def test_passage_recall(spark):
     assert np.mean([(d - 1, d) in got for d in exact]) == 1 and np.mean([(d - 1, d) in got for d in near]) >= 0.9
 
 
+def test_passage_classes_have_a_row_for_either_side(docs, spark, empty):
+    found = [(r["partner_id"], r["doc_id"]) for r in substring_dedup.repeated_passages(docs).collect()]
+    top = union(range(200), found)
+    linked = {x for e in found for x in e}
+    got = {r["doc_id"]: r for r in substring_dedup.document_classes(docs).collect()}
+    assert set(got) == linked and {a for a, _ in found} - {b for _, b in found} <= set(got)
+    for d, r in got.items():
+        assert r["class_id"] == min(x for x in linked if top[x] == top[d])
+        assert r["n_links"] == len({e[e[0] == d] for e in set(found) if d in e}) and r["n_passages"] >= 1 and r["longest"] >= 50
+    assert substring_dedup.document_classes(empty).count() == 0
+
+
+def test_passages_overlap_where_no_split_is_left():
+    """An edit every thirty shingles: any two neighbouring pieces are a passage, all of them are none, and each single one is too short."""
+    a = np.arange(300, dtype=np.uint64)
+    b = a.copy()
+    for k in range(25, 300, 30):
+        b[k : k + 5] += np.uint64(1000)
+    got = substring_dedup.align(a, b, [0], 46, 0.8, 10)
+    stretches = [i for i in range(255) if (a[i : i + 46] == b[i : i + 46]).sum() >= 41 and a[i] == b[i] and a[i + 45] == b[i + 45]]
+    assert stretches and all(any(a0 <= i and i + 46 <= a1 for a0, a1, *_ in got) for i in stretches)
+    assert all(s >= 0.8 and (b0, b1) == (a0, a1) for a0, a1, b0, b1, s in got)
+
+
+def test_places_of_a_common_line_do_not_meet(spark):
+    rng = random.Random(31)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, passage = words(12), words(60)
+    edited = passage[:50] + words(1) + passage[51:]
+    rows = [(k, " ".join(words(60) + line + words(60))) for k in range(40)] + [(40 + k, " ".join(words(20 + k) + p + words(60))) for k, p in enumerate((passage, edited))]
+    body = spark.createDataFrame(rows, "doc_id long, text string")
+    places = spark.createDataFrame([(0, k, 63) for k in range(40)] + [(1, 40, 45), (1, 41, 46), (2, 40, 2), (2, 41, 2)], "key long, id long, c int")
+    bits = common.cut(substring_dedup.bits(places, body, 46), "bits").join(places, ["id", "c"])
+    a, b = (bits.select("key", *(F.col(c).alias(f"{k}{c}") for c in bits.columns if c != "key")) for k in "ab")
+    got = a.join(b, "key").where("aid < bid").where(substring_dedup.may_share("a", "b", 46, 0.8)).select("key", "aid", "bid").collect()
+    assert [tuple(r) for r in got] == [(1, 40, 41)]
+
+
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 62, 60).astype(np.uint64) << np.uint64(1)

@@ -270,6 +270,26 @@ def test_places_of_a_common_line_do_not_meet(spark):
     assert [tuple(r) for r in got] == [(1, 40, 41)]
 
 
+def test_pairs_below_the_threshold_are_not_compared(spark, monkeypatch):
+    """Sixty sets at similarity 0.6 in one bucket, whose own signatures rule out nothing; two of them are alike."""
+    sets = {k: list(range(75)) + list(range(1000 * (k + 1), 1000 * (k + 1) + 25)) for k in range(60)}
+    sets[59] = sets[58][:-1] + [7]
+    hashed = lambda x: random.Random(x).getrandbits(63)
+    every = spark.createDataFrame([(k, [hashed(x) for x in set(v)]) for k, v in sets.items()], "id long, s array<long>")
+    counts, cut = [], common.cut
+
+    def counted(df, name):
+        out = cut(df, name)
+        if name in ("pairs", "met"):
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "cut", counted)
+    near = every.select("id", F.lit(0).alias("sig")), lambda a, b: a == b
+    got = common.class_links(every.select(F.lit(1).cast("long").alias("key"), "id"), lambda ids: every.join(ids, "id", "left_semi"), 0.8, near)
+    assert [tuple(r) for r in got.collect()] == [(58, 59)] and sum(counts) <= len(sets)
+
+
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 62, 60).astype(np.uint64) << np.uint64(1)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,6 +291,29 @@ def test_pairs_below_the_threshold_are_not_compared(spark, monkeypatch):
     assert [tuple(r) for r in got.collect()] == [(58, 59)] and sum(counts) <= len(sets)
 
 
+def test_windows_without_a_tree(monkeypatch):
+    rng, tree = np.random.default_rng(3), substring_dedup.compact
+    monkeypatch.setattr(substring_dedup, "compact", lambda *a: pytest.fail("a text of equal lines makes a tree as deep as it is long"))
+    for length, top in ((1, 9), (5, 3), (46, 1 << 31)):
+        off = np.r_[0, np.cumsum(rng.integers(0, 130, 9))]
+        x = rng.integers(0, top, off[-1]).astype(np.uint64) << np.uint64(32)
+        left, c, right = tree(x, off, length)
+        want = sorted(zip(np.maximum(left, c - length + 1).tolist(), np.minimum(c, right - length).tolist(), c.tolist()))
+        assert list(zip(*(v.tolist() for v in substring_dedup.intervals(x, off, length)))) == want
+
+
+def test_passages_hash_a_text_once(monkeypatch):
+    calls, words = [], kernels.words
+    monkeypatch.setattr(kernels, "words", lambda *a: calls.append(1) or words(*a))
+    text = [" ".join(f"w{k % m}" for k in range(90)) for m in (1000, 1000, 30)]
+    batch = lambda a, b: pa.RecordBatch.from_pydict({"a": [a], "b": [b], "ta": [text[a]], "tb": [text[b]], "shifts": pa.array([[0]], pa.list_(pa.int32()))})
+    got = [b.to_pylist() for b in substring_dedup.passages(46, 0.8, 10)(iter([batch(0, 1), batch(0, 2), batch(1, 2)]))]
+    assert len(calls) == 3
+    assert [(r["a_start"], r["a_end"], r["b_start"], r["b_end"], r["similarity"]) for r in got[0]] == [(0, 90, 0, 90, 1.0)]
+    # 30 words in a circle share 26 of the first text's shingles, too few for any passage.
+    assert got[1:] == [[], []]
+
+
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 62, 60).astype(np.uint64) << np.uint64(1)

@@ -157,3 +157,26 @@ def test_types_that_are_shared_without_their_pairs(spark, monkeypatch, block):
     want = {(r[f"sig_key_{k}"], r[f"cid_{k}"]) for r in pairs for k in "ab"}
     got = [(r.sig_key, r.cid) for r in events.sharing(df, 0.8).collect()]
     assert sorted(got) == sorted(want) and 46 <= len(want) < len(rows)
+
+
+def test_windows_travel_as_often_however_many_there_are(spark):
+    few, many = (spark.range(n).selectExpr("id", "array(1d, 2d) AS window") for n in (40, 100_000))
+    assert events.blocks(few) == 1 and events.blocks(many) == events.PARTS
+    # Unless a block would be too large to hold.
+    assert events.blocks(many.selectExpr("id", "transform(sequence(1, 3000), x -> double(x)) AS window")) == -(-100_000 * 3000 * 8 // events.BLOCK_BYTES)
+
+
+def test_pairs_do_not_depend_on_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    w = rng.normal(size=(90, 10)).cumsum(1).round(2)
+    w[40:44] = w[3]
+    df = spark.createDataFrame([(f"s{k % 3}", k, v.tolist()) for k, v in enumerate(w)], "sig_key string, cid long, window array<double>")
+    known = df.withColumnRenamed("cid", "type_id")
+    seen = []
+    for parts, block in ((16, 2048), (2, 7)):
+        monkeypatch.setattr(events, "PARTS", parts)
+        monkeypatch.setattr(events, "BLOCK", block)
+        pairs = sorted((*r[:4], round(r.ncc, 9)) for r in events.shared_types(df, 0.7).collect())
+        best = sorted((r.id, r.type_id, round(r.ncc, 9)) for r in events.nearest_type(df.withColumnRenamed("cid", "id"), known, 0.0, "sig_key").collect())
+        seen.append((pairs, best))
+    assert seen[0] == seen[1] and len(seen[0][0]) > 90 and len(seen[0][1]) == 90

@@ -180,3 +180,17 @@ def test_pairs_do_not_depend_on_tiles(spark, monkeypatch):
         best = sorted((r.id, r.type_id, round(r.ncc, 9)) for r in events.nearest_type(df.withColumnRenamed("cid", "id"), known, 0.0, "sig_key").collect())
         seen.append((pairs, best))
     assert seen[0] == seen[1] and len(seen[0][0]) > 90 and len(seen[0][1]) == 90
+
+
+def test_distances_of_short_windows_are_multiplied_out(monkeypatch):
+    """The same distances as from spectra; those to equal windows stay equal."""
+    x = np.random.default_rng(9).normal(size=(300, 31))
+    x[200:220], x[250] = x[:20], 1.0
+    want = np.clip(1 - S.bounded_matrix(x), 0, 1)[np.triu_indices(300, 1)]
+    monkeypatch.setattr(S.Spectra, "best", lambda *a: pytest.fail("pairs are turned back one by one"))
+    got = S.condensed_distances(x)
+    assert np.abs(got - want).max() < 2e-12
+    full = np.zeros((300, 300))
+    full[np.triu_indices(300, 1)] = got
+    # Rows after both copies, which are second in either pair.
+    assert (full[:20, 220:] == full[200:220, 220:]).all()

@@ -194,3 +194,8 @@ def test_distances_of_short_windows_are_multiplied_out(monkeypatch):
     full[np.triu_indices(300, 1)] = got
     # Rows after both copies, which are second in either pair.
     assert (full[:20, 220:] == full[200:220, 220:]).all()
+
+
+def test_rollup_does_not_cluster(spark):
+    """No column of its result, nor its SQL, tells types."""
+    assert "MapInArrow" in text(catalog.type_linkage(spark, DATA)) and "MapInArrow" not in text(catalog.profile_rollup(spark, DATA))

@@ -199,3 +199,9 @@ def test_distances_of_short_windows_are_multiplied_out(monkeypatch):
 def test_rollup_does_not_cluster(spark):
     """No column of its result, nor its SQL, tells types."""
     assert "MapInArrow" in text(catalog.type_linkage(spark, DATA)) and "MapInArrow" not in text(catalog.profile_rollup(spark, DATA))
+
+
+def test_lists_of_all_pairs_are_rounded_without_decimals(spark):
+    assert "round(" not in text(catalog.type_pairs(spark, DATA)) and "round(" not in text(catalog.shared_types(spark, DATA))
+    rows = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e9).alias("x"))
+    assert rows.where(catalog.five("x") != F.round("x", 5)).count() == 0

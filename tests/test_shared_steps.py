@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse import catalog
 from gridpulse.functions import signal as S
-from gridpulse.operators import events, reports, temporal, windows
+from gridpulse.operators import correlate, events, reports, temporal, windows
 
 DATA = "/root/testdata/sf0.001"
 
@@ -205,3 +205,16 @@ def test_lists_of_all_pairs_are_rounded_without_decimals(spark):
     assert "round(" not in text(catalog.type_pairs(spark, DATA)) and "round(" not in text(catalog.shared_types(spark, DATA))
     rows = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e9).alias("x"))
     assert rows.where(catalog.five("x") != F.round("x", 5)).count() == 0
+
+
+def test_pairs_of_types_are_shuffled_once(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(f"s{k % 4}", k // 4, k, float(k), rng.normal(size=6).tolist()) for k in range(40)]
+    df = spark.createDataFrame(rows, "sig_key string, cid int, count long, mean_freq double, window array<double>")
+    few = correlate.shared(df, 0.7)
+    assert "hashpartitioning(sig_key_" not in text(few)
+    monkeypatch.setattr(correlate, "FEW_TYPES", 3)
+    pick = lambda d: [(r.pair_idx, r.sig_key_a, r.cid_a, r.count_a, r.sig_key_b, r.cid_b, r.count_b, r.mean_freq_b) for r in d.orderBy("pair_idx").collect()]
+    got = pick(few)
+    assert got == pick(correlate.shared(df, 0.7)) and [r[0] for r in got] == list(range(len(got))) and len(got) > 20
+    assert all(a == f"s{n % 4}" and b == f"s{m % 4}" and m == f for _, a, _, n, b, _, m, f in got)
